@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from segloom.functions.text import STRIP
 
-_CODE = r"^(?:([0-9]+)[:,])?([0-9]+)[:,]([0-9]+)[:,]([0-9]+)$"
+# White space as Unicode defines it, to be trimmed without a regular expression.
+_BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
 def parse_ms(code: Column) -> Column:
@@ -17,15 +18,14 @@ def parse_ms(code: Column) -> Column:
     front; colons and commas part them, each part is digits only and white
     space around the code is ignored. Numbers beyond 64 bits can't be read.
     """
-    bare = F.regexp_replace(code, STRIP, "")
-    number = [F.regexp_extract(bare, _CODE, i).try_cast("bigint") for i in (1, 2, 3, 4)]
-    hours = F.coalesce(number[0], F.lit(0).cast("bigint"))
-    readable = bare.rlike(_CODE) & ((F.regexp_extract(bare, _CODE, 1) == "") | number[0].isNotNull())
-    total = F.try_add(
-        F.try_add(F.try_multiply(hours, F.lit(3_600_000)), F.try_multiply(number[1], F.lit(60_000))),
-        F.try_add(F.try_multiply(number[2], F.lit(1000)), number[3]),
-    )
-    return F.when(readable, total)
+    bare = F.btrim(code, F.lit(_BLANKS))
+    parts = F.split(F.translate(bare, ",", ":"), ":")
+    number = lambda i: F.get(parts, F.lit(i)).try_cast("bigint")
+    total = lambda *terms: F.try_add(F.try_add(F.try_multiply(terms[0], F.lit(60_000)), F.try_multiply(terms[1], F.lit(1000))), terms[2])
+    three = total(number(0), number(1), number(2))
+    four = F.try_add(F.try_multiply(number(0), F.lit(3_600_000)), total(number(1), number(2), number(3)))
+    digits = F.translate(bare, "0123456789:,", "") == ""
+    return F.when(digits & (F.size(parts) == 3), three).when(digits & (F.size(parts) == 4), four)
 
 
 def parse_seconds(code: Column) -> Column:

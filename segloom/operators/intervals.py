@@ -152,18 +152,16 @@ def _pieces(df: DataFrame, key: str, start: str, end: str) -> DataFrame:
         right = F.when(first < last, piece(last, F.shiftleft(last, WIDTH), hi))
         return [one, left, right], first + 1, last
 
-    wide = df.select(F.col(key).alias("key"), F.col(start).cast("bigint").alias("s"), F.col(end).cast("bigint").alias("e")).where("s < e")
-    made, lo, hi = parts(F.col("s"), F.col("e"), 0)
-    near = wide.where(F.shiftright("s", WIDTH) == F.shiftright(F.col("e") - 1, WIDTH)).select("key", made[0].alias("p"))
-    # A piece that spans buckets is rarer, so only those rows are exploded.
-    far = wide.where(F.shiftright("s", WIDTH) < F.shiftright(F.col("e") - 1, WIDTH)).withColumns({"lo1": lo, "hi1": hi})
-    made1, lo2, hi2 = parts(F.col("lo1"), F.col("hi1"), 1)
-    inside1 = F.col("lo1") < F.col("hi1")
-    far = far.withColumns({"lo2": F.when(inside1, lo2), "hi2": F.when(inside1, hi2)})
-    made2, _, _ = parts(F.col("lo2"), F.col("hi2"), 2)
-    some = F.array(*made[1:], *(F.when(inside1, m) for m in made1), *(F.when(F.col("lo2") < F.col("hi2"), m) for m in made2))
-    exploded = far.select("key", F.explode(F.filter(some, lambda p: p.isNotNull())).alias("p"))
-    return near.unionByName(exploded).select("key", "p.level", "p.bucket", "p.lo", "p.hi")
+    s, e = F.col("s"), F.col("e")
+    made, lo1, hi1 = parts(s, e, 0)
+    made1, lo2, hi2 = parts(lo1, hi1, 1)
+    made2, _, _ = parts(lo2, hi2, 2)
+    two = lo1 < hi1
+    many = F.array(*made[1:], *(F.when(two, m) for m in made1), *(F.when(two & (lo2 < hi2), m) for m in made2))
+    # Most intervals are one piece; only the others build the longer list. Rows of no length have no piece.
+    pieces = F.when((s < e) & (F.shiftright(s, WIDTH) == F.shiftright(e - 1, WIDTH)), F.array(made[0])).when(s < e, F.filter(many, lambda p: p.isNotNull()))
+    wide = df.select(F.col(key).alias("key"), F.col(start).cast("bigint").alias("s"), F.col(end).cast("bigint").alias("e"))
+    return wide.select("key", F.explode(pieces).alias("p")).select("key", "p.level", "p.bucket", "p.lo", "p.hi")
 
 
 def bucket_periods(df: DataFrame, key: str, start: str, end: str) -> DataFrame:
