@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from segloom.functions.binding import let
 from segloom.functions.text import STRIP
 
 # White space as Unicode defines it, to be trimmed without a regular expression.
@@ -19,13 +20,17 @@ def parse_ms(code: Column) -> Column:
     space around the code is ignored. Numbers beyond 64 bits can't be read.
     """
     bare = F.btrim(code, F.lit(_BLANKS))
-    parts = F.split(F.translate(bare, ",", ":"), ":")
-    number = lambda i: F.get(parts, F.lit(i)).try_cast("bigint")
-    total = lambda *terms: F.try_add(F.try_add(F.try_multiply(terms[0], F.lit(60_000)), F.try_multiply(terms[1], F.lit(1000))), terms[2])
-    three = total(number(0), number(1), number(2))
-    four = F.try_add(F.try_multiply(number(0), F.lit(3_600_000)), total(number(1), number(2), number(3)))
-    digits = F.translate(bare, "0123456789:,", "") == ""
-    return F.when(digits & (F.size(parts) == 3), three).when(digits & (F.size(parts) == 4), four)
+
+    def read(parts: Column) -> Column:
+        number = lambda i: F.get(parts, F.lit(i)).try_cast("bigint")
+        total = lambda *terms: F.try_add(F.try_add(F.try_multiply(terms[0], F.lit(60_000)), F.try_multiply(terms[1], F.lit(1000))), terms[2])
+        three = total(number(0), number(1), number(2))
+        four = F.try_add(F.try_multiply(number(0), F.lit(3_600_000)), total(number(1), number(2), number(3)))
+        return F.when(F.size(parts) == 3, three).when(F.size(parts) == 4, four)
+
+    # Anything but digits and the two marks makes the code unreadable.
+    digits = F.when(F.translate(code, _BLANKS + "0123456789:,", "") == "", F.translate(bare, ",", ":"))
+    return let(F.split(digits, ":"), read)
 
 
 def parse_seconds(code: Column) -> Column:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from segloom.operators.ordered import join_null_safe, previous_value
+from segloom.operators.ordered import previous_value
 from segloom.session import materialize
 
 WIDTH = 21
@@ -161,7 +161,7 @@ def _pieces(df: DataFrame, key: str, start: str, end: str) -> DataFrame:
     # Most intervals are one piece; only the others build the longer list. Rows of no length have no piece.
     pieces = F.when((s < e) & (F.shiftright(s, WIDTH) == F.shiftright(e - 1, WIDTH)), F.array(made[0])).when(s < e, F.filter(many, lambda p: p.isNotNull()))
     wide = df.select(F.col(key).alias("key"), F.col(start).cast("bigint").alias("s"), F.col(end).cast("bigint").alias("e"))
-    return wide.select("key", F.explode(pieces).alias("p")).select("key", "p.level", "p.bucket", "p.lo", "p.hi")
+    return wide.where("key is not null").select("key", F.explode(pieces).alias("p")).select("key", "p.level", "p.bucket", "p.lo", "p.hi")
 
 
 def bucket_periods(df: DataFrame, key: str, start: str, end: str) -> DataFrame:
@@ -180,8 +180,7 @@ def interval_gaps(df: DataFrame, key: str, start: str, end: str) -> DataFrame:
 
     A gap is a longest stretch of more than 0 units between two intervals that
     none of the key's intervals covers. Start and end are whole numbers; rows
-    where one is null or the end isn't later are left out. Null keys form a
-    group. Repeated rows change nothing; an empty table gives no rows; further
+    where one is null, the key too, or the end isn't later are left out. Repeated rows change nothing; an empty table gives no rows; further
     columns, whatever their names, are ignored.
     """
     runs = materialize(bucket_periods(df, key, start, end), "periods")
@@ -194,7 +193,7 @@ def interval_gaps(df: DataFrame, key: str, start: str, end: str) -> DataFrame:
     across = swept.where("s > reach").select("key", F.col("reach").alias("gap_start"), F.col("s").alias("gap_end"))
     covered = swept.where("bucket is not null and s < reach").select("key", "bucket")
     inner = runs.where("level = 0 and previous_end is not null")
-    within = join_null_safe(inner, covered, ["key", "bucket"], "left_anti").select(
+    within = inner.join(covered, ["key", "bucket"], "left_anti").select(
         "key", F.col("previous_end").alias("gap_start"), F.col("period_start").alias("gap_end")
     )
     return across.unionByName(within).withColumnRenamed("key", key)
@@ -207,7 +206,7 @@ def merge_intervals(df: DataFrame, key: str, start: str, end: str) -> DataFrame:
     of ``interval_gaps``: a period runs from a gap's end (or the key's first
     start) to the next gap's start (or the key's last end).
     """
-    valid = df.where(F.col(start) < F.col(end))
+    valid = df.where((F.col(start) < F.col(end)) & F.col(key).isNotNull())
     gaps = materialize(interval_gaps(df, key, start, end).withColumnRenamed(key, "key"), "gaps")
     ends = valid.groupBy(F.col(key).alias("key")).agg(F.min(F.col(start).cast("bigint")).alias("first"), F.max(F.col(end).cast("bigint")).alias("last"))
     marks = ends.select("key", F.col("first").alias("at"), F.lit(None).cast("bigint").alias("stop")).unionByName(
@@ -215,5 +214,5 @@ def merge_intervals(df: DataFrame, key: str, start: str, end: str) -> DataFrame:
     )
     marks = marks.withColumn("bucket", F.shiftright("at", WIDTH))
     found = previous_value(marks, "key", "bucket", ["at"], {"next_stop": F.col("stop")}, following=True)
-    full = join_null_safe(found, ends.select("key", "last"), ["key"])
+    full = found.join(ends.select("key", "last"), "key")
     return full.select(F.col("key").alias(key), F.col("at").alias("period_start"), F.coalesce("next_stop", "last").alias("period_end"))

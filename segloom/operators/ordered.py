@@ -7,23 +7,10 @@ small row a bucket carries values from bucket to bucket.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _same(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    return reduce(lambda a, b: a & b, (left[k].eqNullSafe(right[f"__{k}"]) for k in keys))
-
-
-def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
-    """Join on ``keys`` where null equals null; the right side's keys are dropped."""
-    renamed = right.withColumnsRenamed({k: f"__{k}" for k in keys})
-    out = left.join(renamed, _same(left, renamed, keys), how)
-    return out.drop(*[f"__{k}" for k in keys])
-
-
 def previous_value(
     df: DataFrame, key: str, bucket: str, order: list[str], values: dict[str, Column], *, following: bool = False
 ) -> DataFrame:
@@ -31,14 +18,15 @@ def previous_value(
 
     ``bucket`` must grow with the order within a key. ``df`` is read twice, so
     the caller writes it first if it is costly. Rows without such a value get
-    null; null keys form a group; an empty table gives an empty one. Ties in
-    the order are broken arbitrarily, so it should be unique within a key.
+    null; rows with a null key see only their own bucket; an empty table gives
+    an empty one. Ties in the order are broken arbitrarily, so it should be
+    unique within a key.
     """
     turn = (lambda c: F.col(c).desc()) if following else (lambda c: F.col(c).asc())
     df = df.withColumns({f"__v_{name}": value for name, value in values.items()})
     inside = Window.partitionBy(key, bucket).orderBy(*map(turn, order)).rowsBetween(Window.unboundedPreceding, -1)
     along = Window.partitionBy(key).orderBy(turn(bucket)).rowsBetween(Window.unboundedPreceding, -1)
-    place = F.struct(*order)
+    place = F.col(order[0]) if len(order) == 1 else F.struct(*order)
     pick = F.min_by if following else F.max_by
     carried = (
         df.groupBy(key, bucket)
@@ -46,7 +34,8 @@ def previous_value(
         .select(key, bucket, *(F.last(f"__b_{n}", ignorenulls=True).over(along).alias(f"__c_{n}") for n in values))
     )
     local = df.withColumns({f"__l_{n}": F.last(f"__v_{n}", ignorenulls=True).over(inside) for n in values})
-    out = join_null_safe(local, carried, [key, bucket])
+    # Both sides are parted by (key, bucket) already, so the join moves neither.
+    out = local.join(carried, [key, bucket], "left")
     out = out.withColumns({n: F.coalesce(f"__l_{n}", f"__c_{n}") for n in values})
     return out.drop(*(f"__{p}_{n}" for n in values for p in "vlc"))
 
@@ -55,13 +44,13 @@ def dense_position(df: DataFrame, key: str, order: str, out: str, block: int = 4
     """Add the 0-based place of each row within its key by the integer column ``order``.
 
     Blocks of ``order`` values are counted first; a block's place starts where
-    the blocks before it end. Rows with a null order come first.
+    the blocks before it end. Rows whose key or order is null are left out.
     """
-    df = df.withColumn("__block", F.floor(F.col(order) / block))
+    df = df.where(F.col(key).isNotNull() & F.col(order).isNotNull()).withColumn("__block", F.floor(F.col(order) / block))
     along = Window.partitionBy(key).orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
     sizes = df.groupBy(key, "__block").agg(F.count(F.lit(1)).alias("__n"))
     starts = sizes.select(key, "__block", F.coalesce(F.sum("__n").over(along), F.lit(0)).alias("__start"))
     inside = Window.partitionBy(key, "__block").orderBy(order)
     placed = df.withColumn("__row", F.row_number().over(inside))
-    joined = join_null_safe(placed, starts, [key, "__block"])
+    joined = placed.join(starts, [key, "__block"])
     return joined.withColumn(out, F.col("__start") + F.col("__row") - 1).drop("__block", "__row", "__start")

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -49,3 +50,15 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     path = f"{shared_dir(spark)}/segloom/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def hash_sample(df: DataFrame, keys: list[str], bound: int, total: int) -> DataFrame:
+    """At most ``bound`` of the ``total`` rows, chosen by a hash of ``keys``: the same rows each time.
+
+    The share is set before the rows are read, so that no task sends more than
+    its part of the sample.
+    """
+    scale = 1 << 30
+    share = min(1.0, 0.95 * bound / max(1, total))
+    chosen = df.where(F.pmod(F.xxhash64(*keys), F.lit(scale)) < int(share * scale)) if share < 1 else df
+    return chosen.limit(bound)
