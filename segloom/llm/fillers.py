@@ -14,6 +14,9 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from segloom.functions.binding import let
+from segloom.session import hash_sample
+
 # Sounds of hesitation in the five languages of the data.
 HESITATIONS = (
     *("um", "uh", "uhm", "er", "erm", "hmm", "hm", "mm", "mmm", "mhm", "mm-hmm", "uh-huh", "ah", "eh"),
@@ -38,8 +41,10 @@ def _alternation(phrases: tuple[str, ...]) -> str:
 
 def without_marks(content: Column) -> Column:
     """``content`` without label, times and annotations; null gives an empty text."""
-    bare = F.regexp_replace(F.coalesce(content, F.lit("")), _FRONT, " ")
-    return F.regexp_replace(bare, rf"(?U){ANNOTATION}|{TIME}", " ")
+    # The long patterns are only tried where a sign of them is there.
+    labelled = lambda t: F.when(t.contains(":") | t.rlike(r"^\s*[-(\[<]"), F.regexp_replace(t, _FRONT, " ")).otherwise(t)
+    marked = lambda t: F.when(t.rlike(r"[\[({<*♪♫♩♬0-9]"), F.regexp_replace(t, rf"(?U)(?=[\[({{<*♪♫♩♬\d])(?:{ANNOTATION}|{TIME})", " ")).otherwise(t)
+    return let(let(F.coalesce(content, F.lit("")), labelled), marked)
 
 
 def without_fillers(text: Column, fillers: tuple[str, ...]) -> Column:
@@ -58,7 +63,16 @@ def clean_text(content: Column, fillers: tuple[str, ...]) -> Column:
 
 def holds_speech(content: Column, fillers: tuple[str, ...]) -> Column:
     """Whether a letter or digit is left without label, times, annotations and fillers."""
-    return without_fillers(without_marks(content), fillers).rlike(r"[\p{L}\p{N}]")
+    words = sorted({w for p in fillers for w in p.lower().split()})
+
+    def kept(text: Column) -> Column:
+        return without_fillers(text, fillers).rlike(r"[\p{L}\p{N}]")
+
+    # A text that begins with a word, which is no part of a filler, and has no colon (so no label, no time) holds
+    # speech; the patterns are for the others.
+    first = F.rtrim(F.substring_index(F.ltrim(content), " ", 1), F.lit(",.!?"))
+    plain = lambda w: w.rlike(r"^[\p{L}'’]+$") & ~F.lower(w).isin(words) & ~content.contains(":")
+    return F.coalesce(let(first, plain), F.lit(False)) | let(without_marks(content), kept)
 
 
 def _fit(features: np.ndarray, target: np.ndarray, steps: int = 400, rate: float = 0.5) -> np.ndarray:
@@ -82,10 +96,8 @@ def learn_fillers(segments: DataFrame, bound: int = 20_000, least: int = 8) -> t
     chosen by a hash of their id; a phrase seen fewer than ``least`` times stays
     unclassified. An empty table gives the hesitations alone.
     """
-    texts = segments.where("content is not null").select(
-        F.xxhash64("segment_id").alias("h"), "segment_id", F.lower(without_marks(F.col("content"))).alias("t")
-    )
-    sample = [r.t for r in texts.orderBy("h", "segment_id").limit(bound).collect()]
+    chosen = hash_sample(segments.where("content is not null").select("segment_id", "content"), ["segment_id"], bound, segments.count())
+    sample = [r.t for r in chosen.select(F.lower(without_marks(F.col("content"))).alias("t")).collect()]
     total, between, trailing = Counter(), Counter(), Counter()
     word = r"[^\W\d_]+(?:['’-][^\W\d_]+)*"
     for t in sample:
