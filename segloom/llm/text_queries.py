@@ -1,10 +1,11 @@
-"""Queries on pieces (problem 4), token ids (problem 6) and containers (problem 7)."""
+"""Queries on pieces (problem 4), neighbours (5), token ids (6) and containers (7)."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from segloom.llm.neighbours import nearest_neighbours, similar_pairs
 from segloom.llm.packing import CAPACITY, pack_items
 from segloom.llm.splitting import split_texts
 from segloom.llm.tokenizer import count_tokens, encode_texts
@@ -23,6 +24,17 @@ def p4_found(spark: SparkSession, directory: str) -> DataFrame:
     return p4_pieces(spark, directory).select("item_id").distinct()
 
 
+def p5_found(spark: SparkSession, directory: str) -> DataFrame:
+    """The pairs of chunks whose embeddings have a cosine of at least 0.95."""
+    pairs = similar_pairs(table(spark, directory, "child_chunks"), "chunk_id", "embedding", 0.95)
+    return pairs.withColumnsRenamed({"key_a": "chunk_id_a", "key_b": "chunk_id_b"})
+
+
+def p5_neighbours(spark: SparkSession, directory: str) -> DataFrame:
+    """The 10 most similar chunks of every chunk with a usable embedding."""
+    return nearest_neighbours(table(spark, directory, "child_chunks"), "chunk_id", "embedding", 10)
+
+
 def p6_ids(spark: SparkSession, directory: str) -> DataFrame:
     """The token ids of every document."""
     return encode_texts(table(spark, directory, "documents"), "doc_id", "text")
@@ -41,7 +53,7 @@ def p7_fill(spark: SparkSession, directory: str) -> DataFrame:
     return sizes.groupBy(tenth).agg(F.count(F.lit(1)).alias("containers"), F.sum("used").alias("tokens"), F.sum("pieces").alias("pieces"), F.max("used").alias("most"))
 
 
-QUERIES = {"p4_found": p4_found, "p4_pieces": p4_pieces, "p6_ids": p6_ids, "p7_containers": p7_containers, "p7_fill": p7_fill}
+QUERIES = {"p4_found": p4_found, "p4_pieces": p4_pieces, "p5_found": p5_found, "p5_neighbours": p5_neighbours, "p6_ids": p6_ids, "p7_containers": p7_containers, "p7_fill": p7_fill}
 
 _WORDS = "len(list_filter(regexp_split_to_array(text, '[\\s\\x1c-\\x1f\\x85\\p{Z}]+'), lambda x: x <> ''))"
 SQL = {
