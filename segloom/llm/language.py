@@ -45,7 +45,7 @@ _MARKS = re.compile(r"\[[^\]]*\]|\([^)]*\)|\{[^}]*\}|<[^>]*>|\*[^*\n]*\*|[♪♫
 _LABEL = re.compile(r"^\s*(?:>>[^:\n]{1,60}:|-\s+[^\n]{1,50}?\s+-(?=\s)|(?:[^\W\d_][\w#.'-]*(?:[ ,]+[\w#.'()-]+){0,3}\s*:(?=\s)))", re.M)
 _SIGNS = re.compile(r"[\[({<*♪♫♩♬:#@>]")
 _SENTENCE = re.compile(r"(?<=[.!?…;])\s+|\n+|\s+[—–|/•]+\s+")
-_INVISIBLE = dict.fromkeys(map(ord, "​‌‍⁠﻿­"))
+_INVISIBLE = dict.fromkeys([0xAD, 0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF])
 
 
 def label_code(label: str | None) -> str | None:

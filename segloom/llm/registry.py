@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from segloom.llm import language_queries, text_queries, turn_queries
+from segloom.llm import language_queries, text_queries, truncation_queries, turn_queries
 
-_MODULES = [turn_queries, language_queries, text_queries]
+_MODULES = [turn_queries, language_queries, text_queries, truncation_queries]
 
 
 def queries() -> dict:
