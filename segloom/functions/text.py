@@ -105,3 +105,22 @@ def deep_link(video: Column, start_seconds: Column) -> Column:
     return F.concat(
         F.lit("https://www.youtube.com/watch?v="), video, F.lit("&t="), start_seconds.cast("bigint").cast("string"), F.lit("s")
     )
+
+
+# Media types of audio files by suffix.
+MEDIA_TYPES = {".mp3": "audio/mpeg", ".m4a": "audio/mp4", ".webm": "audio/webm", ".opus": "audio/opus", ".ogg": "audio/ogg", ".wav": "audio/wav"}
+
+
+def media_type(path: Column) -> Column:
+    """The media type of a file by its suffix in any case; ``audio/webm`` where it is unknown."""
+    types = F.create_map(*(F.lit(x) for pair in MEDIA_TYPES.items() for x in pair))
+    suffix = F.lower(F.regexp_extract(path, r"(\.[^./]+)$", 1))
+    return F.coalesce(F.try_element_at(types, suffix), F.lit("audio/webm"))
+
+
+def hashed_words(text: Column, dimension: int = 64) -> Column:
+    """An array of (bucket, sign) of the words of ``text`` in lower case, by their MD5: the terms of a hashed embedding."""
+    digest = lambda w: F.md5(w)
+    number = lambda w, at: F.conv(F.substring(digest(w), at, 8), 16, 10).cast("bigint")
+    entry = lambda w: F.struct((number(w, 1) % dimension).cast("int").alias("bucket"), F.when(number(w, 9) % 2 == 0, 1).otherwise(-1).alias("sign"))
+    return F.transform(words(F.lower(text)), entry)

@@ -41,7 +41,7 @@ def parse_seconds(code: Column) -> Column:
     """
     parts = F.split(F.replace(code, F.lit(","), F.lit(":")), ":")
     whole = F.transform(parts, lambda p: F.regexp_replace(p, STRIP, "").try_cast("bigint"))
-    at = lambda i: F.element_at(whole, i)
+    at = lambda i: F.get(whole, F.lit(i - 1))
     three = at(1) * 60 + at(2) + at(3) / F.lit(1000.0)
     four = at(1) * 3600 + at(2) * 60 + at(3) + at(4) / F.lit(1000.0)
     return F.when(F.size(parts) == 3, three).when(F.size(parts) == 4, four).otherwise(F.lit(0.0))
@@ -59,8 +59,8 @@ def normalize(code: Column) -> Column:
     """
     parts = F.split(F.replace(code, F.lit(","), F.lit(":")), ":")
     number = F.transform(parts, lambda p: F.regexp_replace(p, STRIP, "").try_cast("bigint"))
-    at = lambda i: F.element_at(number, i)
-    ms = lambda i: _pad_ms(F.element_at(parts, i))
+    at = lambda i: F.get(number, F.lit(i - 1))
+    ms = lambda i: _pad_ms(F.get(parts, F.lit(i - 1)))
     three = F.format_string("%02d:%02d:%02d,%s", F.floor(at(1) / 60), at(1) % 60, at(2), ms(3))
     four = F.format_string("%02d:%02d:%02d,%s", at(1), at(2), at(3), ms(4))
     return (

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from segloom.plans import interval_queries
+from segloom.plans import interval_queries, ledger_queries, segment_queries, store_queries
 
-_MODULES = [interval_queries]
-FLAGSHIP = "p3_found"
+_MODULES = [segment_queries, store_queries, ledger_queries, interval_queries]
+FLAGSHIP = "search_context"
 
 
 def queries() -> dict:
