@@ -46,6 +46,8 @@ _CLOSED = re.compile(r"[.!?][\"'”’»)\]]*$")
 _ELLIPSIS = re.compile(r"(?:…|\.\.\.)[\"'”’»)\]]*$")
 _CHAPTER = re.compile(r"^\s*\d{1,4}:\d\d(?::\d\d)?\s")
 _BULLET = re.compile(r"^\s*(?:[-*•–—]|\d+[.)])\s+")
+_ACCENT = re.compile("[\u0300-\u036f]+")
+_FOLLOWED = re.compile(r"([^\W_]+(?:['’-][^\W_]+)*)[\"'”’»)\]]*([.!?…,;:]*)")
 _TOKEN = re.compile(r"[^\W_]+(?:['’-][^\W_]+)*|[.!?…]+|[,;:]")
 
 
@@ -75,19 +77,19 @@ def _repair(match: re.Match) -> str:
 def folded(text: str) -> str:
     """Lower case without accents."""
     text = text.lower()
-    return text if text.isascii() else "".join(c for c in unicodedata.normalize("NFD", text) if not unicodedata.combining(c))
+    return text if text.isascii() else _ACCENT.sub("", unicodedata.normalize("NFD", text))
 
 
 def lengths(text: str) -> list[int]:
     """The text's length in each of ``ENCODINGS``."""
-    raw = len(text.encode("utf-8", "surrogatepass"))
+    n, raw = len(text), len(text.encode("utf-8", "surrogatepass"))
     breaks = text.count("\n")
     lone = breaks - text.count("\r\n")
-    wide = sum(c > "\uffff" for c in text) if not text.isascii() else 0
     marks = 4 * text.count("&") + 3 * (text.count("<") + text.count(">")) + 5 * text.count('"') + 5 * text.count("'")
     escapes = breaks + text.count("\r") + text.count("\t") + text.count('"') + text.count("\\")
-    n = len(text)
-    beyond = 0 if text.isascii() else sum(c > "\x7f" for c in text)
+    plain = text.isascii()
+    wide = 0 if plain else len(text.encode("utf-16-le", "surrogatepass")) // 2 - n
+    beyond = 0 if plain else n - len(text.encode("ascii", "ignore"))
     return [n, raw, n + wide, n + marks, raw + marks, n + escapes, n + escapes + 5 * beyond + 6 * wide, n + lone, raw + lone]
 
 
@@ -144,28 +146,28 @@ def _words(line: str) -> list[str]:
     return _TOKEN.findall(folded(line))
 
 
-def continuations(text: str) -> Iterator[tuple[str, str, str, bool]]:
-    """(kind, word, next word, whether a sentence or list line ends there) throughout a text; its very end says nothing."""
+def continuations(text: str, held: Counter) -> None:
+    """Add to ``held`` each (kind, word, next word, whether a sentence or list line ends there); a text's very end says nothing."""
     lines = core(plain(text))[0].split("\n")
+    last = len(lines) - 1
     for n, line in enumerate(lines):
-        last = n == len(lines) - 1
         chapter = bool(_CHAPTER.match(line))
         kind = "chapter" if chapter else "prose"
         listed = chapter or bool(_BULLET.match(line))
-        words = _words(_CHAPTER.sub("", line) if chapter else _BULLET.sub("", line))
+        pairs = _FOLLOWED.findall(folded(_CHAPTER.sub("", line) if chapter else line))
+        if not pairs:
+            continue
+        final, mark = pairs.pop()
         before = "^"
-        for i, word in enumerate(words):
-            if word[0] in ".!?…":
+        for word, follows in pairs:
+            if follows and follows[0] in ".!?…":
+                held[kind, before, word, follows[0] != "…" and ".." not in follows] += 1
                 before = "^"
-                continue
-            if word in ",;:":
-                continue
-            if i + 1 < len(words):
-                following = words[i + 1]
-                yield kind, before, word, following[0] in ".!?" and ".." not in following
-            elif not last and listed:
-                yield kind, before, word, True
-            before = word
+            else:
+                held[kind, before, word, False] += 1
+                before = word
+        if n < last and (mark or listed):
+            held[kind, before, final, listed and not mark or mark[:1] in (".", "!", "?") and ".." not in mark] += 1
 
 
 def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,7 +196,7 @@ def _counted(batches: Iterator[pa.RecordBatch], most: int = 400_000) -> Iterator
     for batch in batches:
         for text in batch.column(0).to_pylist():
             if text:
-                held.update(continuations(text))
+                continuations(text, held)
                 if len(held) > most:
                     yield flush()
     yield flush()
