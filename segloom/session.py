@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +24,20 @@ def get_session(app: str = "segloom", master: str | None = None, **conf: str) ->
     return builder.getOrCreate()
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once a Spark context, so that their Python can import it."""
+    context = spark.sparkContext
+    if getattr(context, "_segloom_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="segloom-")) / "segloom.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(root.rglob("*.py")):
+            out.write(file, Path(root.name) / file.relative_to(root))
+    context.addPyFile(str(archive))
+    context._segloom_shipped = True
+
+
 def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     """The Parquet table ``name`` (a file or a folder) of ``directory``."""
     return spark.read.parquet(f"{directory}/{name}.parquet")
