@@ -237,8 +237,9 @@ def truncated(documents: DataFrame, key: str = "doc_id", text: str = "text", sou
     Broken is a text that ends in a half mark, escape, link or byte sequence or
     in a mark put after a break; one whose last two words end no sentence
     elsewhere in the corpus (in less than ``share`` of their occurrences), or
-    never occur elsewhere, unless at least ``closers`` different texts end in
-    the same fragment and no longer word continues it; and one without a
+    never occur elsewhere, unless at least ``closers`` different texts, and no
+    fewer than have these words elsewhere, end in the same fragment and no
+    longer word continues it; and one without a
     closing mark at a hidden limit of its source. A text with a closing mark, a
     phrase that trails off on purpose, a list of complete items and a text of
     fewer than three words are complete; so are null and blank texts. Copies of
@@ -250,24 +251,25 @@ def truncated(documents: DataFrame, key: str = "doc_id", text: str = "text", sou
     known = materialize(counts.groupBy("kind", "before", "word").agg(F.sum(F.when(F.col("ends"), F.col("n")).otherwise(0)).alias("ends"), F.sum("n").alias("n")), "continuations")
     undecided = endings.where("verdict in ('open', 'trailing')")
     pairs = undecided.select("kind", "before", "word").distinct().join(known, ["kind", "before", "word"], "left").fillna(0, ["ends", "n"])
-    # Never seen elsewhere: is it the beginning of a longer word that is?
-    unseen = pairs.where("n = 0").select("kind", "before", "word", F.substring("word", 1, 1).alias("initial"))
+    # Pairs that hardly end a sentence elsewhere: is the last word the beginning of a longer, more frequent one?
+    unseen = pairs.where(F.col("ends") <= share * F.col("n")).select("kind", "before", "word", "n", F.substring("word", 1, 1).alias("initial"))
+    whole_words = known.select("kind", "before", F.col("word").alias("whole"), F.col("n").alias("whole_n"), F.substring("word", 1, 1).alias("initial"))
     longer = (
-        unseen.join(known.select("kind", "before", F.col("word").alias("whole"), F.substring("word", 1, 1).alias("initial")), ["kind", "before", "initial"])
-        .where(F.col("whole").startswith(F.col("word")) & (F.length("whole") > F.length("word")))
+        unseen.join(whole_words, ["kind", "before", "initial"])
+        .where(F.col("whole").startswith(F.col("word")) & (F.length("whole") > F.length("word")) & (F.col("whole_n") > F.col("n")))
         .select("kind", "before", "word")
         .distinct()
         .withColumn("cut", F.lit(True))
     )
     # A pair of words that is new, as after odd insertions, is judged by its last word alone.
     alone = known.groupBy("kind", "word").agg(F.sum("ends").alias("word_ends"), F.sum("n").alias("word_n"))
-    alone = alone.join(unseen.select("kind", "word").distinct(), ["kind", "word"]).where("word_n >= 20 and word_ends >= 0.3 * word_n").select("kind", "word", F.lit(True).alias("final"))
+    alone = alone.join(unseen.where("n = 0").select("kind", "word").distinct(), ["kind", "word"]).where("word_n >= 20 and word_ends >= 0.3 * word_n").select("kind", "word", F.lit(True).alias("final"))
     repeated = undecided.groupBy("fragment").agg(F.count_distinct("copy").alias("texts"))
-    # A byte limit leaves out a last character that doesn't fit; a cut before an ellipsis goes back to a whole word.
-    limit = hidden_limits(endings)
-    back = F.when(F.col("verdict") == "trailing", 24).when(F.col("encoding").contains("utf8"), 3).otherwise(0)
-    kinds = documents.sparkSession.createDataFrame([("open",), ("trailing",)], "verdict string")
-    reach = limit.join(F.broadcast(kinds)).select("source", "e", "verdict", F.explode(F.sequence(F.col("length") - back, F.col("length"))).alias("length")).distinct()
+    # A byte limit leaves out a last character that doesn't fit. Where a source cuts at a whole word and adds an
+    # ellipsis, the lengths of such texts alone show its limit, and reach somewhat below it.
+    tight = F.when(F.col("encoding").contains("utf8"), 3).otherwise(0)
+    reaching = lambda limits, verdict, back: limits.select("source", "e", F.lit(verdict).alias("verdict"), F.explode(F.sequence(F.col("length") - back, F.col("length"))).alias("length"))
+    reach = reaching(hidden_limits(endings), "open", tight).unionByName(reaching(hidden_limits(endings.where("verdict = 'trailing'")), "trailing", F.lit(24))).distinct()
     at = undecided.select("copy", "source", "verdict", F.posexplode("lengths").alias("e", "length")).join(reach, ["source", "e", "verdict", "length"], "left_semi")
     at = at.select("source", "copy").distinct().withColumn("at_limit", F.lit(True))
     full = (
@@ -279,7 +281,7 @@ def truncated(documents: DataFrame, key: str = "doc_id", text: str = "text", sou
         .join(at, ["source", "copy"], "left")
     )
     flag = lambda c: F.coalesce(F.col(c), F.lit(False))
-    closer = (F.col("n") == 0) & ~flag("cut") & (F.col("texts") >= closers)
+    closer = ~flag("cut") & (F.col("texts") >= F.greatest(F.lit(closers), F.col("n")))
     ends_here = (F.col("n") > 0) & (F.col("ends") >= share * F.col("n")) | (F.col("n") == 0) & ~flag("cut") & flag("final")
     whole = closer | F.col("fragment").isin(*TRAILING) | ends_here & ~flag("at_limit")
     whole = F.when(F.col("verdict") == "trailing", whole).otherwise((closer | ends_here) & ~flag("at_limit"))
