@@ -29,7 +29,7 @@ def parse_ms(code: Column) -> Column:
         return F.when(F.size(parts) == 3, three).when(F.size(parts) == 4, four)
 
     # Anything but digits and the two marks makes the code unreadable.
-    digits = F.when(F.translate(code, _BLANKS + "0123456789:,", "") == "", F.translate(bare, ",", ":"))
+    digits = F.when(F.translate(bare, "0123456789:,", "") == "", F.translate(bare, ",", ":"))
     return let(F.split(digits, ":"), read)
 
 
