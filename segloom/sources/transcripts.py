@@ -34,7 +34,7 @@ def read_transcripts(spark: SparkSession, path: str) -> tuple[DataFrame, DataFra
     files = files.where(~F.col("stem").endswith("_chunks") & (F.col("stem") != "manifest"))
     named = files.select(tx.stem_id(F.col("stem")).alias("video_id"), tx.stem_title(F.col("stem")).alias("video_title"), "segments", "_corrupt_record")
     segments = named.select("video_id", "video_title", F.posexplode("segments").alias("seg_index", "s")).select("video_id", "video_title", "seg_index", "s.*")
-    return segments, named.where("_corrupt_record is not null").select("video_id", F.col("_corrupt_record").alias("record"))
+    return segments, named.where("_corrupt_record is not null and segments is null").select("video_id", F.col("_corrupt_record").alias("record"))
 
 
 def write_transcripts(segments: DataFrame, path: str) -> None:
