@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from segloom.session import materialize
+
 #: rule(sum so far, rows so far, weight, flag a, flag b) -> whether a group ends before the row, elementwise.
 Rule = Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray], np.ndarray]
 
@@ -64,7 +66,8 @@ def greedy_groups(df: DataFrame, key: str, rule: Rule, *, least: int, block: int
     less than ``least`` joins the one before it, if there is one. No group may
     be longer than ``margin`` rows, which holds where each row weighs at least 1
     and the rule ends a group at some weight below ``margin``. Rows with a null
-    key are left out; an empty table gives no rows.
+    key are left out; an empty table gives no rows. ``df`` is read twice, so
+    the caller writes it first if it is costly.
     """
     kind = df.schema[key].dataType.simpleString()
     rows = df.where(F.col(key).isNotNull()).select(F.col(key).alias("key"), F.col("pos").cast("bigint"), F.col("weight").cast("bigint"), "a", "b")
@@ -105,12 +108,12 @@ def greedy_groups(df: DataFrame, key: str, rule: Rule, *, least: int, block: int
             begins[at] = 1
             at = int(end[at])
         group = start["first"][0].as_py() + np.cumsum(begins) - 1
-        return pa.table([pa.concat_arrays([head.combine_chunks()] * 0) if not n else pa.repeat(head[0].as_py(), n).cast(head.type), pa.array(pos[:n]), pa.array(group)], names=["key", "pos", "group"])
+        return pa.table([pa.repeat(head[0].as_py(), n).cast(head.type), pa.array(pos[:n]), pa.array(weight[:n]), pa.array(group)], names=["key", "pos", "weight", "group"])
 
-    marked = spread.groupBy("key", "block").cogroup(entries.groupBy("key", "block")).applyInArrow(mark, f"key {kind}, pos bigint, group bigint")
-    weighed = marked.join(rows.select("key", "pos", "weight"), ["key", "pos"])
-    sums = weighed.groupBy("key", "group").agg(F.sum("weight").alias("sum"))
+    marked = spread.groupBy("key", "block").cogroup(entries.groupBy("key", "block")).applyInArrow(mark, f"key {kind}, pos bigint, weight bigint, group bigint")
+    marked = materialize(marked, "groups")
+    sums = marked.groupBy("key", "group").agg(F.sum("weight").alias("sum"))
     last = sums.groupBy("key").agg(F.max("group").alias("group"), F.max_by("sum", "group").alias("sum"))
     tail = last.where((F.col("sum") < least) & (F.col("group") > 0)).select("key", "group", (F.col("group") - 1).alias("merged"))
-    out = weighed.join(tail, ["key", "group"], "left")
+    out = marked.join(tail, ["key", "group"], "left")
     return out.select(F.col("key").alias(key), "pos", F.coalesce("merged", "group").cast("int").alias("group"))

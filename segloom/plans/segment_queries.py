@@ -79,7 +79,7 @@ def overlap_context(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def parent_assign(spark: SparkSession, directory: str) -> DataFrame:
-    return ch.parent_assignment(built_children(spark, directory))
+    return ch.parent_assignment(materialize(built_children(spark, directory), "children"))
 
 
 def built_parents(spark: SparkSession, directory: str) -> DataFrame:
