@@ -233,7 +233,9 @@ def nearest_candidates(
     Every usable vector (see ``unit_vectors``) is in the index of one shard and
     asks the shards of its ``ask`` nearest centres; similarity is the cosine. The
     centres are fitted on at most ``sample_bound`` vectors, one for about
-    ``shard_size`` vectors. A shard of more than twice that size is salted into
+    ``shard_size`` vectors and at most one for eight of the sample (so their
+    number is bounded; a corpus of more than ``sample_bound / 8 * shard_size``
+    vectors wants a larger sample). A shard of more than twice that size is salted into
     several, each with a graph of its own that all its askers ask; askers are
     taken in blocks. So no group grows with the data. An empty table, or one
     vector alone, gives no rows.
@@ -249,7 +251,7 @@ def nearest_candidates(
     # One row a shard: how many parts it has, and in how many blocks its askers come.
     askers = placed.select(F.explode("near").alias("shard")).groupBy("shard").agg(F.count(F.lit(1)).alias("asked"))
     shape = homes.join(askers, "shard").select("shard", F.greatest(F.lit(1), F.ceil(F.col("n") / (2 * shard_size))).cast("int").alias("parts"), F.ceil(F.col("asked") / (8 * shard_size)).cast("int").alias("blocks"))
-    shape = F.broadcast(materialize(shape, "shape"))
+    shape = F.broadcast(materialize(shape, "shape"))  # at most sample_bound / 8 rows
     part = F.pmod(F.xxhash64("key"), F.col("parts")).cast("int").alias("part")
     stored = placed.select("key", "vec", F.col("near")[0].alias("shard")).join(shape, "shard").select("shard", part, "key", "vec", "blocks")
 

@@ -55,7 +55,7 @@ def p7_fill(spark: SparkSession, directory: str) -> DataFrame:
 
 QUERIES = {"p4_found": p4_found, "p4_pieces": p4_pieces, "p5_found": p5_found, "p5_neighbours": p5_neighbours, "p6_ids": p6_ids, "p7_containers": p7_containers, "p7_fill": p7_fill}
 
-_WORDS = "len(list_filter(regexp_split_to_array(text, '[\\s\\x1c-\\x1f\\x85\\p{Z}]+'), lambda x: x <> ''))"
+_WORDS = "len(list_filter(regexp_split_to_array(text, '[\\s\\x0b\\x1c-\\x1f\\x85\\p{Z}]+'), lambda x: x <> ''))"
 SQL = {
     "p4_found": f"""
 select distinct item_id from (
