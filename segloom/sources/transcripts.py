@@ -63,6 +63,16 @@ def read_chunked(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame,
     return videos, children, files.select(F.explode("parent_chunks").alias("p")).select("p.*")
 
 
+def write_chunked(videos: DataFrame, children: DataFrame, parents: DataFrame, path: str) -> None:
+    """The chunked videos as JSON lines, parted by video and kind (``video``, ``chunk``, ``parent``), keys without a value left out.
+
+    A line is one header, chunk or parent, so that no video has to fit one value.
+    """
+    lines = lambda df, kind: df.select("video_id", F.lit(kind).alias("kind"), F.to_json(F.struct(*[c for c in df.columns if c != "embedding"])).alias("value"))
+    rows = lines(videos, "video").unionByName(lines(children, "chunk")).unionByName(lines(parents, "parent"))
+    rows.write.mode("overwrite").partitionBy("video_id", "kind").text(path)
+
+
 def manifest(rollup: DataFrame) -> DataFrame:
     """Rows (video_id, title, chunks, parent_chunks) and a last one, with a null id, of the totals."""
     rows = rollup.select("video_id", F.col("video_title").alias("title"), "chunks", "parent_chunks")

@@ -103,6 +103,10 @@ def test_files(spark, tmp_path):
     assert [c.cue_no for c in cues] == [1, 2] and cues[0].cue.startswith("1\n00:00:01,000 --> 00:00:02,000\n")
     transcripts.write_transcripts(ready, str(tmp_path / "out"))
     assert spark.read.text(str(tmp_path / "out")).count() == 2
+    transcripts.write_chunked(videos, children, parents.select("video_id", "parent_chunk_id"), str(tmp_path / "chunked"))
+    kept = spark.read.text(str(tmp_path / "chunked"))
+    assert {(r.video_id, r.kind) for r in kept.collect()} == {("v", "video"), ("v", "chunk")}
+    assert json.loads(kept.where("kind = 'chunk'").collect()[0].value)["chunk_id"] == "v_000"
     (tmp_path / "ledger.csv").write_text("video_id,url,title,status,error,processed_at,input_tokens,output_tokens,cost_usd\na,u,t,done,,2024,,x,1.5\n")
     rows = transcripts.read_ledger(spark, str(tmp_path / "ledger.csv"))
     assert [(r.input_tokens, r.output_tokens, r.cost_usd) for r in rows.collect()] == [(0, 0, 1.5)]
