@@ -32,7 +32,7 @@ TRAILING = (
     *("continua", "continua na proxima", "quem sabe", "e assim por diante"),
 )
 
-_INVISIBLE = dict.fromkeys([0xAD, 0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF, 0xFE0F, *range(0x1F3FB, 0x1F400)])
+_INVISIBLE = re.compile("[\u00ad\u200b\u200c\u200d\u2060\ufeff\ufe0f\U0001f3fb-\U0001f3ff]+")
 _PICTURE = "[\U0001f000-\U0001faff\u2600-\u27bf\u2b00-\u2bff\ufe0f]"
 #: What may follow a complete text.
 _AFTER = re.compile(
@@ -60,9 +60,7 @@ def plain(text: str) -> str:
             text = text.encode("cp1252").decode("utf-8")
         except UnicodeError:
             text = re.sub("[\u00c2\u00c3\u00e2][\x80-\u00ff\u0152-\u0192\u02c6-\u02dc\u2013-\u203a\u20ac\u2122]{1,2}", _repair, text)
-    if not text.isascii():
-        text = text.translate(_INVISIBLE)
-    return text
+    return text if text.isascii() else _INVISIBLE.sub("", text)
 
 
 def _repair(match: re.Match) -> str:
@@ -97,7 +95,7 @@ def core(text: str) -> tuple[str, bool]:
     """A plain text without what may follow a complete one, and whether a mark of a break was met."""
     rest = text.rstrip()
     while rest:
-        tail = rest[-400:]
+        tail = rest[-200:]
         if m := _AFTER.search(tail):
             rest = rest[: len(rest) - len(tail) + m.start()].rstrip()
         else:
