@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Unicode white space; Java's \s with (?U) lacks the four information separators.
-SPACE = r"(?U)[\s\x1c-\x1f]+"
-STRIP = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+from segloom.functions.binding import let
+
+# White space as Unicode defines it: to be trimmed without a pattern, and as a class of characters.
+BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+SPACE = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
 TOKENS_PER_WORD = 1.3
 
 # Openings that mark a segment as the continuation of the one before it.
@@ -35,19 +37,18 @@ def is_continuation(text: Column) -> Column:
 
 def strip(text: Column) -> Column:
     """``text`` without white space at its ends; null stays null."""
-    return F.regexp_replace(text, STRIP, "")
+    return F.btrim(text, F.lit(BLANKS))
 
 
 def words(text: Column) -> Column:
     """The words of ``text``; null and blank give an empty array."""
-    bare = strip(F.coalesce(text, F.lit("")))
-    return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, SPACE))
+    none = F.array().cast("array<string>")
+    return let(strip(F.coalesce(text, F.lit(""))), lambda bare: F.when(bare == "", none).otherwise(F.split(bare, SPACE)))
 
 
 def word_count(text: Column) -> Column:
     """Number of words; null and blank give 0."""
-    bare = strip(F.coalesce(text, F.lit("")))
-    return F.when(bare == "", F.lit(0)).otherwise(F.size(F.split(bare, SPACE)))
+    return F.size(words(text))
 
 
 def token_estimate(count: Column) -> Column:
@@ -68,15 +69,13 @@ def overlap_words(n_tokens: int) -> int:
 def last_tokens(text: Column, n_tokens: int) -> Column:
     """The last words of ``text``; a text that is short enough comes back unchanged."""
     n = overlap_words(n_tokens)
-    w = words(text)
-    return F.when(F.size(w) <= n, text).otherwise(F.array_join(F.slice(w, -n, n), " "))
+    return let(words(text), lambda w: F.when(F.size(w) <= n, text).otherwise(F.array_join(F.slice(w, -n, n), " ")))
 
 
 def first_tokens(text: Column, n_tokens: int) -> Column:
     """The first words of ``text``; a text that is short enough comes back unchanged."""
     n = overlap_words(n_tokens)
-    w = words(text)
-    return F.when(F.size(w) <= n, text).otherwise(F.array_join(F.slice(w, 1, n), " "))
+    return let(words(text), lambda w: F.when(F.size(w) <= n, text).otherwise(F.array_join(F.slice(w, 1, n), " ")))
 
 
 def sanitize_title(title: Column, length: int = 100) -> Column:

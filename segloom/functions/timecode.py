@@ -6,10 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from segloom.functions.binding import let
-from segloom.functions.text import STRIP
-
-# White space as Unicode defines it, to be trimmed without a regular expression.
-_BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+from segloom.functions.text import strip
 
 
 def parse_ms(code: Column) -> Column:
@@ -19,7 +16,7 @@ def parse_ms(code: Column) -> Column:
     front; colons and commas part them, each part is digits only and white
     space around the code is ignored. Numbers beyond 64 bits can't be read.
     """
-    bare = F.btrim(code, F.lit(_BLANKS))
+    bare = strip(code)
 
     def read(parts: Column) -> Column:
         number = lambda i: F.get(parts, F.lit(i)).try_cast("bigint")
@@ -40,7 +37,7 @@ def parse_seconds(code: Column) -> Column:
     whose parts are no integers is null (a bad row must not fail the job).
     """
     parts = F.split(F.replace(code, F.lit(","), F.lit(":")), ":")
-    whole = F.transform(parts, lambda p: F.regexp_replace(p, STRIP, "").try_cast("bigint"))
+    whole = F.transform(parts, lambda p: strip(p).try_cast("bigint"))
     at = lambda i: F.get(whole, F.lit(i - 1))
     three = at(1) * 60 + at(2) + at(3) / F.lit(1000.0)
     four = at(1) * 3600 + at(2) * 60 + at(3) + at(4) / F.lit(1000.0)
@@ -58,7 +55,7 @@ def normalize(code: Column) -> Column:
     are only padded. What can't be read, null too, is ``00:00:00,000``.
     """
     parts = F.split(F.replace(code, F.lit(","), F.lit(":")), ":")
-    number = F.transform(parts, lambda p: F.regexp_replace(p, STRIP, "").try_cast("bigint"))
+    number = F.transform(parts, lambda p: strip(p).try_cast("bigint"))
     at = lambda i: F.get(number, F.lit(i - 1))
     ms = lambda i: _pad_ms(F.get(parts, F.lit(i - 1)))
     three = F.format_string("%02d:%02d:%02d,%s", F.floor(at(1) / 60), at(1) % 60, at(2), ms(3))

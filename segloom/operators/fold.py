@@ -23,14 +23,13 @@ from segloom.session import materialize
 Rule = Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray], np.ndarray]
 
 
-def group_ends(weight: np.ndarray, a: np.ndarray, b: np.ndarray, rule: Rule) -> np.ndarray:
-    """For each row, the row before which a group that begins there ends; the number of rows where it doesn't."""
-    n = len(weight)
-    end = np.full(n, n, np.int64)
-    start = np.arange(n)
-    total, count, at = weight.astype(np.int64), np.ones(n, np.int64), start + 1
+def group_ends(weight: np.ndarray, a: np.ndarray, b: np.ndarray, rule: Rule, stop: np.ndarray) -> np.ndarray:
+    """For each row, the row before which a group that begins there ends, at the latest at its ``stop`` (the end of its key)."""
+    end = stop.copy()
+    start = np.arange(len(weight))
+    total, count, at = weight.astype(np.int64), np.ones(len(weight), np.int64), start + 1
     while len(start):
-        live = at < n
+        live = at < stop[start]
         start, total, count, at = start[live], total[live], count[live], at[live]
         if not len(start):
             break
@@ -42,48 +41,72 @@ def group_ends(weight: np.ndarray, a: np.ndarray, b: np.ndarray, rule: Rule) ->
     return end
 
 
-def leave(end: np.ndarray, own: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each of a block's own rows: where the groups from there leave the block, and how many begin in it."""
+def leave(end: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each row: where the groups from there leave the block's own rows, and how many begin in it."""
     jump = np.append(end, len(end))
-    inside = np.arange(len(jump)) < own
+    inside = np.append(own, False)
     count = inside.astype(np.int64)
-    while (jump[inside] < own).any():
-        on = inside & (jump < own)
-        count = np.where(on, count + count[np.minimum(jump, len(end))], count)
-        jump = np.where(on, jump[np.minimum(jump, len(end))], jump)
-    return jump[:own], count[:own]
+    while (on := inside & inside[jump]).any():
+        count = np.where(on, count + count[jump], count)
+        jump = np.where(on, jump[jump], jump)
+    return jump[:-1], count[:-1]
 
 
-def _arrays(t: pa.Table) -> tuple[np.ndarray, ...]:
-    t = t.sort_by("pos")
-    return tuple(t[c].to_numpy() for c in ("pos", "weight", "a", "b", "own"))
+class _Rows:
+    """The rows of some keys of one block, by key and place; a key's own rows come before those of its margin."""
 
+    def __init__(self, t: pa.Table) -> None:
+        self.t = t.sort_by([("key", "ascending"), ("pos", "ascending")]).combine_chunks()
+        self.weight, self.a, self.b, self.own = (self.t[c].to_numpy() for c in ("weight", "a", "b", "own"))
+        code = self.t["key"].combine_chunks().dictionary_encode().indices.to_numpy()
+        change = np.ones(len(code), bool)
+        change[1:] = code[1:] != code[:-1]
+        self.first = np.flatnonzero(change)
+        self.last = np.append(self.first[1:], len(code))
+        self.number = np.cumsum(change) - 1
+        self.keys = self.t["key"].combine_chunks().take(pa.array(self.first))
+        self.own_end = self.first + np.add.reduceat(self.own.astype(np.int64), self.first)
 
-def greedy_groups(df: DataFrame, key: str, rule: Rule, *, least: int, block: int = 8192, margin: int = 1024) -> DataFrame:
+    def ends(self, rule: Rule) -> np.ndarray:
+        return group_ends(self.weight, self.a, self.b, rule, self.last[self.number])
+
+
+def _lists(values: np.ndarray, first: np.ndarray, last: np.ndarray) -> pa.ListArray:
+    """The stretches [first, last) of ``values`` as lists."""
+    size = last - first
+    offsets = np.concatenate([[0], np.cumsum(size)])
+    place = np.arange(offsets[-1]) - np.repeat(offsets[:-1] - first, size)
+    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values[place].astype(np.int32)))
+
+
+def greedy_groups(df: DataFrame, key: str, rule: Rule, *, least: int, block: int = 8192, margin: int = 1024, part_size: int = 50_000) -> DataFrame:
     """Rows (key, pos, group) for rows (key, pos, weight, a, b), pos dense from 0 in each key.
 
     Groups are formed greedily by ``rule``. A last group whose weights sum to
     less than ``least`` joins the one before it, if there is one. No group may
     be longer than ``margin`` rows, which holds where each row weighs at least 1
     and the rule ends a group at some weight below ``margin``. Rows with a null
-    key are left out; an empty table gives no rows. ``df`` is read twice, so
-    the caller writes it first if it is costly.
+    key are left out; an empty table gives no rows. ``df`` is read three times,
+    so the caller writes it first if it is costly. Keys are worked on together,
+    the same block of all keys of a part of about ``part_size`` rows at a time.
     """
     kind = df.schema[key].dataType.simpleString()
     rows = df.where(F.col(key).isNotNull()).select(F.col(key).alias("key"), F.col("pos").cast("bigint"), F.col("weight").cast("bigint"), "a", "b")
     at = F.floor(F.col("pos") / block)
     homes = F.when((F.col("pos") % block < margin) & (at > 0), F.array(at, at - 1)).otherwise(F.array(at))
-    spread = rows.select("*", F.explode(homes).alias("block")).withColumn("own", at == F.col("block"))
+    parts = max(1, df.count() // part_size)
+    part = F.pmod(F.xxhash64("key"), F.lit(parts)).cast("int")
+    spread = rows.select("*", F.explode(homes).alias("block"), part.alias("part")).withColumn("own", at == F.col("block"))
 
     def summary(t: pa.Table) -> pa.Table:
-        head = t.slice(0, 1).select(["key", "block"])
-        _, weight, a, b, own = _arrays(t)
-        n = int(own.sum())
-        out, count = leave(group_ends(weight, a, b, rule), n)
-        out, count = (out - n)[:margin], count[:margin]
-        return head.append_column("out", pa.array([out.tolist()], pa.list_(pa.int32()))).append_column("count", pa.array([count.tolist()], pa.list_(pa.int32())))
+        r = _Rows(t)
+        out, count = leave(r.ends(rule), r.own)
+        entries = np.minimum(r.first + margin, r.own_end)
+        block = pa.array(np.full(len(r.keys), t["block"][0].as_py(), np.int64))
+        return pa.table([r.keys, block, _lists(out - r.own_end[r.number], r.first, entries), _lists(count, r.first, entries)], names=["key", "block", "out", "count"])
 
-    blocks = spread.groupBy("key", "block").applyInArrow(summary, f"key {kind}, block bigint, out array<int>, count array<int>")
+    blocks = spread.groupBy("part", "block").applyInArrow(summary, f"key {kind}, block bigint, out array<int>, count array<int>")
+    blocks = materialize(blocks, "blocks")
 
     def chain(t: pa.Table) -> pa.Table:
         t = t.sort_by("block")
@@ -94,23 +117,35 @@ def greedy_groups(df: DataFrame, key: str, rule: Rule, *, least: int, block: int
             entry = out[entry] if entry < len(out) else entry - len(out)
         return t.select(["key", "block"]).append_column("entry", pa.array(entries, pa.int64())).append_column("first", pa.array(firsts, pa.int64()))
 
-    entries = blocks.groupBy("key").applyInArrow(chain, f"key {kind}, block bigint, entry bigint, first bigint")
-
-    def mark(rows: pa.Table, start: pa.Table) -> pa.Table:
-        head = rows.slice(0, 1)["key"]
-        pos, weight, a, b, own = _arrays(rows)
-        n = int(own.sum())
-        end = group_ends(weight, a, b, rule)
-        begins = np.zeros(n, np.int64)
-        entry = start["entry"][0].as_py()
-        at = entry
-        while at < n:
-            begins[at] = 1
-            at = int(end[at])
-        group = start["first"][0].as_py() + np.cumsum(begins) - 1
-        return pa.table([pa.repeat(head[0].as_py(), n).cast(head.type), pa.array(pos[:n]), pa.array(weight[:n]), pa.array(group)], names=["key", "pos", "weight", "group"])
-
-    marked = spread.groupBy("key", "block").cogroup(entries.groupBy("key", "block")).applyInArrow(mark, f"key {kind}, pos bigint, weight bigint, group bigint")
+    # Most keys are one block, which is entered at its first row; only the others are chained.
+    longer = blocks.where("block > 0").select("key").distinct()
+    entries = blocks.join(longer, "key", "left_semi").groupBy("key").applyInArrow(chain, f"key {kind}, block bigint, entry bigint, first bigint")
+    single = blocks.join(longer, "key", "left_anti").select("key", "block", F.lit(0).cast("bigint").alias("entry"), F.lit(0).cast("bigint").alias("first"))
+    entries = entries.unionByName(single).withColumn("part", part)
+
+    def mark(rows: pa.Table, starts: pa.Table) -> pa.Table:
+        r = _Rows(rows)
+        end = r.ends(rule)
+        starts = starts.sort_by("key")  # the same keys in the same order
+        entry, first = starts["entry"].to_numpy(), starts["first"].to_numpy()
+        n = len(end)
+        reached = np.zeros(n + 1, bool)
+        begin = r.first + entry
+        reached[begin[begin < r.own_end]] = True
+        # Successors of groups within a key's own rows, squared until all are known.
+        jump = np.append(np.where(end < r.own_end[r.number], end, n), n)
+        while True:
+            known = np.flatnonzero(reached[:n])
+            reached[jump[known]] = True
+            if int(reached[:n].sum()) == len(known):
+                break
+            jump = jump[jump]
+        total = np.cumsum(reached[:n])
+        before = total[r.first] - reached[r.first]
+        group = first[r.number] + total - before[r.number] - 1
+        return pa.table([r.t["key"], r.t["pos"], r.t["weight"], pa.array(group)], names=["key", "pos", "weight", "group"]).filter(pa.array(r.own))
+
+    marked = spread.groupBy("part", "block").cogroup(entries.groupBy("part", "block")).applyInArrow(mark, f"key {kind}, pos bigint, weight bigint, group bigint")
     marked = materialize(marked, "groups")
     sums = marked.groupBy("key", "group").agg(F.sum("weight").alias("sum"))
     last = sums.groupBy("key").agg(F.max("group").alias("group"), F.max_by("sum", "group").alias("sum"))

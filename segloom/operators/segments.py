@@ -27,8 +27,9 @@ def timed_segments(segments: DataFrame) -> DataFrame:
 
 def deliver_once(segments: DataFrame, key: str = "segment_id") -> DataFrame:
     """One row a key: the first delivery. Rows with a null key are kept."""
-    first = segments.where(F.col(key).isNotNull()).dropDuplicates([key])
-    return first.unionByName(segments.where(F.col(key).isNull()))
+    # A row without a key gets a number of its own, so that one pass serves both.
+    own = F.when(F.col(key).isNull(), F.monotonically_increasing_id())
+    return segments.withColumn("__own", own).dropDuplicates([key, "__own"]).drop("__own")
 
 
 def scan_segments(segments: DataFrame) -> DataFrame:
