@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from segloom.functions import timecode  # noqa: F401  (kept beside the ledger's own time fields)
 
 NUMBERS = ("input_tokens", "output_tokens", "cost_usd")
 
