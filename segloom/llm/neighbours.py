@@ -67,25 +67,35 @@ def fit_centres(sample: np.ndarray, count: int, rounds: int = 8, seed: int = 5)
 class Graph:
     """A robust-pruned directed graph over the unit vectors of a shard."""
 
-    def __init__(self, x: np.ndarray, edges: np.ndarray | None = None, degree: int = 24, beam: int = 32, relax: float = 1.2, seed: int = 11) -> None:
+    def __init__(self, x: np.ndarray, edges: np.ndarray | None = None, degree: int = 24, beam: int = 32, relax: float = 1.2, entries: int = 128, seed: int = 11) -> None:
         self.x, self.degree, self.beam, self.relax = x, degree, beam, relax
         n = len(x)
         self.order = np.random.default_rng(seed).permutation(n).astype(np.int32)
-        self.entries = self.order[: min(n, 24)]
+        self.entries = self.order[: min(n, entries)]
         self.edges = np.full((n, degree), -1, np.int32) if edges is None else edges
         if edges is None:
             self._grow()
 
-    def search(self, queries: np.ndarray, beam: int, width: int = 4) -> tuple[np.ndarray, np.ndarray]:
-        """The ``beam`` best (ids, similarities) that a greedy search finds for each query; -1 where there are fewer."""
+    def search(self, queries: np.ndarray, beam: int, width: int = 4, own: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The ``beam`` best (ids, similarities) that a greedy search finds for each query; -1 where there are fewer.
+
+        It begins at the entries and, for a query that is a node itself, at ``own`` (-1 where it is none).
+        """
         q, n = len(queries), len(self.x)
         seen = np.zeros((q, n + 1), bool)
         seen[:, n] = True
         start = self.entries
         sims = queries @ self.x[start].T
         m = max(0, beam - len(start))
-        ids = np.concatenate([np.broadcast_to(start, (q, len(start))), np.full((q, m), -1, np.int32)], axis=1)
-        sims = np.concatenate([sims, np.full((q, m), -9, np.float32)], axis=1)
+        extra = np.full((q, m + 1), -1, np.int32)
+        extra_sims = np.full((q, m + 1), -9, np.float32)
+        if own is not None:
+            known = np.flatnonzero((own >= 0) & ~np.isin(own, start))
+            extra[known, 0] = own[known]
+            extra_sims[known, 0] = np.einsum("ij,ij->i", self.x[own[known]], queries[known])
+            seen[known, own[known]] = True
+        ids = np.concatenate([np.broadcast_to(start, (q, len(start))), extra], axis=1)
+        sims = np.concatenate([sims, extra_sims], axis=1)
         best = np.argpartition(-sims, beam - 1, axis=1)[:, :beam] if sims.shape[1] > beam else np.broadcast_to(np.arange(beam), (q, beam))
         ids, sims = np.take_along_axis(ids, best, 1), np.take_along_axis(sims, best, 1)
         seen[:, start] = True
@@ -191,11 +201,11 @@ class Graph:
             at += len(nodes)
 
 
-def top_k(graph: Graph, queries: np.ndarray, k: int, beam: int, block: int = 1024) -> tuple[np.ndarray, np.ndarray]:
+def top_k(graph: Graph, queries: np.ndarray, k: int, beam: int, own: np.ndarray | None = None, block: int = 1024) -> tuple[np.ndarray, np.ndarray]:
     """The k best (ids, similarities) of each query, best first."""
     ids, sims = [], []
     for at in range(0, len(queries), block):
-        i, s = graph.search(queries[at : at + block], beam)
+        i, s = graph.search(queries[at : at + block], beam, own=None if own is None else own[at : at + block])
         best = np.argsort(-s, axis=1, kind="stable")[:, :k]
         ids.append(np.take_along_axis(i, best, 1)), sims.append(np.take_along_axis(s, best, 1))
     return np.concatenate(ids), np.concatenate(sims)
@@ -226,7 +236,7 @@ def assign_shards(vectors: DataFrame, centres: np.ndarray, ask: int) -> DataFram
 
 
 def nearest_candidates(
-    df: DataFrame, key: str, vector: str, *, k: int = 10, dimension: int = 64, shard_size: int = 8000, ask: int = 3, beam: int = 32, sample_bound: int = 40_000
+    df: DataFrame, key: str, vector: str, *, k: int = 10, dimension: int = 64, shard_size: int = 8000, ask: int = 3, beam: int = 48, sample_bound: int = 40_000
 ) -> DataFrame:
     """Rows (key, neighbour, similarity): the k best of each shard that a vector asks, other keys only.
 
@@ -257,7 +267,7 @@ def nearest_candidates(
 
     def build(group: pa.Table) -> pa.Table:
         x = _matrix(group["vec"], dimension, np.float32)
-        return group.append_column("edges", _lists(Graph(x, beam=beam).edges)).append_column("node", pa.array(np.arange(len(x), dtype=np.int32)))
+        return group.append_column("edges", _lists(Graph(x).edges)).append_column("node", pa.array(np.arange(len(x), dtype=np.int32)))
 
     index = stored.groupBy("shard", "part").applyInArrow(build, f"shard int, part int, key {kind}, vec array<float>, blocks int, edges array<int>, node int")
     index = materialize(index, "graph")
@@ -273,7 +283,8 @@ def nearest_candidates(
         nodes = nodes.sort_by("node")
         edges = nodes["edges"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(nodes.num_rows, -1)
         graph = Graph(_matrix(nodes["vec"], dimension, np.float32), edges)
-        ids, sims = top_k(graph, _matrix(queries["vec"], dimension, np.float32), k + 1, max(beam, k + 1))
+        own = pc.fill_null(pc.index_in(queries["key"], value_set=nodes["key"]), -1).to_numpy()
+        ids, sims = top_k(graph, _matrix(queries["vec"], dimension, np.float32), k + 1, max(beam, k + 1), own)
         row = np.repeat(np.arange(queries.num_rows), ids.shape[1])
         flat, value = ids.reshape(-1), sims.reshape(-1)
         row, flat, value = row[flat >= 0], flat[flat >= 0], value[flat >= 0]
