@@ -28,7 +28,9 @@ def chunk_transcripts(spark: SparkSession, path: str, config: ChunkConfig = Chun
     """(videos, parents, children) of a folder of transcript files, children with parents, overlap and hashed embeddings."""
     segments, _ = read_transcripts(spark, path)
     segments = segments.withColumns({"segment_id": F.xxhash64("video_id", "seg_index"), "seg_start": F.lit(None).cast("double")})
-    rows = materialize(ch.pause_boundaries(ch.positioned_segments(scan_segments(segments)), config.pause_seconds), "bounded")
+    placed = ch.positioned_segments(scan_segments(segments)).withColumn("at", F.struct("video_id", "pos"))
+    embedded = hash_embeddings(placed, "at", "text").select("at.*", "embedding")
+    rows = materialize(ch.detect_boundaries(placed.drop("at"), embedded, config), "bounded")
     children = materialize(ch.child_chunks(rows, ch.child_assignment(rows, config)), "children")
     children = children.join(hash_embeddings(children, "chunk_id", "text"), "chunk_id")
     full = ch.overlap_context(children, config.overlap_tokens)
@@ -55,6 +57,7 @@ def main(argv: list[str] | None = None) -> None:
         command.add_argument("--output-dir" if name == "chunk" else "--store", dest="store", required=True)
         if name in ("chunk", "ingest"):
             command.add_argument("--no-parents", action="store_true")
+            command.add_argument("--similarity-threshold", type=float, default=ChunkConfig.similarity_threshold, help="a topic changes where neighbours are less alike")
             for option in ("child_target", "child_min", "child_max", "parent_target", "parent_min", "parent_max"):
                 command.add_argument("--" + option.replace("_", "-"), type=int, default=getattr(ChunkConfig, option))
         if name == "search":
@@ -69,7 +72,7 @@ def main(argv: list[str] | None = None) -> None:
     store = Store(spark, StoreConfig(args.store, dimension=64))
     if args.command in ("chunk", "ingest"):
         sizes = {k: getattr(args, k) for k in ("child_target", "child_min", "child_max", "parent_target", "parent_min", "parent_max")}
-        videos, parents, children = chunk_transcripts(spark, args.input_dir, ChunkConfig(parents=not args.no_parents, **sizes))
+        videos, parents, children = chunk_transcripts(spark, args.input_dir, ChunkConfig(parents=not args.no_parents, similarity_threshold=args.similarity_threshold, **sizes))
         store.ingest(videos, parents, children)
         store.stats().show()
     elif args.command == "search":

@@ -75,6 +75,17 @@ def semantic_boundaries(rows: DataFrame, key: str, pos: str, vector: str, thresh
     return held.withColumn("similarity", F.when(~first, similarity)).withColumn("boundary", ~first & (similarity < threshold)).drop(f"prev_{vector}", f"prev_{pos}")
 
 
+def detect_boundaries(positioned: DataFrame, embedded: DataFrame, config: ChunkConfig = ChunkConfig()) -> DataFrame:
+    """Add ``boundary``: a topic change or a pause before the row.
+
+    ``embedded`` has the rows' embeddings (video_id, pos, embedding); a row
+    without one counts as a change of topic, as one with a zero vector does.
+    """
+    paused = pause_boundaries(positioned, config.pause_seconds).withColumnRenamed("boundary", "paused")
+    held = semantic_boundaries(paused.join(embedded, ["video_id", "pos"], "left"), "video_id", "pos", "embedding", config.similarity_threshold)
+    return held.withColumn("boundary", F.col("boundary") | F.col("paused")).drop("embedding", "similarity", "paused")
+
+
 def child_assignment(bounded: DataFrame, config: ChunkConfig = ChunkConfig()) -> DataFrame:
     """Rows (video_id, pos, chunk_index): the child chunk of each segment.
 

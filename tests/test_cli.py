@@ -29,3 +29,20 @@ def test_end_to_end(spark, tmp_path, capsys):
         own = sorted((c for c in children if c.parent_chunk_id == p.parent_chunk_id), key=lambda c: c.chunk_index)
         assert " ".join(c.text for c in own) == p.text
     assert all(c.parent_chunk_id in parents for c in children)
+
+
+def test_topic_boundaries(spark, tmp_path):
+    """Without a pause, a child past its target still ends where the topic changes, by the given threshold."""
+    from segloom.__main__ import chunk_transcripts
+    from segloom.config import ChunkConfig
+
+    words = "the long talk on kilns " * 4, "violins need dry spruce boards " * 4
+    segments = [{"start_time": f"00:{i:02d}:00,000", "end_time": f"00:{i + 1:02d}:00,000", "content": words[i > 7]} for i in range(18)]
+    (tmp_path / "Two.json").write_text(json.dumps({"segments": segments}))
+    firsts = {}
+    for threshold in (0.5, -1.0):
+        children = chunk_transcripts(spark, str(tmp_path), ChunkConfig(similarity_threshold=threshold))[2]
+        firsts[threshold] = children.where("chunk_index = 0").first().text
+    assert "violins" not in firsts[0.5] and "violins" in firsts[-1.0]
+    main(["chunk", "--input-dir", str(tmp_path), "--output-dir", str(tmp_path / "out"), "--similarity-threshold", "-1"])
+    assert "violins" in spark.read.parquet(str(tmp_path / "out/child_chunks")).where("chunk_index = 0").first().text
