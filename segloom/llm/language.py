@@ -40,6 +40,8 @@ LEAST_WORDS = 6
 _WINDOW, _STEP, _RUN = 6, 3, 32
 #: Margin, as a share of the second smallest size, below which a language is rejected, and that of a second language.
 REJECT, SECOND = 0.12, 0.2
+#: Bytes by which a clause in a second language must be smaller than in the text's.
+_GAIN = 6
 
 _MARKS = re.compile(r"\[[^\]]*\]|\([^)]*\)|\{[^}]*\}|<[^>]*>|\*[^*\n]*\*|[♪♫♩♬]+|https?://\S+|\d+:\d\d(?::\d\d)?(?:[.,:]\d+)?(?:\s*-+>?(?=\s|$))?|[#@]\w+")
 _LABEL = re.compile(r"^\s*(?:>>[^:\n]{1,60}:|-\s+[^\n]{1,50}?\s+-(?=\s)|(?:[^\W\d_][\w#.'-]*(?:[ ,]+[\w#.'()-]+){0,3}\s*:(?=\s)))", re.M)
@@ -167,37 +169,52 @@ def _joined(parts: list[tuple[int, int, list[str]]]) -> list[bytes]:
     return [" ".join(w).encode("utf-8", "replace") for _, _, w in parts]
 
 
-def classify(texts: list[str | None], languages: Languages) -> tuple[list[str], list[tuple[int, int, int, int, int, float, int]]]:
-    """The readable texts, and rows (text, first char, end char, words, language, margin, gain over the text's language).
+def classify(texts: list[str | None], languages: Languages) -> tuple[list[str], list[tuple[int, int, int, int, int, float, int, int, bool]]]:
+    """The readable texts, and rows (text, first char, end char, words, language, margin, gain over the text's language, words not in the row before, window).
 
-    A passage of many words without a clear language is looked at again in
-    windows. The language of a text is the one with most words in clear passages.
+    A passage of as many words as two clauses is looked at again in windows: it
+    is parted into them where it has no clear language, or where one of them is
+    clearly in another. The language of a text is the one with most words in
+    clear passages.
     """
     clear = [readable(t) if t else "" for t in texts]
     parts = [passages(t) for t in clear]
     flat = [p for ps in parts for p in ps]
     own = [i for i, ps in enumerate(parts) for _ in ps]
     sizes = languages.sizes(_joined(flat))
-    _, margin = decide(sizes)
-    again = [j for j, p in enumerate(flat) if len(p[2]) >= 2 * _WINDOW and margin[j] < 0.3]
+    best, margin = decide(sizes)
+    again = [j for j, p in enumerate(flat) if len(p[2]) >= 2 * _WINDOW]
     if again:
         split = [windows(clear[own[j]], flat[j][0], flat[j][1]) for j in again]
-        extra = [w for ws in split for w in ws]
-        gone = set(again)
+        inner = languages.sizes(_joined([w for ws in split for w in ws]))
+        inner_best, inner_margin = decide(inner)
+        of = np.repeat(np.arange(len(again)), [len(ws) for ws in split])
+        whole = best[again][of]
+        place = np.arange(len(inner))
+        apart = (inner_best != whole) & (inner_margin >= SECOND) & (inner[place, whole] - inner[place, inner_best] >= _GAIN)
+        parted = margin[again] < 0.3
+        parted[of[apart]] = True
+        gone = {again[i] for i in np.flatnonzero(parted)}
         keep = [j for j in range(len(flat)) if j not in gone]
-        sizes = np.concatenate([sizes[keep], languages.sizes(_joined(extra))])
-        own = [own[j] for j in keep] + [own[j] for j, ws in zip(again, split) for _ in ws]
-        flat = [flat[j] for j in keep] + extra
+        sizes = np.concatenate([sizes[keep], inner[parted[of]]])
+        own = [own[j] for j in keep] + [own[j] for j, ws in zip(again, split) if j in gone for _ in ws]
+        flat = [flat[j] for j in keep] + [w for j, ws in zip(again, split) if j in gone for w in ws]
+    order = sorted(range(len(flat)), key=lambda j: (own[j], flat[j][0]))
+    flat, own, sizes = [flat[j] for j in order], [own[j] for j in order], sizes[order]
     best, margin = decide(sizes)
     count = np.array([len(p[2]) for p in flat], int)
     owner = np.array(own, int)
+    # A window shares all its words but the last with the window before it.
+    inside = np.zeros(len(flat), bool)
+    inside[1:] = [own[j] == own[j - 1] and flat[j][0] < flat[j - 1][1] for j in range(1, len(flat))]
+    fresh = np.where(inside, 1, count)
+    window = inside | np.append(inside[1:], False)
     weight = np.zeros((len(texts), len(languages.codes)))
     good = margin >= REJECT
-    np.add.at(weight, (owner[good], best[good]), count[good])
+    np.add.at(weight, (owner[good], best[good]), fresh[good])
     main = weight.argmax(axis=1)
     gain = sizes[np.arange(len(flat)), main[owner]] - sizes[np.arange(len(flat)), best] if len(flat) else best
-    order = sorted(range(len(flat)), key=lambda j: (own[j], flat[j][0]))
-    return clear, [(own[j], flat[j][0], flat[j][1], int(count[j]), int(best[j]), float(margin[j]), int(gain[j])) for j in order]
+    return clear, [(own[j], p[0], p[1], int(count[j]), int(best[j]), float(margin[j]), int(gain[j]), int(fresh[j]), bool(window[j])) for j, p in enumerate(flat)]
 
 
 _SILENT = frozenset(HESITATIONS)
@@ -223,13 +240,13 @@ def _record_rows(batches: Iterator[pa.RecordBatch], languages: Languages) -> Ite
             texts = batch.column(2).to_pylist()
             clear, rows = classify(texts, languages)
             by: dict[int, dict[int, list]] = {}
-            for i, _, _, n, lang, margin, gain in rows:
+            for i, _, _, n, lang, margin, gain, fresh, _ in rows:
                 if margin >= REJECT:
                     held = by.setdefault(i, {}).setdefault(lang, [0, 0.0, False])
-                    held[0] += n
-                    held[1] += n * margin
+                    held[0] += fresh
+                    held[1] += fresh * margin
                     # A second language needs a clause of its own, clearly apart from the text's language.
-                    held[2] |= n >= LEAST_WORDS and margin >= SECOND and gain >= 6
+                    held[2] |= n >= LEAST_WORDS and margin >= SECOND and gain >= _GAIN
             out = []
             for i, held in by.items():
                 ranked = sorted(held, key=lambda k: (-held[k][0], k))
@@ -251,8 +268,9 @@ def _passage_rows(batches: Iterator[pa.RecordBatch], languages: Languages) -> It
             batch = whole.slice(at, 512)
             clear, rows = classify(batch.column(2).to_pylist(), languages)
             merged: list[list] = []
-            for i, a, z, n, lang, margin, _ in rows:
-                if margin < REJECT:
+            for i, a, z, _, lang, margin, gain, n, window in rows:
+                # A window of the text's language has no gain; another language must be as clear as a second one.
+                if margin < REJECT or window and gain and (margin < SECOND or gain < _GAIN):
                     continue
                 if merged and merged[-1][0] == i and merged[-1][3] == lang:
                     merged[-1][2] = max(z, merged[-1][2])

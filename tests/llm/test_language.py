@@ -71,3 +71,13 @@ def test_pieces(languages):
     long = " ".join(f"w{i}" for i in range(50))
     assert {w for _, _, ws in passages(long) for w in ws} == set(long.split())
     assert classify([None, ""], languages)[1] == []
+
+
+def test_clear_passage_of_two_languages(spark, languages):
+    """A sentence that is clearly in one language as a whole still shows a clause in another."""
+    text = "the river gauge never forgets the whole procedure at the end of the week, because nobody wrote it down, ein geduldiger zuhörer misst die temperatur"
+    _, margin = decide(languages.sizes([text.encode()]))
+    assert margin[0] >= 0.3
+    df = spark.createDataFrame([(1, "en", text)], "id bigint, label string, text string")
+    assert {tuple(r) for r in mislabelled(df, languages).collect()} == {(1, "en"), (1, "de")}
+    assert [r.language for r in passage_languages(df, languages).orderBy("passage_no").collect()] == ["en", "de"]
