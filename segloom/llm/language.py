@@ -37,7 +37,7 @@ _NAMED = {name: code for code, names in LANGUAGE_NAMES.items() for name in (code
 #: Fewest words of a record, or of a clause, that show its language.
 LEAST_WORDS = 6
 #: Windows of so many words, so many apart, in runs of more than so many words without the end of a sentence.
-_WINDOW, _STEP, _RUN = 6, 3, 32
+_WINDOW, _STEP, _RUN = 6, 1, 32
 #: Margin, as a share of the second smallest size, below which a language is rejected, and that of a second language.
 REJECT, SECOND = 0.12, 0.2
 #: Bytes by which a clause in a second language must be smaller than in the text's.
@@ -71,12 +71,15 @@ def readable(text: str) -> str:
 
 def windows(text: str, at: int, end: int) -> list[tuple[int, int, list[str]]]:
     """Overlapping windows of words of a stretch of text."""
-    spans = [(m.start() + at, m.end() + at) for m in re.finditer(r"\S+", text[at:end])]
-    out = []
-    for i in range(0, max(1, len(spans) - _WINDOW + _STEP), _STEP):
-        part = spans[i : i + _WINDOW]
-        out.append((part[0][0], part[-1][1], [text[a:z] for a, z in part]))
-    return out
+    words = text[at:end].split()
+    begins, ends = [], []
+    for word in words:
+        at = text.index(word, at)
+        begins.append(at)
+        at += len(word)
+        ends.append(at)
+    last = min(_WINDOW, len(words)) - 1
+    return [(begins[i], ends[i + last], words[i : i + _WINDOW]) for i in range(0, max(1, len(words) - _WINDOW + 1), _STEP)]
 
 
 def passages(text: str) -> list[tuple[int, int, list[str]]]:
@@ -106,7 +109,7 @@ class Languages:
     level: int = 1
 
     def __post_init__(self) -> None:
-        self.compressors = []
+        self.compressors, self.known, self.table = [], {}, np.zeros((0, len(self.codes)), np.int32)
         for content in self.samples:
             known = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             known.precompute_compress(level=self.level)
@@ -126,6 +129,16 @@ class Languages:
                 out[at : at + len(part), j] = [len(made[i]) for i in range(len(part))]
         return out
 
+    def known_sizes(self, texts: list[bytes], bound: int = 200_000) -> np.ndarray:
+        """``sizes`` of short texts that come often: those met are kept, up to ``bound`` and a batch."""
+        if len(self.known) > bound:
+            self.known, self.table = {}, self.table[:0]
+        fresh = [t for t in dict.fromkeys(texts) if t not in self.known]
+        if fresh:
+            self.known.update(zip(fresh, range(len(self.known), len(self.known) + len(fresh))))
+            self.table = np.concatenate([self.table, self.sizes(fresh)])
+        return self.table[[self.known[t] for t in texts]]
+
 
 def sample_languages(samples: DataFrame, labelled: DataFrame | None = None, *, bound: int = 15_000, size: int = 16_000, most: int = 4000) -> Languages:
     """The compressors of the labelled sample sentences.
@@ -186,7 +199,7 @@ def classify(texts: list[str | None], languages: Languages) -> tuple[list[str],
     again = [j for j, p in enumerate(flat) if len(p[2]) >= 2 * _WINDOW]
     if again:
         split = [windows(clear[own[j]], flat[j][0], flat[j][1]) for j in again]
-        inner = languages.sizes(_joined([w for ws in split for w in ws]))
+        inner = languages.known_sizes(_joined([w for ws in split for w in ws]))
         inner_best, inner_margin = decide(inner)
         of = np.repeat(np.arange(len(again)), [len(ws) for ws in split])
         whole = best[again][of]

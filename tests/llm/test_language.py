@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from segloom.llm.language import classify, decide, label_code, mislabelled, passage_languages, passages, readable, record_languages, sample_languages
+from segloom.llm.language import classify, decide, label_code, mislabelled, passage_languages, passages, readable, record_languages, sample_languages, windows
 from segloom.session import table
 
 EN = "The old lighthouse compares the water level with the help of two neighbours."
@@ -81,3 +81,11 @@ def test_clear_passage_of_two_languages(spark, languages):
     df = spark.createDataFrame([(1, "en", text)], "id bigint, label string, text string")
     assert {tuple(r) for r in mislabelled(df, languages).collect()} == {(1, "en"), (1, "de")}
     assert [r.language for r in passage_languages(df, languages).orderBy("passage_no").collect()] == ["en", "de"]
+
+
+def test_windows_are_whole():
+    """Each run of six words of a stretch is a window, the last six too."""
+    text = " ".join(f"w{i}" for i in range(35))
+    found = windows(text, 0, len(text))
+    assert [w for _, _, w in found] == [text.split()[i : i + 6] for i in range(30)]
+    assert all(text[a:z].split() == w for a, z, w in found)
