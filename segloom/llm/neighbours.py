@@ -173,14 +173,21 @@ class Graph:
         order = np.argsort(target, kind="stable")
         source, target = source[order], target[order]
         owners, begin, count = np.unique(target, return_index=True, return_counts=True)
-        most = int(min(count.max(), 2 * self.degree)) if len(count) else 0
-        if not most:
-            return
+        # In rounds of at most ``2 * degree`` new edges a node, until all have been weighed.
+        most = 2 * self.degree
         slot = np.arange(len(target)) - np.repeat(begin, count)
-        fits = slot < most
-        extra = np.full((len(owners), most), -1, np.int32)
-        extra[np.repeat(np.arange(len(owners)), count)[fits], slot[fits]] = source[fits]
-        joined = np.concatenate([self.edges[owners], extra], axis=1)
+        number = np.repeat(np.arange(len(owners)), count)
+        for at in range(0, int(count.max()) if len(count) else 0, most):
+            fits = (slot >= at) & (slot < at + most)
+            held = np.flatnonzero(count > at)
+            place = np.cumsum(count > at) - 1
+            extra = np.full((len(held), int(min(most, count.max() - at))), -1, np.int32)
+            extra[place[number[fits]], slot[fits] - at] = source[fits]
+            self._weigh(owners[held], extra)
+
+    def _weigh(self, owners: np.ndarray, extra: np.ndarray) -> None:
+        joined = np.sort(np.concatenate([self.edges[owners], extra], axis=1), axis=1)
+        joined[:, 1:][joined[:, 1:] == joined[:, :-1]] = -1
         full = (joined >= 0).sum(axis=1) > self.degree
         loose = np.sort(joined[~full], axis=1)[:, ::-1][:, : self.degree]
         self.edges[owners[~full]] = loose
@@ -188,6 +195,13 @@ class Graph:
             if len(part):
                 self.edges[owners[part]] = self.prune(owners[part], joined[part])
 
+    def _among(self, nodes: np.ndarray) -> np.ndarray:
+        """The nearest of each of ``nodes`` among themselves, which a search doesn't propose to each other."""
+        sims = self.x[nodes] @ self.x[nodes].T
+        np.fill_diagonal(sims, -9)
+        k = min(self.degree // 2, len(nodes) - 1)
+        return nodes[np.argpartition(-sims, k - 1, axis=1)[:, :k]] if k > 0 else np.full((len(nodes), 1), -1, np.int32)
+
     def _grow(self) -> None:
         n, at = len(self.x), min(len(self.x), 64)
         first = self.order[:at]
@@ -195,10 +209,18 @@ class Graph:
         while at < n:
             nodes = self.order[at : at + min(max(64, at // 2), 1024, n - at)]
             ids, _ = self.search(self.x[nodes], self.beam)
-            edges = self.prune(nodes, ids)
-            self.edges[nodes] = edges
-            self._link_back(nodes, edges)
+            self._link(nodes, ids)
             at += len(nodes)
+        # Again on the finished graph, from each node itself.
+        for nodes in np.array_split(self.order, max(1, n // 1024)):
+            ids, _ = self.search(self.x[nodes], self.beam, own=nodes)
+            self._link(nodes, np.concatenate([ids, self.edges[nodes]], axis=1))
+
+    def _link(self, nodes: np.ndarray, candidates: np.ndarray) -> None:
+        edges, before = self.prune(nodes, np.concatenate([candidates, self._among(nodes)], axis=1)), self.edges[nodes]
+        self.edges[nodes] = edges
+        # The reverse of an edge that was there before has been weighed.
+        self._link_back(nodes, np.where((edges[:, :, None] == before[:, None, :]).any(axis=2), -1, edges))
 
 
 def top_k(graph: Graph, queries: np.ndarray, k: int, beam: int, own: np.ndarray | None = None, block: int = 1024) -> tuple[np.ndarray, np.ndarray]:

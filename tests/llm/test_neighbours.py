@@ -69,3 +69,17 @@ def test_whole_table(spark, data):
     sims = x @ x.T
     exact = {tuple(sorted((keys[a], keys[b]))) for a, b in zip(*np.where(np.triu(sims, 1) >= 0.95))}
     assert {tuple(r) for r in similar_pairs(chunks, "chunk_id", "embedding", 0.95).collect()} == exact
+
+
+def test_batch_and_many_reverse_edges():
+    """Nodes of one batch are proposed to each other, and a node weighs all its reverse edges."""
+    x = clustered(1500, clusters=1)
+    graph = Graph(x[:64])
+    graph.x, graph.edges = x, np.full((1500, graph.degree), -1, np.int32)
+    near = x @ x.T
+    np.fill_diagonal(near, -9)
+    among = graph._among(np.arange(200))
+    assert all(near[i, :200].argmax() in among[i] for i in range(200))
+    sources = np.argsort(near[0], kind="stable")[-100:].astype(np.int32)  # the nearest come last
+    graph._link_back(sources, np.zeros((100, 1), np.int32))
+    assert sources[-1] in graph.edges[0]
