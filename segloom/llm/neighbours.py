@@ -64,6 +64,25 @@ def fit_centres(sample: np.ndarray, count: int, rounds: int = 8, seed: int = 5)
     return centres.astype(np.float32)
 
 
+def fit_ask(sample: np.ndarray, centres: np.ndarray, k: int, least: int, share: float, queries: int = 1000) -> int:
+    """How many nearest centres a vector asks so that these hold ``share`` of its k nearest, at least ``least``.
+
+    Measured by brute force for ``queries`` vectors of the sample. Neighbours in
+    a sample lie farther apart than in the whole, so it doesn't ask too few.
+    """
+    home = np.argmax(sample @ centres.T, axis=1)
+    places = []
+    for at in range(0, min(len(sample), queries), 100):
+        block = sample[at : min(at + 100, queries)]
+        sims = block @ sample.T
+        sims[np.arange(len(block)), np.arange(at, at + len(block))] = -9
+        near = np.argpartition(-sims, min(k, sims.shape[1]) - 1, axis=1)[:, :k]
+        order = np.argsort(-(block @ centres.T), axis=1, kind="stable")
+        rank = np.argsort(order, axis=1)
+        places.append(np.take_along_axis(rank, home[near], axis=1).ravel())
+    return max(least, int(np.quantile(np.concatenate(places), share, method="higher")) + 1)
+
+
 class Graph:
     """A robust-pruned directed graph over the unit vectors of a shard."""
 
@@ -258,12 +277,13 @@ def assign_shards(vectors: DataFrame, centres: np.ndarray, ask: int) -> DataFram
 
 
 def nearest_candidates(
-    df: DataFrame, key: str, vector: str, *, k: int = 10, dimension: int = 64, shard_size: int = 8000, ask: int = 3, beam: int = 48, sample_bound: int = 40_000
+    df: DataFrame, key: str, vector: str, *, k: int = 10, dimension: int = 64, shard_size: int = 8000, ask: int = 3, share: float = 0.97, beam: int = 48, sample_bound: int = 40_000
 ) -> DataFrame:
     """Rows (key, neighbour, similarity): the k best of each shard that a vector asks, other keys only.
 
     Every usable vector (see ``unit_vectors``) is in the index of one shard and
-    asks the shards of its ``ask`` nearest centres; similarity is the cosine. The
+    asks the shards of its nearest centres: as many as hold ``share`` of the
+    nearest in the sample (``fit_ask``), at least ``ask``; similarity is the cosine. The
     centres are fitted on at most ``sample_bound`` vectors, one for about
     ``shard_size`` vectors and at most one for eight of the sample (so their
     number is bounded; a corpus of more than ``sample_bound / 8 * shard_size``
@@ -278,7 +298,9 @@ def nearest_candidates(
     rows = unit_vectors(sample, key, vector, dimension).select("vec").toArrow()
     count = min(max(1, round(total / shard_size)), max(1, rows.num_rows // 8))
     points = _matrix(rows["vec"], dimension, np.float32) if rows.num_rows else np.zeros((1, dimension), np.float32)
-    placed = materialize(assign_shards(unit_vectors(df, key, vector, dimension), fit_centres(points, count), ask), "placed")
+    centres = fit_centres(points, count)
+    ask = fit_ask(points, centres, k, ask, share)
+    placed = materialize(assign_shards(unit_vectors(df, key, vector, dimension), centres, ask), "placed")
     homes = placed.groupBy(F.col("near")[0].alias("shard")).agg(F.count(F.lit(1)).alias("n"))
     # One row a shard: how many parts it has, and in how many blocks its askers come.
     askers = placed.select(F.explode("near").alias("shard")).groupBy("shard").agg(F.count(F.lit(1)).alias("asked"))

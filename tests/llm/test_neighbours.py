@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from segloom.llm.neighbours import Graph, fit_centres, nearest_neighbours, similar_pairs, top_k, unit_vectors
+from segloom.llm.neighbours import Graph, fit_ask, fit_centres, nearest_neighbours, similar_pairs, top_k, unit_vectors
 from segloom.session import table
 
 
@@ -83,3 +83,18 @@ def test_batch_and_many_reverse_edges():
     sources = np.argsort(near[0], kind="stable")[-100:].astype(np.int32)  # the nearest come last
     graph._link_back(sources, np.zeros((100, 1), np.int32))
     assert sources[-1] in graph.edges[0]
+
+
+def test_asks_enough_shards():
+    """With many centres three don't hold the nearest; the fitted number does."""
+    x = clustered(4000, clusters=1)
+    centres = fit_centres(x, 200)
+    assert fit_ask(x, fit_centres(x, 1), 10, 1, 0.9) == 1
+    ask = fit_ask(x, centres, 10, 3, 0.9)
+    home, queries = np.argmax(x @ centres.T, axis=1), np.arange(2000, 2500)
+    sims = x[queries] @ x.T
+    sims[np.arange(500), queries] = -9
+    near = home[np.argsort(-sims, axis=1)[:, :10]]
+    rank = np.argsort(np.argsort(-(x[queries] @ centres.T), axis=1), axis=1)
+    held = np.take_along_axis(rank, near, axis=1)
+    assert (held < 3).mean() < 0.8 < 0.88 < (held < ask).mean()
