@@ -9,13 +9,15 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from segloom.functions.binding import let
-from segloom.session import hash_sample
+from segloom.session import hash_sample, materialize
 
 # Sounds of hesitation in the five languages of the data.
 HESITATIONS = (
@@ -86,34 +88,58 @@ def _fit(features: np.ndarray, target: np.ndarray, steps: int = 400, rate: float
     return w
 
 
+_WORD = r"[^\W\d_]+(?:['’-][^\W\d_]+)*"
+_TOKENS = re.compile(_WORD)
+_BETWEEN = re.compile(rf"(?<=,)\s({_WORD}(?:\s{_WORD})?)(?=,\s)")
+_BEFORE_END = re.compile(rf"(?<=[.!?])\s({_WORD}(?:\s{_WORD})?)(?=\.\.\.\s*$)")
+
+
+def _phrase_counts(batches: Iterator[pa.RecordBatch], most: int = 200_000) -> Iterator[pa.RecordBatch]:
+    """Rows (phrase, total, between, trailing): partial counts of the phrases of one or two words."""
+    total, between, trailing = Counter(), Counter(), Counter()
+
+    def rows() -> pa.RecordBatch:
+        counts = [pa.array([c[p] for p in total], pa.int64()) for c in (total, between, trailing)]
+        return pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), *counts], names=["phrase", "total", "between", "trailing"])
+
+    for batch in batches:
+        for t in batch.column(0).to_pylist():
+            tokens = _TOKENS.findall(t)
+            total.update(tokens)
+            total.update(map(" ".join, zip(tokens, tokens[1:])))
+            if "," in t:
+                between.update(re.sub(r"\s+", " ", m) for m in _BETWEEN.findall(t))
+            if "..." in t:
+                trailing.update(re.sub(r"\s+", " ", m) for m in _BEFORE_END.findall(t))
+        if len(total) > most:
+            yield rows()
+            total.clear(), between.clear(), trailing.clear()
+    yield rows()
+
+
 def learn_fillers(segments: DataFrame, bound: int = 20_000, least: int = 8) -> tuple[str, ...]:
     """The fillers: the hesitations and the phrases classified as fillers.
 
-    Phrases of one or two words are classified by a logistic regression on how
-    often they stand between two commas inside a segment, how often before an
-    ellipsis, and how long they are; hesitations are its positive examples, all
-    other phrases its negative ones. It is fitted on at most ``bound`` segments,
-    chosen by a hash of their id; a phrase seen fewer than ``least`` times stays
-    unclassified. An empty table gives the hesitations alone.
+    Phrases of one or two words are counted over all segments and classified by
+    a logistic regression on how often they stand between two commas inside a
+    segment, how often before an ellipsis, and how long they are; hesitations
+    are its positive examples, all other phrases its negative ones. It is fitted
+    on the hesitations and at most ``bound`` phrases, chosen by a hash, and
+    applied to all; a phrase seen fewer than ``least`` times stays unclassified.
+    An empty table gives the hesitations alone.
     """
-    chosen = hash_sample(segments.where("content is not null").select("segment_id", "content"), ["segment_id"], bound, segments.count())
-    sample = [r.t for r in chosen.select(F.lower(without_marks(F.col("content"))).alias("t")).collect()]
-    total, between, trailing = Counter(), Counter(), Counter()
-    word = r"[^\W\d_]+(?:['’-][^\W\d_]+)*"
-    for t in sample:
-        tokens = re.findall(word, t)
-        total.update(tokens)
-        total.update(map(" ".join, zip(tokens, tokens[1:])))
-        between.update(re.sub(r"\s+", " ", m) for m in re.findall(rf"(?<=,)\s({word}(?:\s{word})?)(?=,\s)", t))
-        trailing.update(re.sub(r"\s+", " ", m) for m in re.findall(rf"(?<=[.!?])\s({word}(?:\s{word})?)(?=\.\.\.\s*$)", t))
-    phrases = [p for p, n in total.items() if n >= least]
-    if not phrases:
-        return HESITATIONS
-    features = np.array([[between[p] / total[p], trailing[p] / total[p], min(len(p), 20) / 20] for p in phrases], float)
-    known = np.array([p in HESITATIONS for p in phrases], float)
+    texts = segments.where("content is not null").select(F.lower(without_marks(F.col("content"))).alias("t"))
+    parts = texts.mapInArrow(_phrase_counts, "phrase string, total bigint, between bigint, trailing bigint")
+    counted = parts.groupBy("phrase").agg(*(F.sum(c).alias(c) for c in ("total", "between", "trailing"))).where(F.col("total") >= least)
+    counted = materialize(counted, "phrases")
+    hesitant = F.col("phrase").isin(*HESITATIONS)
+    others = hash_sample(counted.where(~hesitant), ["phrase"], bound, counted.count())
+    sample = sorted(counted.where(hesitant).unionByName(others).collect(), key=lambda r: r.phrase)
+    known = np.array([r.phrase in HESITATIONS for r in sample], float)
     if not known.any():
         return HESITATIONS
-    w = _fit(features * [8, 8, 1], known)
-    probability = 1 / (1 + np.exp(-np.column_stack([np.ones(len(phrases)), features * [8, 8, 1]]) @ w))
-    set_off = features[:, 0] + features[:, 1] >= 0.2
-    return tuple(sorted({*HESITATIONS, *(p for p, x, s in zip(phrases, probability, set_off) if x >= 0.5 and s)}))
+    w = _fit(np.array([[8 * r.between / r.total, 8 * r.trailing / r.total, min(len(r.phrase), 20) / 20] for r in sample], float), known)
+    value = F.lit(float(w[0])) + float(w[1]) * 8 * F.col("between") / F.col("total") + float(w[2]) * 8 * F.col("trailing") / F.col("total") + float(w[3]) * F.least(F.length("phrase"), F.lit(20)) / 20
+    set_off = (F.col("between") + F.col("trailing")) / F.col("total") >= 0.2
+    found = counted.where(set_off & (value >= 0)).select("phrase").collect()
+    return tuple(sorted({*HESITATIONS, *(r.phrase for r in found)}))

@@ -128,3 +128,10 @@ def test_whole_table(spark, data):
             expected |= {(video, int(i), int(n)) for i, n in zip(group.segment_id[change], number[change])}
     found = turn_starts(segments, speakers, fillers).select("video_id", "first_segment_id", "speaker_no").collect()
     assert len(found) == len(expected) and {tuple(r) for r in found} == expected
+
+
+def test_rare_filler(spark):
+    """A filler that is rare among the segments is counted in all of them, whatever the sample for the fit."""
+    texts = ["the old kiln is warm today"] * 2000 + ["the kiln, um, is warm"] * 40 + ["the kiln, you know, is warm"] * 12
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "segment_id bigint, content string")
+    assert "you know" in learn_fillers(df, bound=200)
