@@ -3,9 +3,10 @@
 Storage limits show as lengths at which a source has far more texts than at the
 lengths around them, once lengths are computed as the source may have counted:
 characters, bytes, UTF-16 units, escaped for HTML or JSON, with other line ends.
-Endings are judged by how the corpus goes on: a text without a closing mark is
-complete where its last two words end sentences (or list lines) elsewhere, and
-broken where the corpus always goes on after them or never has them.
+A text that stands at such a limit without a closing mark is cut. The endings of
+the others are judged by how the corpus goes on: a text without a closing mark
+is complete where its last two words end sentences (or list lines) elsewhere,
+and broken where the corpus always goes on after them or never has them.
 """
 
 from __future__ import annotations
@@ -22,31 +23,24 @@ from pyspark.sql import functions as F
 
 from segloom.session import materialize
 
-ENCODINGS = ("chars", "utf8", "utf16", "html", "html_utf8", "json", "json_ascii", "crlf", "crlf_utf8")
-# Phrases that trail off on purpose.
-TRAILING = (
-    *("to be continued", "who knows", "and so on", "and so on and so forth", "more soon"),
-    *("a suivre", "qui sait", "et ainsi de suite"),
-    *("fortsetzung folgt", "wer weiß", "wer weiss", "und so weiter", "und so weiter und so fort"),
-    *("continuara", "quien sabe", "y asi hasta el final", "y asi sucesivamente"),
-    *("continua", "continua na proxima", "quem sabe", "e assim por diante"),
-)
+ENCODINGS = ("chars", "utf8", "utf16", "html", "html_utf8", "json", "json_utf8", "json_ascii", "crlf", "crlf_utf8")
 
 _INVISIBLE = re.compile("[\u00ad\u200b\u200c\u200d\u2060\ufeff\ufe0f\U0001f3fb-\U0001f3ff]+")
 _PICTURE = "[\U0001f000-\U0001faff\u2600-\u27bf\u2b00-\u2bff\ufe0f]"
 #: What may follow a complete text.
 _AFTER = re.compile(
-    rf"(?:\s+|{_PICTURE}|[:;]-?[)(DP]|</?\w+[^<>]*>|\s*\|\s*via\s+\w+|(?:(?<=\s)|^)#\w+|(?:^|\n)\s*--?\s*\w+\s+reader|(?:^|\n)\s*[—–-]+\s*[^\W\d_][\w'.-]*(?:\s+[^\W\d_][\w'.-]*){{1,3}}|(?:(?<=\s)|^)https?://[^\s/]+/[^\s/]+/[^\s/]{{5,}})$"
+    rf"(?:\s+|{_PICTURE}|[:;]-?[)(DP]|</?\w+[^<>]*>|\s*\|\s*\w+(?:\s+\w+){{0,2}}|(?:(?<=\s)|^)#\w+|(?:^|\n)\s*[—–-]+\s*[^\W\d_][\w'.-]*(?:\s+[^\W\d_][\w'.-]*){{1,3}}|(?:(?<=\s)|^)https?://[^\s/]+/[^\s/]+/[^\s/]{{5,}})$"
 )
 #: What was put after a break, or is itself broken.
 _BREAK = re.compile(
-    r"(?:[\[(](?:\.\.\.|…|cont\w*|more|mor?|read\s*m?\w*|see\s*m?\w*|suite|weiter\w*|m[áa]s|mais)[^\])\n]{0,20}[\])]?|<[a-zA-Z/][^<>\n]{0,80}|&#?\w{0,8}|�+|(?:(?<=\s)|^)https?://\S*)$", re.I
+    r"(?:[\[(](?:\.\.\.|…|cont\w*|more|mor?|read\s*m?\w*|see\s*m?\w*|suite|weiter\w*|m[áa]s|mais)[^\])\n]{0,20}[\])]?|<[a-zA-Z/][^<>\n]*|&#?\w{0,8}|�+|(?:(?<=\s)|^)https?://\S*)$", re.I
 )
 _CLOSED = re.compile(r"[.!?][\"'”’»)\]]*$")
 _ELLIPSIS = re.compile(r"(?:…|\.\.\.)[\"'”’»)\]]*$")
 _CHAPTER = re.compile(r"^\s*\d{1,4}:\d\d(?::\d\d)?\s")
 _BULLET = re.compile(r"^\s*(?:[-*•–—]|\d+[.)])\s+")
 _ACCENT = re.compile("[\u0300-\u036f]+")
+_CONTROL = re.compile("[\x00-\x07\x0b\x0e-\x1f]")
 _FOLLOWED = re.compile(r"([^\W_]+(?:['’-][^\W_]+)*)[\"'”’»)\]]*([.!?…,;:]*)")
 _TOKEN = re.compile(r"[^\W_]+(?:['’-][^\W_]+)*|[.!?…]+|[,;:]")
 
@@ -84,20 +78,31 @@ def lengths(text: str) -> list[int]:
     breaks = text.count("\n")
     lone = breaks - text.count("\r\n")
     marks = 4 * text.count("&") + 3 * (text.count("<") + text.count(">")) + 5 * text.count('"') + 5 * text.count("'")
-    escapes = breaks + text.count("\r") + text.count("\t") + text.count('"') + text.count("\\")
+    escapes = breaks + sum(map(text.count, "\r\t\b\f\"\\"))
+    if not text.isprintable():
+        escapes += 5 * len(_CONTROL.findall(text))
     plain = text.isascii()
     wide = 0 if plain else len(text.encode("utf-16-le", "surrogatepass")) // 2 - n
     beyond = 0 if plain else n - len(text.encode("ascii", "ignore"))
-    return [n, raw, n + wide, n + marks, raw + marks, n + escapes, n + escapes + 5 * beyond + 6 * wide, n + lone, raw + lone]
+    return [n, raw, n + wide, n + marks, raw + marks, n + escapes, raw + escapes, n + escapes + 5 * beyond + 6 * wide, n + lone, raw + lone]
+
+
+def _tail_start(text: str, words: int = 12) -> int:
+    """Where the last words of a text begin, or the tag that they are part of."""
+    parts = text.rsplit(None, words)
+    start = len(parts[0]) if len(parts) > words else 0
+    tag = text.rfind("<")
+    return min(start, tag) if tag >= 0 and (text[-1] == ">" or ">" not in text[tag:]) else start
 
 
 def core(text: str) -> tuple[str, bool]:
     """A plain text without what may follow a complete one, and whether a mark of a break was met."""
     rest = text.rstrip()
     while rest:
-        tail = rest[-200:]
+        start = _tail_start(rest)
+        tail = rest[start:]
         if m := _AFTER.search(tail):
-            rest = rest[: len(rest) - len(tail) + m.start()].rstrip()
+            rest = rest[: start + m.start()].rstrip()
         else:
             return rest, bool(_BREAK.search(tail))
     return rest, False
@@ -114,7 +119,7 @@ def ending(text: str) -> tuple[str, str, str, str, str]:
     rest, marked = core(text)
     if marked:
         return "broken", *nothing
-    if len(text[:200].split()) < 3:
+    if len(text.split(None, 3)) < 3:
         return "complete", *nothing
     if not rest:
         return "complete", *nothing
@@ -137,7 +142,7 @@ def ending(text: str) -> tuple[str, str, str, str, str]:
     if not fragment:
         return "complete", kind, "", "", ""
     before = fragment[-2] if len(fragment) > 1 else "^"
-    return ("trailing" if trailing else "open"), kind, before, fragment[-1], " ".join(fragment[-12:])
+    return ("trailing" if trailing else "open"), kind, before, fragment[-1], " ".join(fragment)
 
 
 def _words(line: str) -> list[str]:
@@ -145,59 +150,64 @@ def _words(line: str) -> list[str]:
 
 
 def continuations(text: str, held: Counter) -> None:
-    """Add to ``held`` each (kind, word, next word, whether a sentence or list line ends there); a text's very end says nothing."""
-    lines = core(plain(text))[0].split("\n")
+    """Add to ``held`` each (kind, word, next word, whether a sentence or list line ends there) of a plain text; its very end says nothing."""
+    lines = core(text)[0].split("\n")
     last = len(lines) - 1
     for n, line in enumerate(lines):
         chapter = bool(_CHAPTER.match(line))
-        kind = "chapter" if chapter else "prose"
         listed = chapter or bool(_BULLET.match(line))
         pairs = _FOLLOWED.findall(folded(_CHAPTER.sub("", line) if chapter else line))
         if not pairs:
             continue
+        kind = "chapter" if chapter else "prose"
         final, mark = pairs.pop()
-        before = "^"
+        before, keys = "^", []
         for word, follows in pairs:
-            if follows and follows[0] in ".!?…":
-                held[kind, before, word, follows[0] != "…" and ".." not in follows] += 1
-                before = "^"
-            else:
-                held[kind, before, word, False] += 1
+            if not follows or follows[0] in ",;:":
+                keys.append((kind, before, word, False))
                 before = word
+            else:
+                keys.append((kind, before, word, follows[0] != "…" and ".." not in follows))
+                before = "^"
         if n < last and (mark or listed):
-            held[kind, before, final, listed and not mark or mark[:1] in (".", "!", "?") and ".." not in mark] += 1
+            keys.append((kind, before, final, listed and not mark or mark[:1] in (".", "!", "?") and ".." not in mark))
+        held.update(keys)
 
 
-def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for whole in batches:
-        for at in range(0, max(1, whole.num_rows), 1024):
-            batch = whole.slice(at, 1024)
-            texts = [t or "" for t in batch.column(2).to_pylist()]
-            ends = [ending(plain(t)) for t in texts]
-            columns = [pa.array([e[k] for e in ends], pa.string()) for k in range(5)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), batch.column(3), *columns, pa.array([lengths(t) for t in texts], pa.list_(pa.int32()))],
-                names=["id", "source", "copy", "verdict", "kind", "before", "word", "fragment", "lengths"],
-            )
+_ENDING = ("id", "source", "copy", "verdict", "kind", "before", "word", "fragment", "lengths")
 
 
-def _counted(batches: Iterator[pa.RecordBatch], most: int = 400_000) -> Iterator[pa.RecordBatch]:
-    """Counts of continuations, added up before they leave the task."""
+def _judged(batches: Iterator[pa.RecordBatch], most: int = 400_000) -> Iterator[pa.RecordBatch]:
+    """Each text's ending, and rows (kind, before, word, ends, n) of the continuations, added up before they leave the task."""
     held: Counter = Counter()
+    kind_of_id: pa.DataType = pa.int64()
 
-    def flush() -> pa.RecordBatch:
+    def counts() -> pa.RecordBatch:
         keys = list(held)
-        out = pa.RecordBatch.from_arrays([pa.array([k[j] for k in keys], pa.string()) for j in range(3)] + [pa.array([k[3] for k in keys], pa.bool_()), pa.array(list(held.values()), pa.int64())], names=["kind", "before", "word", "ends", "n"])
+        texts = {name: pa.array([k[j] for k in keys], pa.string()) for j, name in enumerate(("kind", "before", "word"))}
+        nothing = {"id": kind_of_id, "source": pa.string(), "copy": pa.string(), "verdict": pa.string(), "fragment": pa.string(), "lengths": pa.list_(pa.int32())}
+        columns = [texts[c] if c in texts else pa.nulls(len(keys), nothing[c]) for c in _ENDING]
+        out = pa.RecordBatch.from_arrays([*columns, pa.array([k[3] for k in keys], pa.bool_()), pa.array(list(held.values()), pa.int64())], names=[*_ENDING, "ends", "n"])
         held.clear()
         return out
 
-    for batch in batches:
-        for text in batch.column(0).to_pylist():
-            if text:
-                continuations(text, held)
-                if len(held) > most:
-                    yield flush()
-    yield flush()
+    for whole in batches:
+        kind_of_id = whole.schema.field(0).type
+        for at in range(0, whole.num_rows, 1024):
+            batch = whole.slice(at, 1024)
+            texts = [t or "" for t in batch.column(2).to_pylist()]
+            bare = [plain(t) for t in texts]
+            ends = [ending(t) for t in bare]
+            for t in bare:
+                continuations(t, held)
+            columns = [pa.array([e[k] for e in ends], pa.string()) for k in range(5)]
+            sizes = pa.array([lengths(t) for t in texts], pa.list_(pa.int32()))
+            empty = [pa.nulls(len(texts), pa.bool_()), pa.nulls(len(texts), pa.int64())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(3), *columns, sizes, *empty], names=[*_ENDING, "ends", "n"])
+            if len(held) > most:
+                yield counts()
+    if held:
+        yield counts()
 
 
 def source_key(source: Column) -> Column:
@@ -205,94 +215,131 @@ def source_key(source: Column) -> Column:
     return F.regexp_replace(F.lower(F.btrim(source, F.lit(" \t\n "))), r"(?U)[\s\-_.]+", "_")
 
 
-def judge_endings(documents: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """Each document's ending, as far as the text alone tells, and its lengths. Written, as it is read several times."""
-    kind = documents.schema[key].dataType.simpleString()
-    rows = documents.select(F.col(key).alias("id"), source_key(F.col(source)).alias("source"), F.col(text).alias("text"), F.xxhash64(text).alias("copy"))
-    judged = rows.mapInArrow(_judged, f"id {kind}, source string, copy bigint, verdict string, kind string, before string, word string, fragment string, lengths array<int>")
-    return materialize(judged, "endings")
-
-
-def hidden_limits(endings: DataFrame, least: int = 8, times: float = 6.0, around: int = 20, shortest: int = 60) -> DataFrame:
-    """Rows (source, encoding, length, n): lengths at which a source has suspiciously many different texts.
+def judge_endings(documents: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> tuple[DataFrame, DataFrame]:
+    """(endings, continuations), found in one pass and written.
 
-    A length counts as a limit where at least ``least`` different texts have it
-    and ``times`` as many as the mean of the ``around`` lengths on either side.
+    The endings are one row a document: id, source, copy (a digest of the text,
+    which copies share), verdict, kind, before, word, fragment, lengths. The
+    continuations are the corpus: how often a word follows another (kind,
+    before, word, n) and ends a sentence or list line there (ends).
+    """
+    kind = documents.schema[key].dataType.simpleString()
+    rows = documents.select(F.col(key).alias("id"), source_key(F.col(source)).alias("source"), F.col(text).alias("text"), F.sha2(text, 256).alias("copy"))
+    judged = rows.mapInArrow(_judged, f"id {kind}, source string, copy string, verdict string, kind string, before string, word string, fragment string, lengths array<int>, ends boolean, n bigint")
+    judged = materialize(judged, "endings")
+    counts = judged.where("n is not null").groupBy("kind", "before", "word").agg(F.sum(F.when(F.col("ends"), F.col("n")).otherwise(0)).alias("ends"), F.sum("n").alias("n"))
+    return judged.where("verdict is not null").drop("ends", "n"), materialize(counts, "continuations")
+
+
+def hidden_limits(endings: DataFrame, least: int = 8, times: float = 6.0, around: int = 20, shortest: int = 60, lift: float = 1.2) -> DataFrame:
+    """Rows (source, encoding, e, length, n, own, unclosed, lift, trailing): the storage limits of the sources.
+
+    A length is a limit where at least ``least`` different texts of a source
+    have it, ``times`` as many as the mean of the ``around`` lengths on either
+    side, where two thirds of them lack a closing mark, and where the odds of
+    that are ``lift`` times those elsewhere in the source. A limit in one encoding shows in the others,
+    too; so each text counts for the limit that most texts share, and a length
+    that isn't one by its own texts is left out. Texts that end in an ellipsis
+    have limits of their own (``trailing``), as a source that cuts at a whole
+    word doesn't fill them.
     """
-    once = endings.where("source is not null").groupBy("source", "copy").agg(F.first("lengths").alias("lengths"))
-    named = once.select("source", F.posexplode("lengths").alias("e", "length")).where(F.col("length") >= shortest)
-    counts = named.groupBy("source", "e", "length").agg(F.count(F.lit(1)).alias("n"))
-    near = Window.partitionBy("source", "e").orderBy("length").rangeBetween(-around, around)
-    background = (F.sum("n").over(near) - F.col("n")) / (2 * around)
-    spikes = counts.withColumn("background", background).where((F.col("n") >= least) & (F.col("n") > times * F.greatest(F.lit(1.0), F.col("background"))))
+    unclosed = F.col("verdict").isin("open", "broken")
+    once = endings.where("source is not null").groupBy("source", "copy").agg(F.first("lengths").alias("lengths"), F.first("verdict").alias("verdict"))
+    named = once.select("source", "copy", (F.col("verdict") == "trailing").alias("trailing"), unclosed.cast("int").alias("open"), F.posexplode("lengths").alias("e", "length"))
+    where = ["source", "e", "trailing", "length"]
+    counts = named.groupBy(*where).agg(F.count(F.lit(1)).alias("n"), F.sum("open").alias("unclosed"))
+    near = Window.partitionBy("source", "e", "trailing").orderBy("length").rangeBetween(-around, around)
+    whole = Window.partitionBy("source", "e", "trailing")
+    odds = lambda some, of: (some + 0.5) / (of - some + 0.5)
+    elsewhere = odds(F.sum("unclosed").over(whole) - F.col("unclosed"), F.sum("n").over(whole) - F.col("n"))
+    spikes = counts.withColumns({"background": (F.sum("n").over(near) - F.col("n")) / (2 * around), "lift": F.when(~F.col("trailing"), F.round(odds(F.col("unclosed"), F.col("n")) / elsewhere, 6))})
+    stands_out = lambda n: (F.col(n) >= least) & (F.col(n) > times * F.greatest(F.lit(1.0), F.col("background")))
+    spikes = spikes.where((F.col("length") >= shortest) & stands_out("n") & (F.col("trailing") | (F.col("lift") >= lift) & (3 * F.col("unclosed") >= 2 * F.col("n"))))
+    spikes = materialize(spikes, "spikes")
+    claims = named.join(spikes.select(*where, F.struct("n", (-F.col("e")).alias("e"), "length").alias("claim")), where)
+    claimed = claims.groupBy("source", "trailing", "copy").agg(F.max("claim").alias("claim"))
+    own = claimed.groupBy("source", "trailing", (-F.col("claim.e")).alias("e"), F.col("claim.length").alias("length")).agg(F.count(F.lit(1)).alias("own"))
+    limits = spikes.join(own, where).where(stands_out("own"))
     names = F.array(*(F.lit(e) for e in ENCODINGS))
-    return spikes.select("source", F.get(names, F.col("e")).alias("encoding"), "e", "length", "n")
+    return limits.select("source", F.get(names, F.col("e")).alias("encoding"), "e", "length", "n", "own", "unclosed", "lift", "trailing")
+
+
+def _at_limits(endings: DataFrame, limits: DataFrame) -> DataFrame:
+    """Rows (source, copy): the texts without a closing mark that stand at a limit of their source."""
+    # A byte limit leaves out a last character that doesn't fit; where a source cuts at a whole word and adds an
+    # ellipsis, texts reach somewhat below its limit.
+    back = F.when(F.col("trailing"), 24).when(F.col("encoding").contains("utf8"), 3).otherwise(0)
+    reach = limits.select("source", "e", "trailing", F.explode(F.sequence(F.col("length") - back, F.col("length"))).alias("length")).distinct()
+    sized = endings.where("verdict in ('open', 'trailing') and source is not null")
+    sized = sized.select("source", "copy", (F.col("verdict") == "trailing").alias("trailing"), F.posexplode("lengths").alias("e", "length"))
+    return sized.join(reach, ["source", "e", "trailing", "length"], "left_semi").select("source", "copy").distinct()
 
 
 def truncated(documents: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", *, share: float = 0.05, closers: int = 3) -> DataFrame:
-    """Rows (key, source, truncated) of all documents.
-
-    Broken is a text that ends in a half mark, escape, link or byte sequence or
-    in a mark put after a break; one whose last two words end no sentence
-    elsewhere in the corpus (in less than ``share`` of their occurrences), or
-    never occur elsewhere, unless at least ``closers`` different texts, and no
-    fewer than have these words elsewhere, end in the same fragment and no
-    longer word continues it; and one without a
-    closing mark at a hidden limit of its source. A text with a closing mark, a
-    phrase that trails off on purpose, a list of complete items and a text of
-    fewer than three words are complete; so are null and blank texts. Copies of
-    a text share its verdict. Rows with a null key stay; an empty table gives
-    no rows.
+    """Rows (key, source, truncated, reason) of all documents; the reason is null for complete ones.
+
+    Broken is, in this order,
+    - ``mark``: a text that ends in a half mark, escape, link or byte sequence,
+      in a comma, or in a mark put after a break;
+    - ``limit``: one without a closing mark at a hidden limit of its source;
+    - ``ending``: one whose last two words end no sentence elsewhere in the
+      corpus (in less than ``share`` of their occurrences), or never occur
+      elsewhere (before an ellipsis only if the last is the beginning of a
+      more frequent word, else the text trails off);
+    - ``copy``: a copy of a broken text.
+    A phrase that at least ``closers`` different texts away from limits end in,
+    and no fewer than have its words elsewhere, and that no longer word
+    continues, is a closing or trails off on purpose: such texts are complete,
+    except those at a limit without an ellipsis. So are texts with a closing
+    mark, lists of complete items, texts of fewer than three words, null and
+    blank ones. Rows with a null key stay; an empty table gives no rows.
     """
-    endings = judge_endings(documents, key, text, source)
-    counts = documents.where(F.col(text).isNotNull()).select(F.col(text).alias("text")).mapInArrow(_counted, "kind string, before string, word string, ends boolean, n bigint")
-    known = materialize(counts.groupBy("kind", "before", "word").agg(F.sum(F.when(F.col("ends"), F.col("n")).otherwise(0)).alias("ends"), F.sum("n").alias("n")), "continuations")
-    undecided = endings.where("verdict in ('open', 'trailing')")
+    endings, known = judge_endings(documents, key, text, source)
+    limits = materialize(hidden_limits(endings), "limits")
+    undecided = endings.where("verdict in ('open', 'trailing')").drop("lengths")
+    at = materialize(_at_limits(endings, limits).withColumn("at_limit", F.lit(True)), "at")
+    undecided = materialize(undecided.join(at, ["source", "copy"], "left").withColumn("at_limit", F.coalesce("at_limit", F.lit(False))), "undecided")
     pairs = undecided.select("kind", "before", "word").distinct().join(known, ["kind", "before", "word"], "left").fillna(0, ["ends", "n"])
+    pairs = materialize(pairs, "last_words")
     # Pairs that hardly end a sentence elsewhere: is the last word the beginning of a longer, more frequent one?
-    unseen = pairs.where(F.col("ends") <= share * F.col("n")).select("kind", "before", "word", "n", F.substring("word", 1, 1).alias("initial"))
-    whole_words = known.select("kind", "before", F.col("word").alias("whole"), F.col("n").alias("whole_n"), F.substring("word", 1, 1).alias("initial"))
-    longer = (
-        unseen.join(whole_words, ["kind", "before", "initial"])
-        .where(F.col("whole").startswith(F.col("word")) & (F.length("whole") > F.length("word")) & (F.col("whole_n") > F.col("n")))
-        .select("kind", "before", "word")
-        .distinct()
-        .withColumn("cut", F.lit(True))
-    )
-    # A pair of words that is new, as after odd insertions, is judged by its last word alone.
+    unseen = pairs.where(F.col("ends") <= share * F.col("n")).select("kind", "before", "word", "n")
+    lengths_of = F.explode(F.when(F.length("word") > 1, F.sequence(F.lit(1), F.length("word") - 1)))
+    prefixes = known.select("kind", "before", "word", F.col("n").alias("whole_n"), lengths_of.alias("size"))
+    prefixes = prefixes.select("kind", "before", F.substring("word", F.lit(1), F.col("size")).alias("word"), "whole_n")
+    longer = unseen.join(prefixes, ["kind", "before", "word"]).where("whole_n > n").select("kind", "before", "word").distinct().withColumn("cut", F.lit(True))
+    # A pair of words that is new, as after odd insertions, is judged by its last word alone: whether it ends sentences,
+    # and whether it is the beginning of a more frequent one.
     alone = known.groupBy("kind", "word").agg(F.sum("ends").alias("word_ends"), F.sum("n").alias("word_n"))
-    alone = alone.join(unseen.where("n = 0").select("kind", "word").distinct(), ["kind", "word"]).where("word_n >= 20 and word_ends >= 0.3 * word_n").select("kind", "word", F.lit(True).alias("final"))
-    repeated = undecided.groupBy("fragment").agg(F.count_distinct("copy").alias("texts"))
-    # A byte limit leaves out a last character that doesn't fit. Where a source cuts at a whole word and adds an
-    # ellipsis, the lengths of such texts alone show its limit, and reach somewhat below it.
-    tight = F.when(F.col("encoding").contains("utf8"), 3).otherwise(0)
-    reaching = lambda limits, verdict, back: limits.select("source", "e", F.lit(verdict).alias("verdict"), F.explode(F.sequence(F.col("length") - back, F.col("length"))).alias("length"))
-    reach = reaching(hidden_limits(endings), "open", tight).unionByName(reaching(hidden_limits(endings.where("verdict = 'trailing'")), "trailing", F.lit(24))).distinct()
-    at = undecided.select("copy", "source", "verdict", F.posexplode("lengths").alias("e", "length")).join(reach, ["source", "e", "verdict", "length"], "left_semi")
-    at = at.select("source", "copy").distinct().withColumn("at_limit", F.lit(True))
+    alone = materialize(alone, "vocabulary")
+    begun = alone.select("kind", F.col("word_n").alias("whole_n"), "word", lengths_of.alias("size")).select("kind", F.substring("word", F.lit(1), F.col("size")).alias("word"), "whole_n")
+    lone = unseen.where("n = 0").select("kind", "word").distinct()
+    begun = lone.join(begun, ["kind", "word"]).groupBy("kind", "word").agg(F.max("whole_n").alias("whole_n"))
+    final = (F.col("word_n") >= 20) & (F.col("word_ends") >= 0.3 * F.col("word_n"))
+    alone = lone.join(alone, ["kind", "word"], "left").join(begun, ["kind", "word"], "left").select("kind", "word", final.alias("final"), (F.col("whole_n") > F.coalesce("word_n", F.lit(0))).alias("begun"))
+    repeated = undecided.where("not at_limit").groupBy("fragment").agg(F.count_distinct("copy").alias("texts"))
     full = (
-        undecided.drop("lengths")
-        .join(pairs, ["kind", "before", "word"], "left")
+        undecided.join(pairs, ["kind", "before", "word"], "left")
         .join(longer, ["kind", "before", "word"], "left")
         .join(alone, ["kind", "word"], "left")
-        .join(repeated, "fragment", "left")
-        .join(at, ["source", "copy"], "left")
+        .join(repeated.where(F.col("texts") >= closers), "fragment", "left")
     )
     flag = lambda c: F.coalesce(F.col(c), F.lit(False))
-    closer = ~flag("cut") & (F.col("texts") >= F.greatest(F.lit(closers), F.col("n")))
+    closer = F.coalesce(~flag("cut") & (F.col("texts") >= F.col("n")), F.lit(False))
     ends_here = (F.col("n") > 0) & (F.col("ends") >= share * F.col("n")) | (F.col("n") == 0) & ~flag("cut") & flag("final")
-    whole = closer | F.col("fragment").isin(*TRAILING) | ends_here & ~flag("at_limit")
-    whole = F.when(F.col("verdict") == "trailing", whole).otherwise((closer | ends_here) & ~flag("at_limit"))
-    decided = full.select("id", "source", "copy", (~whole).alias("broken"))
-    plainly = endings.where("verdict in ('complete', 'broken')").select("id", "source", "copy", (F.col("verdict") == "broken").alias("broken"))
+    # An ellipsis after words that are new together, the last of them whole: nothing that the corpus goes on from.
+    off = (F.col("verdict") == "trailing") & (F.col("n") == 0) & ~flag("cut") & ~flag("begun")
+    limit = F.col("at_limit") & ~(closer & (F.col("verdict") == "trailing"))
+    reason = F.when(limit, F.lit("limit")).when(~(closer | ends_here | off), F.lit("ending"))
+    decided = full.select("id", "source", "copy", reason.alias("reason"))
+    plainly = endings.where("verdict in ('complete', 'broken')").select("id", "source", "copy", F.when(F.col("verdict") == "broken", F.lit("mark")).alias("reason"))
     every = materialize(decided.unionByName(plainly), "verdicts")
-    # A text posted again is broken if it is anywhere; only the hashes of the broken are shuffled against all.
-    copies = every.where("broken and copy is not null").select("copy").distinct().withColumn("elsewhere", F.lit(True))
-    out = every.join(copies, "copy", "left")
-    return out.select(F.col("id").alias(key), "source", (F.col("broken") | flag("elsewhere")).alias("truncated"))
+    # A text posted again is broken if it is anywhere; only the digests of the broken are shuffled against all.
+    copies = every.where("reason is not null and copy is not null").select("copy").distinct().withColumn("elsewhere", F.lit("copy"))
+    out = every.join(copies, "copy", "left").withColumn("reason", F.coalesce("reason", "elsewhere"))
+    return out.select(F.col("id").alias(key), "source", F.col("reason").isNotNull().alias("truncated"), "reason")
 
 
 def truncation_rates(verdicts: DataFrame) -> DataFrame:
-    """Rows (source, documents, truncated, share): how often each source, however spelt, truncates; null for unknown sources."""
-    counts = verdicts.groupBy("source").agg(F.count(F.lit(1)).alias("documents"), F.count_if("truncated").alias("truncated"))
+    """Rows (source, documents, truncated, at_limit, share): how often each source, however spelt, truncates; null for unknown sources."""
+    counts = verdicts.groupBy("source").agg(F.count(F.lit(1)).alias("documents"), F.count_if("truncated").alias("truncated"), F.count_if(F.col("reason") == "limit").alias("at_limit"))
     return counts.withColumn("share", F.round(F.col("truncated") / F.col("documents"), 6))

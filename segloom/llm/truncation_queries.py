@@ -19,8 +19,8 @@ def p8_rates(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def p8_limits(spark: SparkSession, directory: str) -> DataFrame:
-    """The hidden storage limits of the sources."""
-    return hidden_limits(judge_endings(table(spark, directory, "documents"))).drop("e")
+    """The hidden storage limits of the sources, with how much more often texts lack a closing mark there."""
+    return hidden_limits(judge_endings(table(spark, directory, "documents"))[0]).drop("e")
 
 
 QUERIES = {"p8_found": p8_found, "p8_rates": p8_rates, "p8_limits": p8_limits}
