@@ -36,8 +36,10 @@ _NAMED = {name: code for code, names in LANGUAGE_NAMES.items() for name in (code
 
 #: Fewest words of a record, or of a clause, that show its language.
 LEAST_WORDS = 6
-#: Windows of so many words, so many apart, in runs of more than so many words without the end of a sentence.
-_WINDOW, _STEP, _RUN = 6, 1, 32
+#: Windows of so many words, in runs of more than so many words without the end of a sentence.
+_WINDOW, _RUN = 6, 32
+#: Windows so many apart hold five words of each clause of six; a passage in which one of them differs is looked at again.
+_GLANCE = 3
 #: Margin, as a share of the second smallest size, below which a language is rejected, and that of a second language.
 REJECT, SECOND = 0.12, 0.2
 #: Bytes by which a clause in a second language must be smaller than in the text's.
@@ -47,6 +49,7 @@ _MARKS = re.compile(r"\[[^\]]*\]|\([^)]*\)|\{[^}]*\}|<[^>]*>|\*[^*\n]*\*|[♪♫
 _LABEL = re.compile(r"^\s*(?:>>[^:\n]{1,60}:|-\s+[^\n]{1,50}?\s+-(?=\s)|(?:[^\W\d_][\w#.'-]*(?:[ ,]+[\w#.'()-]+){0,3}\s*:(?=\s)))", re.M)
 _SIGNS = re.compile(r"[\[({<*♪♫♩♬:#@>]")
 _SENTENCE = re.compile(r"(?<=[.!?…;])\s+|\n+|\s+[—–|/•]+\s+")
+_NO_SPACE = re.compile(r"\S+")
 _INVISIBLE = re.compile("[\u00ad\u200b\u200c\u200d\u2060\ufeff]")
 
 
@@ -62,40 +65,38 @@ def readable(text: str) -> str:
         text = html.unescape(text)
     if not text.isascii():
         text = _INVISIBLE.sub("", unicodedata.normalize("NFC", text))
+    if ":" in text or "- " in text:
+        text = _LABEL.sub(" ", text)
     if _SIGNS.search(text):
-        if ":" in text or ">>" in text or "- " in text:
-            text = _LABEL.sub(" ", text)
         text = _MARKS.sub(" ", text)
     return text.lower()
 
 
-def windows(text: str, at: int, end: int) -> list[tuple[int, int, list[str]]]:
-    """Overlapping windows of words of a stretch of text."""
-    words = text[at:end].split()
-    begins, ends = [], []
-    for word in words:
-        at = text.index(word, at)
-        begins.append(at)
-        at += len(word)
-        ends.append(at)
-    last = min(_WINDOW, len(words)) - 1
-    return [(begins[i], ends[i + last], words[i : i + _WINDOW]) for i in range(0, max(1, len(words) - _WINDOW + 1), _STEP)]
+def word_spans(text: str, at: int, end: int) -> list[tuple[int, int]]:
+    """(first char, end char) of the words of a stretch of text."""
+    return [m.span() for m in _NO_SPACE.finditer(text, at, end)]
 
 
-def passages(text: str) -> list[tuple[int, int, list[str]]]:
-    """(first char, end char, words) of the passages of a readable text.
+def windows(text: str, spans: list[tuple[int, int]], step: int) -> list[tuple[int, int, str, int]]:
+    """(first char, end char, text, words) of windows of ``_WINDOW`` words, ``step`` apart; the last one ends with the last word."""
+    n = len(spans)
+    last = max(0, n - _WINDOW)
+    starts = range(0, last + 1, step) if last % step == 0 else (*range(0, last, step), last)
+    size = min(_WINDOW, n)
+    return [(spans[i][0], spans[i + size - 1][1], text[spans[i][0] : spans[i + size - 1][1]], size) for i in starts]
 
-    Passages are sentences; a long run of words without the end of a sentence
-    becomes overlapping windows.
+
+def passages(text: str) -> list[tuple[int, int, str, int]]:
+    """(first char, end char, text, words) of the passages of a readable text.
+
+    Passages are sentences, or runs of words without the end of one.
     """
     out, at = [], 0
     for cut in [*_SENTENCE.finditer(text), None]:
         end = cut.start() if cut else len(text)
-        words = text[at:end].split()
-        if len(words) > _RUN:
-            out += windows(text, at, end)
-        elif words:
-            out.append((at, end, words))
+        n = len(text[at:end].split())
+        if n:
+            out.append((at, end, text[at:end], n))
         at = cut.end() if cut else end
     return out
 
@@ -143,12 +144,18 @@ class Languages:
 def sample_languages(samples: DataFrame, labelled: DataFrame | None = None, *, bound: int = 15_000, size: int = 16_000, most: int = 4000) -> Languages:
     """The compressors of the labelled sample sentences.
 
-    At most ``most`` sample sentences are read. With ``labelled`` (columns id,
+    At most about ``most`` sample sentences of each language are read, chosen by
+    a hash. With ``labelled`` (columns id,
     label, text) each dictionary is lengthened to about ``size`` bytes by
     sentences from at most ``bound`` of its rows, chosen by a hash of the id,
     whose label agrees with a clear result of the sample sentences alone.
     """
-    rows = samples.where("lang is not null and text is not null").orderBy("lang", "sample_id").limit(most).collect()
+    known = samples.where("lang is not null and text is not null")
+    # The same share of each language's sentences, whichever it has.
+    scale = 1 << 30
+    shares = known.groupBy("lang").agg((F.lit(0.95 * most * scale) / F.count(F.lit(1))).alias("share"))
+    all_of = (F.col("share") >= 0.95 * scale) | (F.pmod(F.xxhash64("sample_id", "text"), F.lit(scale)) < F.col("share"))
+    rows = known.join(F.broadcast(shares), "lang").where(all_of).orderBy("lang", "sample_id", "text").collect()
     by: dict[str, list[str]] = {}
     for r in rows:
         by.setdefault(r.lang, []).append(r.text.lower())
@@ -157,7 +164,7 @@ def sample_languages(samples: DataFrame, labelled: DataFrame | None = None, *, b
     if labelled is None or not codes:
         return first
     chosen = hash_sample(labelled.where("label is not null and text is not null"), ["id"], bound, labelled.count()).orderBy("id").collect()
-    found = [(label_code(r.label), " ".join(w)) for r in chosen for _, _, w in passages(readable(r.text)) if len(w) >= 8]
+    found = [(label_code(r.label), t) for r in chosen for _, _, t, n in passages(readable(r.text)) if n >= 8]
     found = [(c, t) for c, t in dict.fromkeys(found) if c in by]
     sizes = first.sizes([t.encode() for _, t in found])
     best, margin = decide(sizes)
@@ -178,34 +185,51 @@ def decide(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return sizes.argmin(axis=1), (ordered[:, 1] - ordered[:, 0]) / np.maximum(1, ordered[:, 1])
 
 
-def _joined(parts: list[tuple[int, int, list[str]]]) -> list[bytes]:
-    return [" ".join(w).encode("utf-8", "replace") for _, _, w in parts]
+def _bytes(parts: list[tuple[int, int, str, int]]) -> list[bytes]:
+    return [t.encode("utf-8", "replace") for _, _, t, _ in parts]
 
 
 def classify(texts: list[str | None], languages: Languages) -> tuple[list[str], list[tuple[int, int, int, int, int, float, int, int, bool]]]:
     """The readable texts, and rows (text, first char, end char, words, language, margin, gain over the text's language, words not in the row before, window).
 
-    A passage of as many words as two clauses is looked at again in windows: it
-    is parted into them where it has no clear language, or where one of them is
-    clearly in another. The language of a text is the one with most words in
-    clear passages.
+    A passage of as many words as two clauses is glanced at in windows, and
+    looked at in all windows where one of them isn't in its language or it has
+    no clear one: it is parted into them where one is clearly in another. The
+    sizes of a long run of words are the means of its windows, as a long text
+    soon compresses by itself. The language of a text is the one with most
+    words in clear passages.
     """
     clear = [readable(t) if t else "" for t in texts]
     parts = [passages(t) for t in clear]
     flat = [p for ps in parts for p in ps]
     own = [i for i, ps in enumerate(parts) for _ in ps]
-    sizes = languages.sizes(_joined(flat))
+    sizes = np.zeros((len(flat), len(languages.codes)), np.int32)
+    short = [j for j, p in enumerate(flat) if p[3] <= _RUN]
+    sizes[short] = languages.sizes(_bytes([flat[j] for j in short]))
+    again, spans, doubtful = [j for j, p in enumerate(flat) if p[3] >= 2 * _WINDOW], [], np.zeros(0, bool)
+    if again:
+        spans = [word_spans(clear[own[j]], flat[j][0], flat[j][1]) for j in again]
+        glance = [windows(clear[own[j]], s, _GLANCE) for j, s in zip(again, spans)]
+        count = np.array([len(ws) for ws in glance])
+        of = np.repeat(np.arange(len(again)), count)
+        seen = languages.known_sizes(_bytes([w for ws in glance for w in ws]))
+        long = np.array([flat[j][3] > _RUN for j in again])
+        means = np.add.reduceat(seen, np.cumsum(count) - count) / count[:, None]
+        sizes[np.array(again)[long]] = np.round(means[long])
     best, margin = decide(sizes)
-    again = [j for j, p in enumerate(flat) if len(p[2]) >= 2 * _WINDOW]
     if again:
-        split = [windows(clear[own[j]], flat[j][0], flat[j][1]) for j in again]
-        inner = languages.known_sizes(_joined([w for ws in split for w in ws]))
+        doubtful = margin[again] < np.where(long, REJECT, 0.3)
+        doubtful[of[seen.argmin(axis=1) != best[again][of]]] = True
+        again, spans, long = [j for j, d in zip(again, doubtful) if d], [s for s, d in zip(spans, doubtful) if d], long[doubtful]
+    if again:
+        split = [windows(clear[own[j]], s, 1) for j, s in zip(again, spans)]
+        inner = languages.known_sizes(_bytes([w for ws in split for w in ws]))
         inner_best, inner_margin = decide(inner)
         of = np.repeat(np.arange(len(again)), [len(ws) for ws in split])
         whole = best[again][of]
         place = np.arange(len(inner))
         apart = (inner_best != whole) & (inner_margin >= SECOND) & (inner[place, whole] - inner[place, inner_best] >= _GAIN)
-        parted = margin[again] < 0.3
+        parted = (margin[again] < 0.3) | long
         parted[of[apart]] = True
         gone = {again[i] for i in np.flatnonzero(parted)}
         keep = [j for j in range(len(flat)) if j not in gone]
@@ -215,7 +239,7 @@ def classify(texts: list[str | None], languages: Languages) -> tuple[list[str],
     order = sorted(range(len(flat)), key=lambda j: (own[j], flat[j][0]))
     flat, own, sizes = [flat[j] for j in order], [own[j] for j in order], sizes[order]
     best, margin = decide(sizes)
-    count = np.array([len(p[2]) for p in flat], int)
+    count = np.array([p[3] for p in flat], int)
     owner = np.array(own, int)
     # A window shares all its words but the last with the window before it.
     inside = np.zeros(len(flat), bool)
@@ -227,46 +251,51 @@ def classify(texts: list[str | None], languages: Languages) -> tuple[list[str],
     np.add.at(weight, (owner[good], best[good]), fresh[good])
     main = weight.argmax(axis=1)
     gain = sizes[np.arange(len(flat)), main[owner]] - sizes[np.arange(len(flat)), best] if len(flat) else best
-    return clear, [(own[j], p[0], p[1], int(count[j]), int(best[j]), float(margin[j]), int(gain[j]), int(fresh[j]), bool(window[j])) for j, p in enumerate(flat)]
+    # A window in another language counts where the one before or after it is in that language, too.
+    same = inside & np.append(False, best[1:] == best[:-1])[: len(flat)]
+    gain = np.where(window & ~(same | np.append(same[1:], False)), 0, gain)
+    return clear, list(zip(own, (p[0] for p in flat), (p[1] for p in flat), *(c.tolist() for c in (count, best, margin, gain, fresh, window))))
 
 
-_SILENT = frozenset(HESITATIONS)
+# Hesitations that are also ordinary words of one of the languages.
+_ALSO_WORDS = ("um", "er", "este", "ben", "hum")
+_SILENT = frozenset(h + mark for h in HESITATIONS for mark in (",", "...", "…", *(() if h in _ALSO_WORDS else ("", ".", "?", "!", ";", ":"))))
+_CONTENT = re.compile(r"\w\S*")
 
 
-def _count_words(text: str, most: int = 2 * LEAST_WORDS) -> int:
-    """The words of a readable text that are no hesitations, counted up to ``most``."""
-    n = 0
-    for word in text.split():
-        bare = word.strip(".,!?…;:\"'()-—–")
-        if bare and bare not in _SILENT and (bare[0].isalnum() or any(map(str.isalnum, bare))):
-            n += 1
-            if n >= most:
-                break
-    return n
+def _count_words(text: str) -> int:
+    """The words of a readable text that are no hesitations; one that is also a word is a hesitation before a comma or an ellipsis."""
+    words = _CONTENT.findall(text)
+    return len(words) - sum(map(_SILENT.__contains__, words))
 
 
 def _record_rows(batches: Iterator[pa.RecordBatch], languages: Languages) -> Iterator[pa.RecordBatch]:
-    """Rows (id, label, language, confidence, words, mixed), one a language that a record holds."""
+    """Rows (id, label, language, confidence, words, mixed), one a language that a record holds, one without where none is clear."""
     for whole in batches:
         for at in range(0, whole.num_rows, 512):
             batch = whole.slice(at, 512)
             texts = batch.column(2).to_pylist()
             clear, rows = classify(texts, languages)
             by: dict[int, dict[int, list]] = {}
+            widest = [0.0] * len(texts)
             for i, _, _, n, lang, margin, gain, fresh, _ in rows:
+                widest[i] = max(widest[i], margin)
                 if margin >= REJECT:
                     held = by.setdefault(i, {}).setdefault(lang, [0, 0.0, False])
                     held[0] += fresh
                     held[1] += fresh * margin
-                    # A second language needs a clause of its own, clearly apart from the text's language.
+                    # A further language needs a clause of its own, clearly apart from the text's language.
                     held[2] |= n >= LEAST_WORDS and margin >= SECOND and gain >= _GAIN
             out = []
-            for i, held in by.items():
+            for i, text in enumerate(clear):
+                words, held = _count_words(text), by.get(i)
+                if not held:
+                    out.append((i, None, widest[i], words, False))
+                    continue
                 ranked = sorted(held, key=lambda k: (-held[k][0], k))
-                second = [k for k in ranked[1:] if held[k][2]][:1]
-                words = _count_words(clear[i])
-                for k in [ranked[0], *second]:
-                    out.append((i, languages.codes[k], held[k][1] / held[k][0], words, bool(second)))
+                further = [k for k in ranked[1:] if held[k][2]]
+                for k in [ranked[0], *further]:
+                    out.append((i, languages.codes[k], held[k][1] / held[k][0], words, bool(further)))
             place = pa.array([o[0] for o in out], pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(place), batch.column(1).take(place), pa.array([o[1] for o in out], pa.string()), pa.array([o[2] for o in out], pa.float64()), pa.array([o[3] for o in out], pa.int32()), pa.array([o[4] for o in out], pa.bool_())],
@@ -306,12 +335,14 @@ def _passage_rows(batches: Iterator[pa.RecordBatch], languages: Languages) -> It
 def record_languages(records: DataFrame, languages: Languages) -> DataFrame:
     """Rows (id, label, language, confidence, words, mixed) of records (id, label, text).
 
-    One row for the language of a text; a second one, and ``mixed``, where a
-    clause of at least six words is clearly in another. ``confidence`` is the
-    mean margin between the smallest and the next compressed size as a share of
-    the latter, from 0 to 1. ``words`` counts up to 12 words that are
-    no hesitations. Null, blank and unclear texts (narrow margins) have no
-    rows. Repeated records have their rows again; nothing is shuffled.
+    One row for the language of a text; one more, and ``mixed``, for each other
+    language in which a clause of at least six words clearly is. ``confidence``
+    is the mean margin between the smallest and the next compressed size as a
+    share of the latter, from 0 to 1. ``words`` counts the words that are no
+    hesitations. A text that is rejected, its margins being narrow, has a row
+    without a language and with the widest of its margins; null and blank texts
+    have one with the confidence 0. Repeated records have their rows again;
+    nothing is shuffled.
     """
     kind = records.schema["id"].dataType.simpleString()
     return records.select("id", "label", "text").mapInArrow(lambda b: _record_rows(b, languages), f"id {kind}, label string, language string, confidence double, words int, mixed boolean")
@@ -330,10 +361,10 @@ def mislabelled(records: DataFrame, languages: Languages) -> DataFrame:
     """Rows (id, language): the records without a language, with a wrong one, or with two.
 
     Of records with at least six words: the true language where the label names
-    none or another; both languages where the text holds two. A record that
+    none or another; each of them where the text holds several. A record that
     comes twice counts once.
     """
-    found = record_languages(records, languages).where(F.col("words") >= LEAST_WORDS)
+    found = record_languages(records, languages).where((F.col("words") >= LEAST_WORDS) & F.col("language").isNotNull())
     forms = F.create_map(*(F.lit(x) for name, code in _NAMED.items() for x in (name, code)))
     bare = F.lower(F.btrim(F.coalesce("label", F.lit("")), F.lit(" .\t\n")))
     named = F.coalesce(F.try_element_at(forms, bare), F.try_element_at(forms, F.btrim(F.get(F.split(bare, "[-_ ]"), F.lit(0)), F.lit("."))))

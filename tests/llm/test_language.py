@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from segloom.llm.language import classify, decide, label_code, mislabelled, passage_languages, passages, readable, record_languages, sample_languages, windows
+from segloom.llm.language import classify, decide, label_code, mislabelled, passage_languages, passages, readable, record_languages, sample_languages, windows, word_spans
 from segloom.session import table
 
 EN = "The old lighthouse compares the water level with the help of two neighbours."
@@ -67,9 +67,10 @@ def test_mislabelled(spark, languages):
 
 def test_pieces(languages):
     assert readable("[Music] Hé&amp; ​Speaker") == "  hé& speaker"
-    assert [" ".join(w) for _, _, w in passages("one two. three four\nfive")] == ["one two.", "three four", "five"]
+    assert [t for _, _, t, _ in passages("one two. three four\nfive")] == ["one two.", "three four", "five"]
     long = " ".join(f"w{i}" for i in range(50))
-    assert {w for _, _, ws in passages(long) for w in ws} == set(long.split())
+    assert {w for _, _, t, _ in passages(long) for w in t.split()} == set(long.split())
+    assert readable("- Speaker 1 - Oui") == " " + " oui"
     assert classify([None, ""], languages)[1] == []
 
 
@@ -86,6 +87,29 @@ def test_clear_passage_of_two_languages(spark, languages):
 def test_windows_are_whole():
     """Each run of six words of a stretch is a window, the last six too."""
     text = " ".join(f"w{i}" for i in range(35))
-    found = windows(text, 0, len(text))
-    assert [w for _, _, w in found] == [text.split()[i : i + 6] for i in range(30)]
-    assert all(text[a:z].split() == w for a, z, w in found)
+    spans = word_spans(text, 0, len(text))
+    found = windows(text, spans, 1)
+    assert [t.split() for _, _, t, _ in found] == [text.split()[i : i + 6] for i in range(30)]
+    assert all(text[a:z] == t and n == 6 for a, z, t, n in found)
+    glance = windows(text, spans[:34], 3)
+    assert [t.split()[0] for _, _, t, _ in glance] == [f"w{i}" for i in (*range(0, 28, 3), 28)]
+
+
+def test_all_languages(spark, languages):
+    """Each language with a clause of its own has a row, however many; samples are bounded for each language by itself."""
+    de = "Ein geduldiger Zuhörer misst die Temperatur der Glasur am Ende der Woche."
+    text = f"{EN} {FR} {de}"
+    df = spark.createDataFrame([(1, "en", text), (2, None, None), (3, "en", "zzz qqq xxx vvv"), (4, "pt", "Um um quem decide quando um jardineiro? Um, hum...")], "id bigint, label string, text string")
+    rows = record_languages(df, languages).collect()
+    assert {r.language for r in rows if r.id == 1 and r.mixed} == {"en", "fr", "de"}
+    assert {tuple(r) for r in mislabelled(df.where("id = 1"), languages).collect()} == {(1, "en"), (1, "fr"), (1, "de")}
+    others = {r.id: r for r in rows if r.id > 1}
+    assert others[2].language is None and others[2].confidence == 0 and others[2].words == 0
+    assert others[3].language is None and 0 <= others[3].confidence < 0.12
+    assert others[4].words == 7  # the article counts, the hesitations at the end don't
+
+
+def test_samples_of_each_language(spark):
+    rows = [(i, f"l{i % 3}" if i < 900 else "z", f"word{i} and{i} so on {i}") for i in range(910)]
+    few = sample_languages(spark.createDataFrame(rows, "sample_id bigint, lang string, text string"), most=20)
+    assert few.codes == ["l0", "l1", "l2", "z"] and all(0 < len(s.splitlines()) <= 40 for s in few.samples)
