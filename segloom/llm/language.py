@@ -77,13 +77,14 @@ def word_spans(text: str, at: int, end: int) -> list[tuple[int, int]]:
     return [m.span() for m in _NO_SPACE.finditer(text, at, end)]
 
 
-def windows(text: str, spans: list[tuple[int, int]], step: int) -> list[tuple[int, int, str, int]]:
-    """(first char, end char, text, words) of windows of ``_WINDOW`` words, ``step`` apart; the last one ends with the last word."""
-    n = len(spans)
+def window_starts(n: int) -> list[int]:
+    """The first words of windows ``_GLANCE`` apart over ``n`` words; the last window ends with the last word."""
     last = max(0, n - _WINDOW)
-    starts = range(0, last + 1, step) if last % step == 0 else (*range(0, last, step), last)
-    size = min(_WINDOW, n)
-    return [(spans[i][0], spans[i + size - 1][1], text[spans[i][0] : spans[i + size - 1][1]], size) for i in starts]
+    return [*range(0, last, _GLANCE), last]
+
+
+def _window_bytes(words: list[str], starts: list[int]) -> list[bytes]:
+    return [" ".join(words[i : i + _WINDOW]).encode("utf-8", "replace") for i in starts]
 
 
 def passages(text: str) -> list[tuple[int, int, str, int]]:
@@ -185,76 +186,79 @@ def decide(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return sizes.argmin(axis=1), (ordered[:, 1] - ordered[:, 0]) / np.maximum(1, ordered[:, 1])
 
 
-def _bytes(parts: list[tuple[int, int, str, int]]) -> list[bytes]:
-    return [t.encode("utf-8", "replace") for _, _, t, _ in parts]
-
-
-def classify(texts: list[str | None], languages: Languages) -> tuple[list[str], list[tuple[int, int, int, int, int, float, int, int, bool]]]:
-    """The readable texts, and rows (text, first char, end char, words, language, margin, gain over the text's language, words not in the row before, window).
+def classify(texts: list[str | None], languages: Languages) -> tuple[list[str], list[tuple]]:
+    """The readable texts, and rows (text, first and end char of a passage, first and end word in it, words, language, margin, gain over the text's language, words not in the row before, window).
 
     A passage of as many words as two clauses is glanced at in windows, and
-    looked at in all windows where one of them isn't in its language or it has
-    no clear one: it is parted into them where one is clearly in another. The
-    sizes of a long run of words are the means of its windows, as a long text
-    soon compresses by itself. The language of a text is the one with most
-    words in clear passages.
+    looked at in every window around those that aren't in its language (or are
+    unclear, where it is so itself); it is parted into windows where one is
+    clearly in another language or it has no clear one. The sizes of a long run
+    of words are the means of its windows, as a long text soon compresses by
+    itself. The language of a text is the one with most words in clear passages.
     """
     clear = [readable(t) if t else "" for t in texts]
     parts = [passages(t) for t in clear]
     flat = [p for ps in parts for p in ps]
     own = [i for i, ps in enumerate(parts) for _ in ps]
+    n_words = np.array([p[3] for p in flat], int)
     sizes = np.zeros((len(flat), len(languages.codes)), np.int32)
-    short = [j for j, p in enumerate(flat) if p[3] <= _RUN]
-    sizes[short] = languages.sizes(_bytes([flat[j] for j in short]))
-    again, spans, doubtful = [j for j, p in enumerate(flat) if p[3] >= 2 * _WINDOW], [], np.zeros(0, bool)
-    if again:
-        spans = [word_spans(clear[own[j]], flat[j][0], flat[j][1]) for j in again]
-        glance = [windows(clear[own[j]], s, _GLANCE) for j, s in zip(again, spans)]
-        count = np.array([len(ws) for ws in glance])
-        of = np.repeat(np.arange(len(again)), count)
-        seen = languages.known_sizes(_bytes([w for ws in glance for w in ws]))
-        long = np.array([flat[j][3] > _RUN for j in again])
+    short = np.flatnonzero(n_words <= _RUN)
+    sizes[short] = languages.sizes([flat[j][2].encode("utf-8", "replace") for j in short])
+    again = np.flatnonzero(n_words >= 2 * _WINDOW)
+    words = [flat[j][2].split() for j in again]
+    starts = [window_starts(n) for n in n_words[again].tolist()]
+    count = np.array([len(s) for s in starts], int)
+    seen = languages.known_sizes([t for w, s in zip(words, starts) for t in _window_bytes(w, s)])
+    of, first = np.repeat(np.arange(len(again)), count), np.array([i for s in starts for i in s], int)
+    long = n_words[again] > _RUN
+    if len(again):
         means = np.add.reduceat(seen, np.cumsum(count) - count) / count[:, None]
-        sizes[np.array(again)[long]] = np.round(means[long])
+        sizes[again[long]] = np.round(means[long])
     best, margin = decide(sizes)
-    if again:
-        doubtful = margin[again] < np.where(long, REJECT, 0.3)
-        doubtful[of[seen.argmin(axis=1) != best[again][of]]] = True
-        again, spans, long = [j for j, d in zip(again, doubtful) if d], [s for s, d in zip(spans, doubtful) if d], long[doubtful]
-    if again:
-        split = [windows(clear[own[j]], s, 1) for j, s in zip(again, spans)]
-        inner = languages.known_sizes(_bytes([w for ws in split for w in ws]))
-        inner_best, inner_margin = decide(inner)
-        of = np.repeat(np.arange(len(again)), [len(ws) for ws in split])
-        whole = best[again][of]
-        place = np.arange(len(inner))
-        apart = (inner_best != whole) & (inner_margin >= SECOND) & (inner[place, whole] - inner[place, inner_best] >= _GAIN)
-        parted = (margin[again] < 0.3) | long
-        parted[of[apart]] = True
-        gone = {again[i] for i in np.flatnonzero(parted)}
-        keep = [j for j in range(len(flat)) if j not in gone]
-        sizes = np.concatenate([sizes[keep], inner[parted[of]]])
-        own = [own[j] for j in keep] + [own[j] for j, ws in zip(again, split) if j in gone for _ in ws]
-        flat = [flat[j] for j in keep] + [w for j, ws in zip(again, split) if j in gone for w in ws]
-    order = sorted(range(len(flat)), key=lambda j: (own[j], flat[j][0]))
-    flat, own, sizes = [flat[j] for j in order], [own[j] for j in order], sizes[order]
+    seen_best, seen_margin = decide(seen)
+    narrow = margin[again] < np.where(long, REJECT, 0.3)
+    suspect = (seen_best != best[again][of]) | narrow[of] & (seen_margin < REJECT)
+    # Every window between a suspect one and its neighbours.
+    closer = np.unique(np.concatenate([of[suspect] * (1 << 32) + first[suspect] + d for d in (-2, -1, 1, 2)])) if suspect.any() else np.zeros(0, int)
+    near_of, near_first = closer >> 32, closer & ((1 << 32) - 1)
+    real = near_first <= np.maximum(0, n_words[again][near_of] - _WINDOW)
+    real &= ~np.isin(closer, of * (1 << 32) + first)
+    near_of, near_first = near_of[real], near_first[real]
+    near = languages.known_sizes([t for g, i in zip(near_of.tolist(), near_first.tolist()) for t in _window_bytes(words[g], [i])])
+    of, first, inner = np.concatenate([of, near_of]), np.concatenate([first, near_first]), np.concatenate([seen, near])
+    inner_best, inner_margin = decide(inner)
+    whole, place = best[again][of], np.arange(len(inner))
+    apart = (inner_best != whole) & (inner_margin >= SECOND) & (inner[place, whole] - inner[place, inner_best] >= _GAIN)
+    parted = narrow | long & np.isin(np.arange(len(again)), of[: len(suspect)][suspect])
+    parted[of[apart]] = True
+    whole_one = np.ones(len(flat), bool)
+    whole_one[again[parted]] = False
+    taken = parted[of]
+    # The rows: passages that stay whole, and the windows of the others, in order.
+    passage = np.concatenate([np.flatnonzero(whole_one), again[of[taken]]])
+    begin = np.concatenate([np.zeros(int(whole_one.sum()), int), first[taken]])
+    end = np.concatenate([n_words[whole_one], np.minimum(first[taken] + _WINDOW, n_words[again[of[taken]]])])
+    window = np.arange(len(passage)) >= whole_one.sum()
+    sizes = np.concatenate([sizes[whole_one], inner[taken]])
+    order = np.lexsort((begin, passage))
+    passage, begin, end, window, sizes = passage[order], begin[order], end[order], window[order], sizes[order]
     best, margin = decide(sizes)
-    count = np.array([p[3] for p in flat], int)
-    owner = np.array(own, int)
-    # A window shares all its words but the last with the window before it.
-    inside = np.zeros(len(flat), bool)
-    inside[1:] = [own[j] == own[j - 1] and flat[j][0] < flat[j - 1][1] for j in range(1, len(flat))]
-    fresh = np.where(inside, 1, count)
-    window = inside | np.append(inside[1:], False)
+    owner = np.array(own, int)[passage]
+    inside = np.zeros(len(passage), bool)
+    inside[1:] = (passage[1:] == passage[:-1]) & (begin[1:] < end[:-1])
+    fresh = end - begin
+    fresh[1:] = np.where(inside[1:], end[1:] - end[:-1], fresh[1:])
     weight = np.zeros((len(texts), len(languages.codes)))
     good = margin >= REJECT
     np.add.at(weight, (owner[good], best[good]), fresh[good])
     main = weight.argmax(axis=1)
-    gain = sizes[np.arange(len(flat)), main[owner]] - sizes[np.arange(len(flat)), best] if len(flat) else best
+    gain = sizes[np.arange(len(passage)), main[owner]] - sizes[np.arange(len(passage)), best] if len(passage) else best
     # A window in another language counts where the one before or after it is in that language, too.
-    same = inside & np.append(False, best[1:] == best[:-1])[: len(flat)]
-    gain = np.where(window & ~(same | np.append(same[1:], False)), 0, gain)
-    return clear, list(zip(own, (p[0] for p in flat), (p[1] for p in flat), *(c.tolist() for c in (count, best, margin, gain, fresh, window))))
+    same = inside.copy()
+    same[1:] &= best[1:] == best[:-1]
+    gain = np.where(window & ~(same | np.append(same[1:], False)[: len(same)]), 0, gain)
+    spans = [flat[j] for j in passage.tolist()]
+    return clear, list(zip(owner.tolist(), (p[0] for p in spans), (p[1] for p in spans), *(c.tolist() for c in (begin, end, end - begin, best, margin, gain, fresh, window))))
 
 
 # Hesitations that are also ordinary words of one of the languages.
@@ -278,7 +282,7 @@ def _record_rows(batches: Iterator[pa.RecordBatch], languages: Languages) -> Ite
             clear, rows = classify(texts, languages)
             by: dict[int, dict[int, list]] = {}
             widest = [0.0] * len(texts)
-            for i, _, _, n, lang, margin, gain, fresh, _ in rows:
+            for i, _, _, _, _, n, lang, margin, gain, fresh, _ in rows:
                 widest[i] = max(widest[i], margin)
                 if margin >= REJECT:
                     held = by.setdefault(i, {}).setdefault(lang, [0, 0.0, False])
@@ -310,7 +314,12 @@ def _passage_rows(batches: Iterator[pa.RecordBatch], languages: Languages) -> It
             batch = whole.slice(at, 512)
             clear, rows = classify(batch.column(2).to_pylist(), languages)
             merged: list[list] = []
-            for i, a, z, _, lang, margin, gain, n, window in rows:
+            spans: tuple[tuple, list[tuple[int, int]]] = ((), [])
+            for i, a, z, first, end, _, lang, margin, gain, n, window in rows:
+                if window:
+                    if spans[0] != (i, a):
+                        spans = (i, a), word_spans(clear[i], a, z)
+                    a, z = spans[1][first][0], spans[1][end - 1][1]
                 # A window of the text's language has no gain; another language must be as clear as a second one.
                 if margin < REJECT or window and gain and (margin < SECOND or gain < _GAIN):
                     continue

@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from segloom.llm.language import classify, decide, label_code, mislabelled, passage_languages, passages, readable, record_languages, sample_languages, windows, word_spans
+from segloom.llm.language import classify, decide, label_code, mislabelled, passage_languages, passages, readable, record_languages, sample_languages, window_starts, word_spans
 from segloom.session import table
 
 EN = "The old lighthouse compares the water level with the help of two neighbours."
@@ -85,14 +85,13 @@ def test_clear_passage_of_two_languages(spark, languages):
 
 
 def test_windows_are_whole():
-    """Each run of six words of a stretch is a window, the last six too."""
-    text = " ".join(f"w{i}" for i in range(35))
-    spans = word_spans(text, 0, len(text))
-    found = windows(text, spans, 1)
-    assert [t.split() for _, _, t, _ in found] == [text.split()[i : i + 6] for i in range(30)]
-    assert all(text[a:z] == t and n == 6 for a, z, t, n in found)
-    glance = windows(text, spans[:34], 3)
-    assert [t.split()[0] for _, _, t, _ in glance] == [f"w{i}" for i in (*range(0, 28, 3), 28)]
+    """Windows hold six words, the last ones too, and five of any six words in a row."""
+    for n in (4, 6, 7, 13, 35):
+        starts = window_starts(n)
+        assert starts[0] == 0 and starts[-1] == max(0, n - 6)
+        assert all(any(abs(i - j) <= 1 for j in starts) for i in range(max(1, n - 5)))
+    text = "  one  two\nthree "
+    assert [text[a:z] for a, z in word_spans(text, 0, len(text))] == text.split()
 
 
 def test_all_languages(spark, languages):
