@@ -1,15 +1,21 @@
 """Annotations, times and fillers in transcript text.
 
-Hesitations are a small fixed list; which other short phrases serve as fillers
-is learned from where they stand: a filler is set off by commas in the middle
-of a sentence far more often than an ordinary word is.
+Hesitations are a small fixed list; which other short phrases may serve as
+fillers is learned from where they stand: a filler is set off by commas in the
+middle of a sentence far more often than an ordinary word is. Whether such a
+phrase is a filler where it stands is decided for each occurrence: by the marks
+around it, by whether the words around it also follow each other without it,
+and by how often the phrase is set off in the segment's language.
 """
 
 from __future__ import annotations
 
+import math
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -49,26 +55,67 @@ def without_marks(content: Column) -> Column:
     return let(let(F.coalesce(content, F.lit("")), labelled), marked)
 
 
-def without_fillers(text: Column, fillers: tuple[str, ...]) -> Column:
-    """``text`` without the fillers and the commas that set them off."""
-    word = rf"(?iuU)(?<![\p{{L}}\p{{N}}'’-])(?:{_alternation(fillers)})(?![\p{{L}}\p{{N}}'’-])"
+@dataclass(frozen=True)
+class Fillers:
+    """What ``learn_fillers`` found.
+
+    ``phrases`` may be fillers. ``prior`` is, for (phrase, language), the logit
+    of the share of its occurrences that are fillers. ``weights`` are those of
+    ``CONTEXT`` after a constant. ``pairs`` has the words that follow each other
+    in the corpus (phrase, n).
+    """
+
+    phrases: tuple[str, ...] = HESITATIONS
+    prior: dict[tuple[str, str], float] = field(default_factory=dict)
+    weights: tuple[float, ...] = (-4.0, 2.0, 1.0, 2.0, 2.0, 1.0, 1.5, 4.0, -2.0)
+    pairs: DataFrame | None = None
+
+    def score(self, phrase: str, language: str, context: tuple[float, ...]) -> float:
+        """Above 0 for a filler, ``context`` being the values of ``CONTEXT``."""
+        prior = self.prior.get((phrase, language), self.prior.get((phrase, ""), 0.0))
+        return self.weights[0] + sum(w * x for w, x in zip(self.weights[1:], context)) + prior
+
+    def in_silence(self, language: str) -> tuple[str, ...]:
+        """The phrases that are fillers where nothing but such phrases is said."""
+        alone = tuple(float(name in ("left_start", "right_stop", "alone")) for name in CONTEXT)
+        return tuple(p for p in self.phrases if p in HESITATIONS or self.score(p, language, alone) > 0)
+
+
+#: What is seen of an occurrence: the marks before and after it, whether its neighbours are known to follow each other,
+#: whether it has none in its sentence, whether it is said again at once.
+CONTEXT = ("left_comma", "left_start", "right_comma", "right_ellipsis", "right_stop", "bridged", "alone", "again")
+
+
+def without_phrases(text: Column, phrases: tuple[str, ...]) -> Column:
+    """``text`` without the phrases and the commas that set them off."""
+    if not phrases:
+        return text
+    word = rf"(?iuU)(?<![\p{{L}}\p{{N}}'’-])(?:{_alternation(phrases)})(?![\p{{L}}\p{{N}}'’-])"
     return F.regexp_replace(text, rf"{word}(?:\.\.\.|…|[,;.!?]+(?=\s*$)|,)?", " ")
 
 
-def clean_text(content: Column, fillers: tuple[str, ...]) -> Column:
-    """Speech only, its white space single; null or nothing but marks gives an empty text."""
-    text = without_fillers(without_marks(content), fillers)
-    text = F.regexp_replace(text, r"(?U)(\b[\p{L}']+)(?:\s*[-—–]+|\.\.\.)\s+\1\b", "$1")
-    text = F.regexp_replace(text, r"(?U)[\s]+", " ")
-    return F.trim(F.regexp_replace(text, r"^[ ,;.\-—–…]+|(?<=[.!?]) [.,;…]+$", ""))
+def language_of(label: Column) -> Column:
+    """The first two letters of a language label in lower case, empty for none."""
+    return F.coalesce(F.lower(F.substring(F.ltrim(label), 1, 2)), F.lit(""))
 
 
-def holds_speech(content: Column, fillers: tuple[str, ...]) -> Column:
-    """Whether a letter or digit is left without label, times, annotations and fillers."""
-    words = sorted({w for p in fillers for w in p.lower().split()})
+def holds_speech(content: Column, fillers: Fillers, language: Column | None = None) -> Column:
+    """Whether a letter or digit is left without label, times, annotations and fillers.
+
+    A text that consists of possible fillers alone holds none, unless one of
+    them isn't a filler in its language even so.
+    """
+    words = sorted({w for p in fillers.phrases for w in p.split()})
+    lists: dict[tuple[str, ...], list[str]] = {}
+    for code in sorted({code for _, code in fillers.prior} - {""}):
+        lists.setdefault(fillers.in_silence(code), []).append(code)
 
     def kept(text: Column) -> Column:
-        return without_fillers(text, fillers).rlike(r"[\p{L}\p{N}]")
+        left = without_phrases(text, fillers.in_silence(""))
+        for phrases, codes in lists.items():
+            if language is not None and phrases != fillers.in_silence(""):
+                left = F.when(language.isin(*codes), without_phrases(text, phrases)).otherwise(left)
+        return left.rlike(r"[\p{L}\p{N}]")
 
     # A text that begins with a word, which is no part of a filler, and has no colon (so no label, no time) holds
     # speech; the patterns are for the others.
@@ -95,51 +142,202 @@ _BEFORE_END = re.compile(rf"(?<=[.!?])\s({_WORD}(?:\s{_WORD})?)(?=\.\.\.\s*$)")
 
 
 def _phrase_counts(batches: Iterator[pa.RecordBatch], most: int = 200_000) -> Iterator[pa.RecordBatch]:
-    """Rows (phrase, total, between, trailing): partial counts of the phrases of one or two words."""
-    total, between, trailing = Counter(), Counter(), Counter()
+    """Rows (language, phrase, total, between, trailing, edge): partial counts of the phrases of one or two words.
+
+    They stand between commas, before an ellipsis at the end, or between a
+    comma and the text's beginning or end.
+    """
+    total: dict[str, Counter] = {}
+    between, trailing, edge = Counter(), Counter(), Counter()
 
     def rows() -> pa.RecordBatch:
-        counts = [pa.array([c[p] for p in total], pa.int64()) for c in (total, between, trailing)]
-        return pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), *counts], names=["phrase", "total", "between", "trailing"])
+        keys = [(c, k) for c, counts in total.items() for k in counts]
+        numbers = [total[c][k] for c, k in keys]
+        keys = [(c, k if isinstance(k, str) else " ".join(k)) for c, k in keys]
+        columns = [pa.array([k[j] for k in keys], pa.string()) for j in range(2)]
+        columns += [pa.array(numbers, pa.int64()), *(pa.array([c[k] for k in keys], pa.int64()) for c in (between, trailing, edge))]
+        return pa.RecordBatch.from_arrays(columns, names=["language", "phrase", "total", "between", "trailing", "edge"])
 
     for batch in batches:
-        for t in batch.column(0).to_pylist():
+        for t, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             tokens = _TOKENS.findall(t)
-            total.update(tokens)
-            total.update(map(" ".join, zip(tokens, tokens[1:])))
+            counts = total.get(label)
+            if counts is None:
+                counts = total[label] = Counter()
+            counts.update(tokens)
+            counts.update(zip(tokens, tokens[1:]))
             if "," in t:
-                between.update(re.sub(r"\s+", " ", m) for m in _BETWEEN.findall(t))
+                if found := _BETWEEN.findall(t):
+                    between.update((label, re.sub(r"\s+", " ", m)) for m in found)
+                edge.update((label, part) for part in (t[: t.find(",")].strip(), t[t.rfind(",") + 1 :].strip(" .!?…")) if len(part) < 20)
             if "..." in t:
-                trailing.update(re.sub(r"\s+", " ", m) for m in _BEFORE_END.findall(t))
-        if len(total) > most:
+                trailing.update((label, re.sub(r"\s+", " ", m)) for m in _BEFORE_END.findall(t))
+        if sum(map(len, total.values())) > most:
             yield rows()
-            total.clear(), between.clear(), trailing.clear()
+            total.clear(), between.clear(), trailing.clear(), edge.clear()
     yield rows()
 
 
-def learn_fillers(segments: DataFrame, bound: int = 20_000, least: int = 8) -> tuple[str, ...]:
-    """The fillers: the hesitations and the phrases classified as fillers.
+def _context(text: str, spans: list[tuple[int, int]], words: list[str], i: int, n: int, skipped: frozenset[str]) -> tuple[tuple[float, ...], str | None]:
+    """The values of ``CONTEXT`` (bridged still 0) of the ``n`` words from word ``i``, and the pair of words around them."""
+    before = text[spans[i - 1][1] : spans[i][0]] if i else "."
+    after = text[spans[i + n - 1][1] : spans[i + n][0]] if i + n < len(words) else text[spans[i + n - 1][1] :].strip() or "."
+    opened = i == 0 or any(c in ".!?…" for c in before)
+    ellipsis = after.lstrip().startswith(("...", "…"))
+    closed = not ellipsis and (any(c in ".!?…" for c in after) or i + n >= len(words))
+    a, z = i - 1, i + n
+    while a >= 0 and words[a] in skipped:
+        a -= 1
+    while z < len(words) and words[z] in skipped:
+        z += 1
+    first, last = None if opened or a < 0 else words[a], None if ellipsis or closed or z >= len(words) else words[z]
+    again = words[i + n : i + 2 * n] == words[i : i + n] or i >= n and words[i - n : i] == words[i : i + n]
+    marked = lambda gap: any(not c.isspace() for c in gap)
+    values = (not opened and marked(before), opened, not ellipsis and not closed and marked(after), ellipsis, closed, False, first is None and last is None, again)
+    return tuple(map(float, values)), f"{first} {last}" if first is not None and last is not None else None
+
+
+def _places(text: str, phrases: frozenset[str]) -> tuple[list[tuple[int, int]], list[str], list[tuple[int, int]]]:
+    """Where the words of a text are, the words, and (first word, words) of each of ``phrases`` in it, the longer first."""
+    spans = [m.span() for m in _TOKENS.finditer(text)]
+    words = [text[a:z].lower() for a, z in spans]
+    found, i = [], 0
+    while i < len(words):
+        two = i + 1 < len(words) and f"{words[i]} {words[i + 1]}" in phrases and text[spans[i][1] : spans[i + 1][0]].isspace()
+        n = 2 if two else int(words[i] in phrases)
+        if n:
+            found.append((i, n))
+        i += n or 1
+    return spans, words, found
+
+
+def _fit_context(segments: DataFrame, pairs: DataFrame, phrases: tuple[str, ...], sure: frozenset[str], bound: int) -> tuple[float, ...] | None:
+    """The weights of ``CONTEXT``, fitted on occurrences in at most ``bound`` segments: sure hesitations against ordinary words."""
+    ordinary = frozenset(w for p in phrases for w in (p, *p.split()))
+
+    def seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for text in batch.column(0).to_pylist():
+                spans, words, _ = _places(text, frozenset())
+                for i, word in enumerate(words):
+                    if word in sure or word not in ordinary and zlib.crc32(f"{word}{i}{len(text)}".encode()) % 8 == 0:
+                        out.append((word in sure, *_context(text, spans, words, i, 1, sure)))
+            columns = [pa.array([float(o[0]) for o in out], pa.float64()), pa.array([list(o[1]) for o in out], pa.list_(pa.float64())), pa.array([o[2] for o in out], pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, names=["filler", "context", "phrase"])
+
+    texts = segments.where("content is not null and segment_id is not null")
+    sample = hash_sample(texts, ["segment_id"], bound, segments.count()).select(without_marks(F.col("content")).alias("t"))
+    found = sample.mapInArrow(seen, "filler double, context array<double>, phrase string").limit(8 * bound)
+    rows = found.join(pairs.select("phrase", F.lit(1.0).alias("bridged")), "phrase", "left").select("filler", "context", F.coalesce("bridged", F.lit(0.0)).alias("bridged")).toPandas()
+    if rows.filler.nunique() < 2:
+        return None
+    x = np.array(rows.context.tolist(), float)
+    x[:, CONTEXT.index("bridged")] = rows.bridged
+    return tuple(float(v) for v in _fit(x, rows.filler.to_numpy(), steps=800))
+
+
+def learn_fillers(segments: DataFrame, bound: int = 20_000, least: int = 8) -> Fillers:
+    """What may be a filler, and where it is one.
 
     Phrases of one or two words are counted over all segments and classified by
     a logistic regression on how often they stand between two commas inside a
     segment, how often before an ellipsis, and how long they are; hesitations
     are its positive examples, all other phrases its negative ones. It is fitted
     on the hesitations and at most ``bound`` phrases, chosen by a hash, and
-    applied to all; a phrase seen fewer than ``least`` times stays unclassified.
-    An empty table gives the hesitations alone.
+    applied to all; a phrase seen fewer than ``least`` times stays unclassified,
+    two words of which one is a filler itself make none. A second regression
+    tells the places of fillers from those of ordinary words; it is fitted on
+    the words of at most ``bound`` segments, chosen by a hash. Columns read:
+    segment_id, content, language. An empty table gives the hesitations alone.
     """
-    texts = segments.where("content is not null").select(F.lower(without_marks(F.col("content"))).alias("t"))
-    parts = texts.mapInArrow(_phrase_counts, "phrase string, total bigint, between bigint, trailing bigint")
-    counted = parts.groupBy("phrase").agg(*(F.sum(c).alias(c) for c in ("total", "between", "trailing"))).where(F.col("total") >= least)
+    label = language_of(F.col("language")) if "language" in segments.columns else F.lit("")
+    texts = segments.where("content is not null").select(F.lower(without_marks(F.col("content"))).alias("t"), label.alias("language"))
+    parts = texts.mapInArrow(_phrase_counts, "language string, phrase string, total bigint, between bigint, trailing bigint, edge bigint")
+    sums = [F.sum(c).alias(c) for c in ("total", "between", "trailing", "edge")]
+    spoken = materialize(parts.groupBy("language", "phrase").agg(*sums), "phrases")
+    counted = spoken.groupBy("phrase").agg(*sums).where("total >= 2")
     counted = materialize(counted, "phrases")
+    usual = counted.where(F.col("total") >= least)
     hesitant = F.col("phrase").isin(*HESITATIONS)
-    others = hash_sample(counted.where(~hesitant), ["phrase"], bound, counted.count())
-    sample = sorted(counted.where(hesitant).unionByName(others).collect(), key=lambda r: r.phrase)
+    others = hash_sample(usual.where(~hesitant), ["phrase"], bound, usual.count())
+    sample = sorted(usual.where(hesitant).unionByName(others).collect(), key=lambda r: r.phrase)
     known = np.array([r.phrase in HESITATIONS for r in sample], float)
     if not known.any():
-        return HESITATIONS
+        return Fillers()
     w = _fit(np.array([[8 * r.between / r.total, 8 * r.trailing / r.total, min(len(r.phrase), 20) / 20] for r in sample], float), known)
     value = F.lit(float(w[0])) + float(w[1]) * 8 * F.col("between") / F.col("total") + float(w[2]) * 8 * F.col("trailing") / F.col("total") + float(w[3]) * F.least(F.length("phrase"), F.lit(20)) / 20
-    set_off = (F.col("between") + F.col("trailing")) / F.col("total") >= 0.2
-    found = counted.where(set_off & (value >= 0)).select("phrase").collect()
-    return tuple(sorted({*HESITATIONS, *(r.phrase for r in found)}))
+    set_off = (F.col("between") + F.col("trailing")) / F.col("total")
+    found = {r.phrase for r in usual.where((set_off >= 0.2) & (value >= 0)).select("phrase").collect()} | set(HESITATIONS)
+    phrases = tuple(sorted(p for p in found if " " not in p or not found.intersection(p.split())))
+    shares = {r.phrase: (r.between + r.trailing + r.edge) / r.total for r in sample if r.phrase in HESITATIONS}
+    usual_share = float(np.median([s for s in shares.values() if s > 0] or [0.3]))
+    sure = frozenset(p for p, s in shares.items() if s >= 0.8 * usual_share)
+    # How often each phrase is a filler in each language: its share of places between marks against that of hesitations.
+    held: dict[str, dict[str, tuple[int, int]]] = {}
+    for r in spoken.where(F.col("phrase").isin(*phrases)).collect():
+        held.setdefault(r.phrase, {})[r.language] = (r.total, r.between + r.trailing + r.edge)
+    prior = {}
+    for phrase, by in held.items():
+        total, marked = (sum(v[j] for v in by.values()) for j in (0, 1))
+        for code, (n, m) in [("", (total, marked)), *by.items()]:
+            share = min(0.98, max(0.02, (m + 4 * marked / total) / (n + 4) / usual_share))
+            prior[phrase, code] = math.log(share / (1 - share))
+    pairs = counted.where("phrase like '% %'").select("phrase", F.col("total").alias("n"))
+    weights = _fit_context(segments, pairs, phrases, sure, bound)
+    return Fillers(phrases, prior, weights or Fillers.weights, pairs)
+
+
+def filler_places(texts: DataFrame, key: str, text: str, language: str, fillers: Fillers) -> DataFrame:
+    """Rows (key, cuts): where each text's fillers begin and end, in order; texts without fillers have no row."""
+    kind = texts.schema[key].dataType.simpleString()
+    phrases, model = frozenset(fillers.phrases), Fillers(fillers.phrases, fillers.prior, fillers.weights)
+    sure = frozenset(p for p in HESITATIONS if model.prior.get((p, ""), 0.0) > 0)
+    bridged = model.weights[1 + CONTEXT.index("bridged")]
+    trail = re.compile(r"\.\.\.|…|[,;.!?]+(?=\s*$)|,")
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for own, t, code in zip(*(c.to_pylist() for c in batch.columns)):
+                spans, words, places = _places(t, phrases)
+                for i, n in places:
+                    context, pair = _context(t, spans, words, i, n, sure)
+                    a, z = spans[i][0], spans[i + n - 1][1]
+                    after = trail.match(t, z)
+                    # Between two commas, whose words follow each other without it, it takes both along.
+                    wide = spans[i - 1][1] if i and context[0] and context[2] and t[spans[i - 1][1] : a].strip() == "," else a
+                    out.append((own, a, after.end() if after else z, wide, model.score(" ".join(words[i : i + n]), code, context), pair or f"\0{own}{a}"))
+            kinds = (batch.schema.field(0).type, pa.int32(), pa.int32(), pa.int32(), pa.float64(), pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array([o[j] for o in out], k) for j, k in enumerate(kinds)], names=["key", "a", "z", "wide", "score", "phrase"])
+
+    possible = F.lower(text).rlike(rf"(?U)(?<![\p{{L}}\p{{N}}'’-])(?:{_alternation(fillers.phrases)})(?![\p{{L}}\p{{N}}'’-])")
+    rows = texts.where(possible).select(F.col(key).alias("key"), text, language)
+    seen = rows.mapInArrow(found, f"key {kind}, a int, z int, wide int, score double, phrase string")
+    if fillers.pairs is None:
+        judged = seen.withColumn("n", F.lit(None).cast("bigint"))
+    else:
+        judged = seen.join(fillers.pairs, "phrase", "left")
+    score = F.col("score") + F.when(F.col("n").isNotNull(), F.lit(float(bridged))).otherwise(0.0)
+    cut = F.struct(F.when(F.col("n").isNotNull(), F.col("wide")).otherwise(F.col("a")).alias("a"), "z")
+    return judged.where(score > 0).groupBy(F.col("key").alias(key)).agg(F.array_sort(F.collect_list(cut)).alias("cuts"))
+
+
+def clean_texts(rows: DataFrame, key: str, content: str, language: str, fillers: Fillers) -> DataFrame:
+    """``rows`` with ``text``: speech only, its white space single.
+
+    ``key`` must be unique. A row whose content is null or nothing but marks
+    and fillers has an empty text. Each occurrence of a possible filler is
+    decided by itself: a word that is a filler elsewhere stays where it is an
+    ordinary word.
+    """
+    bare = materialize(rows.withColumns({"__text": without_marks(F.col(content)), "__language": language_of(F.col(language))}), "bare")
+    joined = bare.join(filler_places(bare, key, "__text", "__language", fillers), key, "left")
+    edges = lambda cuts: F.concat(F.array(F.lit(0)), F.transform(cuts, lambda c: c["z"]))
+    stops = lambda cuts: F.concat(F.transform(cuts, lambda c: c["a"]), F.array(F.length("__text")))
+    kept = F.zip_with(edges(F.col("cuts")), stops(F.col("cuts")), lambda a, z: F.substring(F.col("__text"), a + 1, F.greatest(F.lit(0), z - a)))
+    text = F.when(F.col("cuts").isNull(), F.col("__text")).otherwise(F.array_join(kept, " "))
+    text = F.regexp_replace(text, r"(?U)(\b[\p{L}']+)(?:\s*[-—–]+|\.\.\.)\s+\1\b", "$1")
+    text = F.regexp_replace(text, r"(?U)[\s]+", " ")
+    text = F.trim(F.regexp_replace(text, r"^[ ,;.\-—–…]+|(?<=[.!?]) [.,;…]+$|[ ,;]+$", ""))
+    return joined.withColumn("text", text).drop("__text", "__language", "cuts")

@@ -62,11 +62,9 @@ def content_label(content: Column) -> Column:
 
 
 def aliases(speakers: DataFrame) -> DataFrame:
-    """Rows (video_id, key, speaker_no): every form in which a video's speakers may be named.
+    """Rows (video_id, key, speaker_no): every form in which a video's speakers may be named, also those that several share.
 
-    A form that several of a video's speakers share, such as a common role,
-    names nobody and is left out. Speakers without a number are left out, those
-    without a name keep their number.
+    Speakers without a number are left out, those without a name keep their number.
     """
     distinct = speakers.where("speaker_no is not null").select("video_id", "speaker_no", "speaker_name", "speaker_role").distinct()
     name = F.regexp_replace(F.lower(F.trim("speaker_name")), r"(?U)\s+", " ")
@@ -83,28 +81,45 @@ def aliases(speakers: DataFrame) -> DataFrame:
         F.lower(F.trim("speaker_role")),
     )
     rows = distinct.select("video_id", "speaker_no", F.explode(F.array_distinct(forms)).alias("key"))
-    rows = rows.where("key is not null and key <> ''")
-    grouped = rows.groupBy("video_id", "key").agg(F.min("speaker_no").alias("speaker_no"), F.max("speaker_no").alias("other"))
-    return grouped.where("speaker_no = other").drop("other")
+    return rows.where("key is not null and key <> ''").select("video_id", "key", "speaker_no").distinct()
 
 
-def resolve_names(names: DataFrame, forms: DataFrame, most_edits: int = 2) -> DataFrame:
-    """Rows (video_id, key, speaker_no) for the distinct (video_id, key) of ``names``.
+#: Edits by which a form of at least 8 letters may differ (one less below that), and what stands for more.
+MOST_EDITS, FAR = 2, 3
 
-    A key is a form of a speaker, or within ``most_edits`` edits of the forms of
-    one speaker alone (and those few against its length).
+
+def near_forms(names: DataFrame, forms: DataFrame) -> DataFrame:
+    """Rows (video_id, key, speaker_no, edits): the speakers of whom some form is within two edits of a key, the fewest edits each.
+
+    A form and a key within two edits share one of the form's three parts, at
+    a place that differs by two at most; so they are joined on the parts, and
+    no key meets all forms of its video. Forms of fewer than 4 letters match
+    exactly, those of fewer than 8 within one edit.
     """
-    exact = names.join(forms, ["video_id", "key"], "left")
-    known = exact.where("speaker_no is not null")
-    near = (
-        exact.where("speaker_no is null and length(key) >= 4")
-        .select("video_id", "key")
-        .join(forms.withColumnRenamed("key", "form").where("form not like '#%' and length(form) >= 4"), "video_id")
-        .withColumn("edits", F.levenshtein("key", "form"))
-        .where(F.col("edits") <= F.least(F.lit(most_edits), F.floor(F.length("form") / 4)))
-        .groupBy("video_id", "key", "speaker_no")
-        .agg(F.min("edits").alias("edits"))
-    )
-    best = near.groupBy("video_id", "key").agg(F.min_by("speaker_no", F.struct("edits", "speaker_no")).alias("speaker_no"), F.min("edits").alias("edits"), F.sort_array(F.collect_list("edits")).alias("all"))
-    clear = best.where("size(all) = 1 or all[0] < all[1]").select("video_id", "key", "speaker_no")
-    return known.select("video_id", "key", "speaker_no").unionByName(clear)
+    exact = names.join(forms, ["video_id", "key"]).select("video_id", "key", "speaker_no", F.lit(0).alias("edits"))
+    part = lambda n, i: F.floor(n * i / 3).cast("int")
+    size, i, d = F.col("size"), F.col("i"), F.col("d")
+    held = forms.where("key not like '#%' and length(key) >= 4").select("video_id", F.col("key").alias("form"), "speaker_no", F.length("key").alias("size"))
+    held = held.withColumn("i", F.explode(F.array(*map(F.lit, range(3)))))
+    held = held.withColumn("piece", F.substring("form", part(size, i) + 1, part(size, i + 1) - part(size, i)))
+    asked = names.where("key not like '#%' and length(key) >= 4").withColumn("size", F.explode(F.sequence(F.greatest(F.lit(4), F.length("key") - MOST_EDITS), F.length("key") + MOST_EDITS)))
+    asked = asked.withColumns({"i": F.explode(F.array(*map(F.lit, range(3))))}).withColumn("d", F.explode(F.sequence(F.lit(-MOST_EDITS), F.lit(MOST_EDITS))))
+    asked = asked.where((part(size, i) + d >= 0) & (part(size, i + 1) + d <= F.length("key")))
+    asked = asked.withColumn("piece", F.substring("key", part(size, i) + d + 1, part(size, i + 1) - part(size, i))).drop("d").distinct()
+    met = asked.join(held, ["video_id", "size", "i", "piece"]).select("video_id", "key", "form", "speaker_no").distinct()
+    edits = met.withColumn("edits", F.levenshtein("key", "form")).where(F.col("edits") <= F.least(F.lit(MOST_EDITS), F.floor(F.length("form") / 4)))
+    return exact.unionByName(edits.drop("form")).groupBy("video_id", "key", "speaker_no").agg(F.min("edits").cast("int").alias("edits"))
+
+
+def nearest_two(near: DataFrame) -> DataFrame:
+    """Rows (video_id, key, first_no, first_edits, second_no, second_edits): the two speakers nearest to a key; null where there is one alone."""
+    entry = F.struct("edits", "speaker_no")
+    first = near.groupBy("video_id", "key").agg(F.min(entry).alias("first"))
+    second = near.join(first, ["video_id", "key"]).groupBy("video_id", "key").agg(F.min(F.when(F.col("speaker_no") != F.col("first.speaker_no"), entry)).alias("second"), F.first("first").alias("first"))
+    return second.select("video_id", "key", F.col("first.speaker_no").alias("first_no"), F.col("first.edits").alias("first_edits"), F.col("second.speaker_no").alias("second_no"), F.col("second.edits").alias("second_edits"))
+
+
+def resolve_names(names: DataFrame, forms: DataFrame) -> DataFrame:
+    """Rows (video_id, key, speaker_no) for the distinct (video_id, key) of ``names`` that one speaker is nearest to (``near_forms``)."""
+    two = nearest_two(near_forms(names, forms))
+    return two.where("second_no is null or first_edits < second_edits").select("video_id", "key", F.col("first_no").alias("speaker_no"))
