@@ -1,8 +1,14 @@
 """Command line: chunk transcripts, keep and search the store.
 
     python -m segloom chunk --input-dir DIR --output-dir DIR
-    python -m segloom ingest --input-dir DIR --store DIR
-    python -m segloom search --store DIR --id CHUNK_ID -k 5 [--exact]
+    python -m segloom ingest --input FILE.json --store DIR
+
+Chunks are embedded by hashed words; ``chunk_transcripts`` and ``embed_query``
+take any embedder instead (role ``similarity`` for boundaries, ``document`` for
+chunks, ``query`` for queries). Intermediate results are written to
+``--shared-dir``, which all executors must share.
+    python -m segloom search --store DIR "words to look for" -k 5 [--exact] [--with-context]
+    python -m segloom search --store DIR --id CHUNK_ID
     python -m segloom stats|list --store DIR
     python -m segloom delete --store DIR VIDEO_ID
 """
@@ -10,6 +16,7 @@
 from __future__ import annotations
 
 import argparse
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,20 +26,35 @@ from segloom.operators import chunks as ch
 from segloom.operators import search
 from segloom.operators.segments import scan_segments
 from segloom.operators.store import Store
-from segloom.session import get_session, materialize, ship_package
+from segloom.session import CHECKPOINT_KEY, get_session, materialize, ship_package
 from segloom.sources.services import hash_embeddings
 from segloom.sources.transcripts import read_transcripts
 
 
-def chunk_transcripts(spark: SparkSession, path: str, config: ChunkConfig = ChunkConfig()) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(videos, parents, children) of a folder of transcript files, children with parents, overlap and hashed embeddings."""
-    segments, _ = read_transcripts(spark, path)
+#: (rows, key, text, role) -> rows (key, embedding)
+Embedding = Callable[[DataFrame, str, str, str], DataFrame]
+
+
+def hashed(rows: DataFrame, key: str, text: str, role: str) -> DataFrame:
+    """The default embedding; the same for each role."""
+    return hash_embeddings(rows, key, text)
+
+
+def embed_query(spark: SparkSession, words: str, embed: Embedding = hashed) -> DataFrame:
+    """The one row (key, vec) of a query text; none where it has no words."""
+    rows = embed(spark.createDataFrame([(words, words)], "key string, text string"), "key", "text", "query")
+    return rows.where(F.exists("embedding", lambda x: x != 0)).select("key", F.col("embedding").alias("vec"))
+
+
+def chunk_transcripts(spark: SparkSession, path: str, config: ChunkConfig = ChunkConfig(), embed: Embedding = hashed) -> tuple[DataFrame, DataFrame, DataFrame, int]:
+    """(videos, parents, children, broken files) of transcript files, children with parents, overlap and embeddings."""
+    segments, broken = read_transcripts(spark, path)
     segments = segments.withColumns({"segment_id": F.xxhash64("video_id", "seg_index"), "seg_start": F.lit(None).cast("double")})
     placed = ch.positioned_segments(scan_segments(segments)).withColumn("at", F.struct("video_id", "pos"))
-    embedded = hash_embeddings(placed, "at", "text").select("at.*", "embedding")
+    embedded = embed(placed, "at", "text", "similarity").select("at.*", "embedding")
     rows = materialize(ch.detect_boundaries(placed.drop("at"), embedded, config), "bounded")
     children = materialize(ch.child_chunks(rows, ch.child_assignment(rows, config)), "children")
-    children = children.join(hash_embeddings(children, "chunk_id", "text"), "chunk_id")
+    children = children.join(embed(children, "chunk_id", "text", "document"), "chunk_id")
     full = ch.overlap_context(children, config.overlap_tokens)
     videos = segments.select("video_id", "video_title").distinct()
     if config.parents:
@@ -44,7 +66,7 @@ def chunk_transcripts(spark: SparkSession, path: str, config: ChunkConfig = Chun
         parents = ch.parent_chunks(children.limit(0), ch.parent_assignment(children.limit(0), config))
         full = full.withColumn("parent_chunk_id", F.lit(None).cast("string"))
     counted = ch.video_rollup(videos, children, parents).withColumnsRenamed({"chunks": "total_chunks", "parent_chunks": "total_parent_chunks"})
-    return counted.withColumn("created_at", F.current_timestamp()), parents, full
+    return counted.withColumn("created_at", F.current_timestamp()), parents, full, broken.count()
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -53,7 +75,9 @@ def main(argv: list[str] | None = None) -> None:
     for name in ("chunk", "ingest", "search", "stats", "list", "delete"):
         command = commands.add_parser(name)
         if name in ("chunk", "ingest"):
-            command.add_argument("--input-dir", required=True)
+            source = command.add_mutually_exclusive_group(required=True)
+            source.add_argument("--input", help="one transcript file")
+            source.add_argument("--input-dir", help="a folder of transcript files")
         command.add_argument("--output-dir" if name == "chunk" else "--store", dest="store", required=True)
         if name in ("chunk", "ingest"):
             command.add_argument("--no-parents", action="store_true")
@@ -61,23 +85,36 @@ def main(argv: list[str] | None = None) -> None:
             for option in ("child_target", "child_min", "child_max", "parent_target", "parent_min", "parent_max"):
                 command.add_argument("--" + option.replace("_", "-"), type=int, default=getattr(ChunkConfig, option))
         if name == "search":
-            command.add_argument("--id", required=True, help="the chunk whose neighbours are sought")
+            asked = command.add_mutually_exclusive_group(required=True)
+            asked.add_argument("query", nargs="?", help="the words to look for")
+            asked.add_argument("--id", help="the chunk whose neighbours are sought")
+            command.add_argument("--with-context", action="store_true", help="show the text of the parent chunk")
             command.add_argument("-k", type=int, default=5)
             command.add_argument("--exact", action="store_true")
+        command.add_argument("--shared-dir", help="a folder for intermediate results that all executors share")
         if name == "delete":
             command.add_argument("video_id")
     args = parser.parse_args(argv)
-    spark = get_session()
+    spark = get_session(**({CHECKPOINT_KEY: args.shared_dir} if args.shared_dir else {}))
     ship_package(spark)
     store = Store(spark, StoreConfig(args.store, dimension=64))
     if args.command in ("chunk", "ingest"):
         sizes = {k: getattr(args, k) for k in ("child_target", "child_min", "child_max", "parent_target", "parent_min", "parent_max")}
-        videos, parents, children = chunk_transcripts(spark, args.input_dir, ChunkConfig(parents=not args.no_parents, similarity_threshold=args.similarity_threshold, **sizes))
-        store.ingest(videos, parents, children)
+        config = ChunkConfig(parents=not args.no_parents, similarity_threshold=args.similarity_threshold, **sizes)
+        videos, parents, children, broken = chunk_transcripts(spark, args.input or args.input_dir, config)
+        counts = store.ingest(videos, parents, children)
+        print(f"{sum(counts.values())} succeeded ({counts['present']} already there), {broken} failed")
         store.stats().show()
     elif args.command == "search":
-        query = search.usable_vectors(store.table("child_chunks").where(F.col("chunk_id") == args.id), "chunk_id", "embedding", 64)
-        search.rendered(store.search(query, args.k, use_quantized=not args.exact)).orderBy("place").show(truncate=False)
+        if args.id:
+            query = search.usable_vectors(store.table("child_chunks").where(F.col("chunk_id") == args.id), "chunk_id", "embedding", 64)
+        else:
+            query = embed_query(spark, args.query)
+        hits = store.search(query, args.k, use_quantized=not args.exact)
+        if not args.with_context:
+            own = store.table("child_chunks").select("chunk_id", F.col("text").alias("context")).dropDuplicates(["chunk_id"])
+            hits = hits.drop("context").join(own, "chunk_id")
+        search.rendered(hits).orderBy("place").show(args.k, truncate=False)
     elif args.command == "stats":
         store.stats().show()
     elif args.command == "list":

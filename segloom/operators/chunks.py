@@ -48,13 +48,15 @@ def previous_in_blocks(df: DataFrame, key: str, pos: str, columns: list[str], bl
 
 
 def positioned_segments(segments: DataFrame) -> DataFrame:
-    """Scanned segments with ``pos``, their dense place in the video, and seconds; written, as it is read several times.
+    """Scanned segments with seconds, tokens, ``continues`` and ``pos``, their dense place in the video.
 
-    Rows are the non-blank segments of ``scan_segments``; unreadable times are 0.
+    Rows are the non-blank segments of ``scan_segments``; unreadable times are
+    0. They are written before they are placed, so that no pattern is evaluated
+    twice.
     """
-    placed = dense_position(segments, "video_id", "seg_index", "pos")
     seconds = lambda c: F.coalesce(F.col(c) / 1000.0, F.lit(0.0))
-    return materialize(placed.withColumns({"start": seconds("start_ms"), "end": seconds("end_ms"), "tokens": tx.token_count(F.col("text"))}), "positioned")
+    made = {"start": seconds("start_ms"), "end": seconds("end_ms"), "tokens": tx.token_count(F.col("text")), "continues": tx.is_continuation(F.col("text"))}
+    return dense_position(materialize(segments.withColumns(made), "scanned"), "video_id", "seg_index", "pos")
 
 
 def pause_boundaries(positioned: DataFrame, pause: float = 3.0) -> DataFrame:
@@ -64,7 +66,7 @@ def pause_boundaries(positioned: DataFrame, pause: float = 3.0) -> DataFrame:
 
 
 def semantic_boundaries(rows: DataFrame, key: str, pos: str, vector: str, threshold: float = 0.5) -> DataFrame:
-    """Add ``similarity`` to the row before and ``boundary``: it is below ``threshold``.
+    """Add ``similarity`` to the row before and ``boundary``: to 6 decimals it is below ``threshold``.
 
     A missing or zero vector has similarity 0; the first row is no boundary.
     """
@@ -72,7 +74,7 @@ def semantic_boundaries(rows: DataFrame, key: str, pos: str, vector: str, thresh
     similarity = F.coalesce(F.when(F.size(vector) == F.size(f"prev_{vector}"), vx.cosine(F.col(vector), F.col(f"prev_{vector}"))), F.lit(0.0))
     similarity = F.when(F.isnan(similarity), F.lit(0.0)).otherwise(similarity)
     first = F.col(f"prev_{pos}").isNull()
-    return held.withColumn("similarity", F.when(~first, similarity)).withColumn("boundary", ~first & (similarity < threshold)).drop(f"prev_{vector}", f"prev_{pos}")
+    return held.withColumn("similarity", F.when(~first, similarity)).withColumn("boundary", ~first & (F.round(similarity, 6) < threshold)).drop(f"prev_{vector}", f"prev_{pos}")
 
 
 def detect_boundaries(positioned: DataFrame, embedded: DataFrame, config: ChunkConfig = ChunkConfig()) -> DataFrame:
@@ -89,10 +91,10 @@ def detect_boundaries(positioned: DataFrame, embedded: DataFrame, config: ChunkC
 def child_assignment(bounded: DataFrame, config: ChunkConfig = ChunkConfig()) -> DataFrame:
     """Rows (video_id, pos, chunk_index): the child chunk of each segment.
 
-    Input: video_id, pos, tokens, text, boundary. Each segment is in exactly one chunk, in order.
+    Input: video_id, pos, tokens, continues, boundary. Each segment is in exactly one chunk, in order.
     """
-    rows = bounded.select("video_id", "pos", F.col("tokens").alias("weight"), F.col("boundary").alias("a"), tx.is_continuation(F.col("text")).alias("b"))
-    groups = greedy_groups(rows, "video_id", child_rule(config), least=config.child_min)
+    rows = bounded.select("video_id", "pos", F.col("tokens").alias("weight"), F.col("boundary").alias("a"), F.col("continues").alias("b"))
+    groups = greedy_groups(rows, "video_id", child_rule(config), least=config.child_min, heaviest=max(config.child_min, config.child_max, config.child_hard_max))
     return groups.withColumnRenamed("group", "chunk_index")
 
 
@@ -136,7 +138,7 @@ def overlap_context(chunks: DataFrame, n_tokens: int = 50) -> DataFrame:
 def parent_assignment(chunks: DataFrame, config: ChunkConfig = ChunkConfig()) -> DataFrame:
     """Rows (video_id, chunk_index, parent_index): the parent of each child."""
     rows = chunks.select("video_id", F.col("chunk_index").alias("pos"), F.col("token_count").alias("weight"), F.lit(False).alias("a"), F.lit(False).alias("b"))
-    groups = greedy_groups(rows, "video_id", parent_rule(config), least=config.parent_min)
+    groups = greedy_groups(rows, "video_id", parent_rule(config), least=config.parent_min, heaviest=max(config.parent_min, config.parent_max))
     return groups.select("video_id", F.col("pos").cast("int").alias("chunk_index"), F.col("group").alias("parent_index"))
 
 

@@ -4,8 +4,9 @@ Whether a group ends before a row depends only on the group's rows so far, so
 the end of the group that would begin at a row can be found for every row at
 once. A key is cut into blocks of rows with a margin of the following rows;
 each block tells, for every place where a group may enter it, where the groups
-leave it. Chaining the blocks of a key is then a few integers a block, and a
-second pass marks the groups that were really formed.
+leave it. Such maps compose, so blocks are joined into larger ones, round by
+round, until a key is one; on the way back each block learns where it is really
+entered, and a last pass marks the groups. No task holds a whole key.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -71,26 +73,109 @@ class _Rows:
         return group_ends(self.weight, self.a, self.b, rule, self.last[self.number])
 
 
-def _lists(values: np.ndarray, first: np.ndarray, last: np.ndarray) -> pa.ListArray:
+def _lists(values: np.ndarray, first: np.ndarray, last: np.ndarray, kind: pa.DataType) -> pa.ListArray:
     """The stretches [first, last) of ``values`` as lists."""
     size = last - first
     offsets = np.concatenate([[0], np.cumsum(size)])
     place = np.arange(offsets[-1]) - np.repeat(offsets[:-1] - first, size)
-    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values[place].astype(np.int32)))
+    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values[place], kind))
 
 
-def greedy_groups(df: DataFrame, key: str, rule: Rule, *, least: int, block: int = 8192, margin: int = 1024, part_size: int = 50_000) -> DataFrame:
+class _Maps:
+    """The maps of some blocks, by key and block: for each place of entry the place of entry into the next block, and how many groups begin on the way."""
+
+    def __init__(self, t: pa.Table) -> None:
+        self.t = t.sort_by([("key", "ascending"), ("block", "ascending")]).combine_chunks()
+        out, count = self.t["out"].combine_chunks(), self.t["count"].combine_chunks()
+        self.offset = out.offsets.to_numpy() - out.offsets[0].as_py()
+        self.out, self.count = out.flatten().to_numpy(), count.flatten().to_numpy()
+        self.block = self.t["block"].to_numpy()
+        code = self.t["key"].combine_chunks().dictionary_encode().indices.to_numpy()
+        change = np.ones(len(code), bool)
+        change[1:] = (code[1:] != code[:-1]) | (self.block[1:] // _FAN != self.block[:-1] // _FAN)
+        self.first = np.flatnonzero(change)
+        self.last = np.append(self.first[1:], len(code))
+
+    def step(self, i: int, entry: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """From entries into block ``i`` to those into the next; a group that begins beyond a short last block stays beyond it."""
+        a, n = self.offset[i], self.offset[i + 1] - self.offset[i]
+        into = entry < n
+        at = a + np.minimum(entry, n - 1)
+        return np.where(into, self.out[at], entry - n), np.where(into, count + self.count[at], count)
+
+
+#: Blocks that are joined into one in a round.
+_FAN = 32
+
+
+def _joined(t: pa.Table) -> pa.Table:
+    m = _Maps(t)
+    outs, counts = [], []
+    for first, last in zip(m.first.tolist(), m.last.tolist()):
+        entry = np.arange(m.offset[first + 1] - m.offset[first])
+        count = np.zeros(len(entry), np.int64)
+        for i in range(first, last):
+            entry, count = m.step(i, entry, count)
+        outs.append(entry), counts.append(count)
+    size = np.array([len(o) for o in outs])
+    ends = np.cumsum(size)
+    rows = pa.array(m.first)
+    lists = (_lists(np.concatenate(x), ends - size, ends, pa.int64()) for x in (outs, counts))
+    return pa.table([m.t["key"].combine_chunks().take(rows), pa.array(m.block[m.first] // _FAN), *lists], names=["key", "block", "out", "count"])
+
+
+def _entered(t: pa.Table, parents: pa.Table) -> pa.Table:
+    """Where each block is entered and the number of its first group, from those of the joined blocks."""
+    m = _Maps(t)
+    known = {(k, b): (e, f) for k, b, e, f in zip(*(parents[c].to_pylist() for c in ("key", "block", "entry", "first")))}
+    keys = m.t["key"].combine_chunks().take(pa.array(m.first)).to_pylist()
+    entries, firsts = np.zeros(len(m.block), np.int64), np.zeros(len(m.block), np.int64)
+    for key, first, last in zip(keys, m.first.tolist(), m.last.tolist()):
+        e, f = known[key, int(m.block[first]) // _FAN]
+        entry, count = np.array([e]), np.array([f])
+        for i in range(first, last):
+            entries[i], firsts[i] = entry[0], count[0]
+            entry, count = m.step(i, entry, count)
+    return m.t.select(["key", "block"]).append_column("entry", pa.array(entries)).append_column("first", pa.array(firsts))
+
+
+def block_entries(blocks: DataFrame, kind: str) -> DataFrame:
+    """Rows (key, block, entry, first) of blocks (key, block, out, count), block 0 of a key being entered at its first row."""
+    levels, above = [blocks], blocks.agg(F.max("block")).first()[0] or 0
+    while above:
+        parent = F.floor(F.col("block") / _FAN)
+        joined = levels[-1].groupBy(F.pmod(F.xxhash64("key", parent), F.lit(1 << 14))).applyInArrow(_joined, f"key {kind}, block bigint, out array<bigint>, count array<bigint>")
+        levels.append(materialize(joined, "blocks"))
+        above //= _FAN
+    zero = F.lit(0).cast("bigint")
+    entries = levels.pop().select("key", "block", zero.alias("entry"), zero.alias("first"))
+    while levels:
+        salt = lambda b: F.pmod(F.xxhash64("key", b), F.lit(1 << 14))
+        below = levels.pop().groupBy(salt(F.floor(F.col("block") / _FAN)))
+        entries = below.cogroup(entries.groupBy(salt(F.col("block")))).applyInArrow(_entered_some, f"key {kind}, block bigint, entry bigint, first bigint")
+    return entries
+
+
+def _entered_some(t: pa.Table, parents: pa.Table) -> pa.Table:
+    if t.num_rows:
+        return _entered(t, parents)
+    return parents.slice(0, 0).select(["key", "block", "entry", "first"])
+
+
+def greedy_groups(df: DataFrame, key: str, rule: Rule, *, least: int, heaviest: int, block: int = 8192, part_size: int = 50_000) -> DataFrame:
     """Rows (key, pos, group) for rows (key, pos, weight, a, b), pos dense from 0 in each key.
 
     Groups are formed greedily by ``rule``. A last group whose weights sum to
-    less than ``least`` joins the one before it, if there is one. No group may
-    be longer than ``margin`` rows, which holds where each row weighs at least 1
-    and the rule ends a group at some weight below ``margin``. Rows with a null
-    key are left out; an empty table gives no rows. ``df`` is read three times,
-    so the caller writes it first if it is costly. Keys are worked on together,
-    the same block of all keys of a part of about ``part_size`` rows at a time.
+    less than ``least`` joins the one before it, if there is one. ``heaviest``
+    is a weight by which the rule ends every group: each row weighing at least
+    1, no group has more rows, and a block looks that far ahead. A longer group,
+    as of rows that weigh 0, is an error. Rows with a null key are left out; an
+    empty table gives no rows. ``df`` is read three times, so the caller writes
+    it first if it is costly. Keys are worked on together, the same block of all
+    keys of a part of about ``part_size`` rows at a time.
     """
     kind = df.schema[key].dataType.simpleString()
+    margin, block = heaviest + 2, max(block, 2 * (heaviest + 2))
     rows = df.where(F.col(key).isNotNull()).select(F.col(key).alias("key"), F.col("pos").cast("bigint"), F.col("weight").cast("bigint"), "a", "b")
     at = F.floor(F.col("pos") / block)
     homes = F.when((F.col("pos") % block < margin) & (at > 0), F.array(at, at - 1)).otherwise(F.array(at))
@@ -98,36 +183,34 @@ def greedy_groups(df: DataFrame, key: str, rule: Rule, *, least: int, block: int
     part = F.pmod(F.xxhash64("key"), F.lit(parts)).cast("int")
     spread = rows.select("*", F.explode(homes).alias("block"), part.alias("part")).withColumn("own", at == F.col("block"))
 
+    def ends_of(r: _Rows) -> np.ndarray:
+        end = r.ends(rule)
+        full = r.last - r.own_end >= margin  # there may be more rows than the block sees
+        cut = r.own & full[r.number] & (end == r.last[r.number])
+        if cut.any():
+            raise ValueError(f"a group of more than {heaviest} rows; rows must weigh at least 1, and the rule end a group by that weight")
+        return end
+
     def summary(t: pa.Table) -> pa.Table:
         r = _Rows(t)
-        out, count = leave(r.ends(rule), r.own)
+        out, count = leave(ends_of(r), r.own)
         entries = np.minimum(r.first + margin, r.own_end)
-        block = pa.array(np.full(len(r.keys), t["block"][0].as_py(), np.int64))
-        return pa.table([r.keys, block, _lists(out - r.own_end[r.number], r.first, entries), _lists(count, r.first, entries)], names=["key", "block", "out", "count"])
-
-    blocks = spread.groupBy("part", "block").applyInArrow(summary, f"key {kind}, block bigint, out array<int>, count array<int>")
-    blocks = materialize(blocks, "blocks")
-
-    def chain(t: pa.Table) -> pa.Table:
-        t = t.sort_by("block")
-        entry, first, entries, firsts = 0, 0, [], []
-        for out, count in zip(t["out"].to_pylist(), t["count"].to_pylist()):
-            entries.append(entry), firsts.append(first)
-            first += count[entry] if entry < len(count) else 0
-            entry = out[entry] if entry < len(out) else entry - len(out)
-        return t.select(["key", "block"]).append_column("entry", pa.array(entries, pa.int64())).append_column("first", pa.array(firsts, pa.int64()))
-
-    # Most keys are one block, which is entered at its first row; only the others are chained.
-    longer = blocks.where("block > 0").select("key").distinct()
-    entries = blocks.join(longer, "key", "left_semi").groupBy("key").applyInArrow(chain, f"key {kind}, block bigint, entry bigint, first bigint")
-    single = blocks.join(longer, "key", "left_anti").select("key", "block", F.lit(0).cast("bigint").alias("entry"), F.lit(0).cast("bigint").alias("first"))
-    entries = entries.unionByName(single).withColumn("part", part)
+        number = pa.array(np.full(len(r.keys), t["block"][0].as_py(), np.int64))
+        lists = (_lists(x, r.first, entries, pa.int64()) for x in (out - r.own_end[r.number], count))
+        return pa.table([r.keys, number, *lists], names=["key", "block", "out", "count"])
+
+    # Most keys are one block, which is entered at its first row; only the others are joined.
+    longer = rows.where(F.col("pos") >= block).select("key").distinct()
+    several = spread.join(longer, "key", "left_semi")
+    blocks = several.groupBy("part", "block").applyInArrow(summary, f"key {kind}, block bigint, out array<bigint>, count array<bigint>")
+    entries = block_entries(materialize(blocks, "blocks"), kind).where("block > 0 or entry > 0").withColumn("part", part)
 
     def mark(rows: pa.Table, starts: pa.Table) -> pa.Table:
         r = _Rows(rows)
-        end = r.ends(rule)
-        starts = starts.sort_by("key")  # the same keys in the same order
-        entry, first = starts["entry"].to_numpy(), starts["first"].to_numpy()
+        end = ends_of(r)
+        entry, first = np.zeros(len(r.keys), np.int64), np.zeros(len(r.keys), np.int64)
+        place = pc.index_in(starts["key"], value_set=r.keys).to_numpy()
+        entry[place], first[place] = starts["entry"].to_numpy(), starts["first"].to_numpy()
         n = len(end)
         reached = np.zeros(n + 1, bool)
         begin = r.first + entry

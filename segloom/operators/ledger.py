@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from segloom.session import materialize
 
 NUMBERS = ("input_tokens", "output_tokens", "cost_usd")
 
@@ -38,22 +39,31 @@ def totals(ledger: DataFrame) -> DataFrame:
     )
 
 
-def running_totals(ledger: DataFrame) -> DataFrame:
-    """Each processed video with the number, tokens and cost up to it, in order of processing.
+def running_totals(ledger: DataFrame, parts: int | None = None) -> DataFrame:
+    """Each processed video with the number, tokens and cost up to it, in order of processing (ties by video_id).
 
-    Days are added up first, so that no window holds more than a day's rows and
-    the sums of the days. Rows that weren't processed are left out.
+    The rows are parted by ranges of that order and written with the number of
+    their part; sums run within a part, and one row a part carries them on. So
+    a day, or any other time, may hold any share of the rows. Rows that weren't
+    processed are left out.
     """
-    rows = ledger.where("processed_at is not null").withColumn("day", F.substring("processed_at", 1, 10))
-    sums = {"n": F.count(F.lit(1)), "tokens": F.sum(F.col("input_tokens") + F.col("output_tokens")), "cost": F.sum("cost_usd")}
-    days = rows.groupBy("day").agg(*(v.alias(f"day_{k}") for k, v in sums.items()))
-    before = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
-    starts = days.select("day", *(F.coalesce(F.sum(f"day_{k}").over(before), F.lit(0)).alias(f"start_{k}") for k in sums))
-    within = Window.partitionBy("day").orderBy("processed_at", "video_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = rows.join(starts, "day")
-    return out.select(
-        "video_id",
-        (F.col("start_n") + F.count(F.lit(1)).over(within)).alias("n"),
-        (F.col("start_tokens") + F.sum(F.col("input_tokens") + F.col("output_tokens")).over(within)).alias("tokens"),
-        F.round(F.col("start_cost") + F.sum("cost_usd").over(within), 4).alias("cost_usd"),
-    )
+    amounts = {"tokens": F.col("input_tokens") + F.col("output_tokens"), "cost": F.col("cost_usd")}
+    rows = ledger.where("processed_at is not null").select("video_id", "processed_at", *(v.alias(k) for k, v in amounts.items()))
+    order = ("processed_at", "video_id")
+    ranged = rows.repartitionByRange(parts, *order) if parts else rows.repartitionByRange(*order)
+    placed = materialize(ranged.withColumn("part", F.spark_partition_id()), "ranges")
+    sums = {"n": F.count(F.lit(1)), **{k: F.sum(k) for k in amounts}}
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    totals = placed.groupBy("part").agg(*(v.alias(f"part_{k}") for k, v in sums.items()))
+    starts = totals.select("part", *(F.coalesce(F.sum(f"part_{k}").over(before), F.lit(0)).alias(f"start_{k}") for k in sums))
+    within = Window.partitionBy("part").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = placed.join(F.broadcast(starts), "part")  # one row a partition
+    upto = {k: F.col(f"start_{k}") + v.over(within) for k, v in sums.items()}
+    return out.select("video_id", upto["n"].alias("n"), upto["tokens"].alias("tokens"), F.round(upto["cost"], 4).alias("cost_usd"))
+
+
+def run_totals(ledger: DataFrame, since: str) -> DataFrame:
+    """One row: how many items were processed at or after ``since``, with their tokens and cost; zeros where none was."""
+    rows = ledger.where(F.col("processed_at") >= since)
+    total = lambda c, kind: F.coalesce(F.sum(c), F.lit(0).cast(kind)).alias(c)
+    return rows.agg(F.count(F.lit(1)).alias("n"), total("input_tokens", "bigint"), total("output_tokens", "bigint"), F.round(F.coalesce(F.sum("cost_usd"), F.lit(0.0)), 4).alias("cost_usd"))

@@ -20,7 +20,7 @@ def usable_vectors(df: DataFrame, key: str, vector: str, dimension: int) -> Data
 
 def _matrix(column: pa.Array, dimension: int) -> np.ndarray:
     x = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dimension)
-    return x / np.linalg.norm(x, axis=1, keepdims=True)
+    return x / np.abs(x).max(axis=1, keepdims=True)  # so that squares neither vanish nor overflow
 
 
 def _codes(column: pa.Array, dimension: int) -> np.ndarray:
@@ -28,64 +28,103 @@ def _codes(column: pa.Array, dimension: int) -> np.ndarray:
     return np.floor(x * 127.0 / np.abs(x).max(axis=1, keepdims=True) + 0.5)
 
 
-def nearest(corpus: DataFrame, queries: DataFrame, k: int, dimension: int, *, quantised: bool = False, block: int = 1000, part_size: int = 20_000) -> DataFrame:
+#: Decimals of a distance by which hits are ranked; beyond them two ways of adding up the same numbers differ.
+PLACES = 12
+
+
+class _Best:
+    """The k nearest keys of each query so far, by distance and then key, whatever the order in which rows come."""
+
+    def __init__(self, names: pa.Array, codes: np.ndarray, k: int, keys: pa.DataType) -> None:
+        self.names, self.codes, self.k = names, codes, k
+        self.unit = codes / np.linalg.norm(codes, axis=1, keepdims=True)
+        self.edge = np.full(len(codes), np.inf)
+        self.schema = pa.schema([("q", pa.int64()), ("distance", pa.float64()), ("key", keys)])
+        self.held, self.fresh, self.waiting = self.schema.empty_table(), [], 0
+
+    def add(self, keys: pa.Array, codes: np.ndarray, tile: int = 1024) -> None:
+        x = codes / np.linalg.norm(codes, axis=1, keepdims=True)
+        for at in range(0, len(self.unit), tile):
+            far = 1.0 - self.unit[at : at + tile] @ x.T
+            n = min(self.k, len(x))
+            edge = np.minimum(np.partition(far, n - 1, axis=1)[:, n - 1], self.edge[at : at + tile]) if n == self.k else self.edge[at : at + tile]
+            row, col = np.nonzero(far <= edge[:, None] + 1e-9)
+            # Row by row, so that the sum doesn't depend on which rows came together.
+            distance = np.round(np.maximum(0.0, 1.0 - np.einsum("ij,ij->i", self.unit[at + row], x[col])), PLACES)
+            self.fresh.append(pa.table([pa.array(at + row), pa.array(distance), keys.take(pa.array(col))], schema=self.schema))
+            self.waiting += len(row)
+        if self.waiting > max(200_000, 4 * self.k * len(self.unit)):
+            self.settle()
+
+    def settle(self) -> None:
+        ranked = pa.concat_tables([self.held, *self.fresh]).sort_by([("q", "ascending"), ("distance", "ascending"), ("key", "ascending")])
+        q = ranked["q"].to_numpy()
+        place = np.arange(len(q)) - np.searchsorted(q, q)
+        self.held, self.fresh, self.waiting = ranked.filter(pa.array(place < self.k)), [], 0
+        last = ranked.filter(pa.array(place == self.k - 1))
+        self.edge[last["q"].to_numpy()] = last["distance"].to_numpy()
+
+    def hits(self) -> pa.RecordBatch:
+        self.settle()
+        t = self.held
+        columns = [self.names.take(t["q"]), t["key"], t["distance"]]
+        flat = [c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in columns]
+        return pa.RecordBatch.from_arrays(flat, names=["query", "key", "distance"])
+
+
+def nearest(corpus: DataFrame, queries: DataFrame, k: int, dimension: int, *, quantised: bool = False, block: int = 20_000, part_size: int = 200_000) -> DataFrame:
     """Rows (query, key, distance, place): the k nearest rows of ``corpus`` for each query, by cosine distance.
 
-    Both sides are rows (key, vec) of usable vectors. The queries, a stated set,
-    come in blocks; each part of the corpus meets each block once and passes on
-    its k best, so what is shuffled grows with queries times parts. Ties are
-    broken by the key. ``quantised`` computes with whole numbers of 8 bits. An
-    empty side gives no rows; repeated keys are rows of their own.
+    Both sides are rows (key, vec) of usable vectors. The queries are a stated
+    set. Up to ``block`` of them go with each task; each task holds the k best
+    of all its rows and passes those on, so what is shuffled is queries times
+    tasks times k. More queries come in blocks, the corpus in parts of about
+    ``part_size`` rows, and each part meets each block once. Hits are ranked by
+    the distance to 12 decimals and then by key, whatever the partitions; the
+    result has 6. ``quantised`` computes with whole numbers of 8 bits. An empty
+    side gives no rows; repeated keys are rows of their own.
     """
     kind, query_kind = corpus.schema["key"].dataType.simpleString(), queries.schema["key"].dataType.simpleString()
     spark = corpus.sparkSession
     prepare = _codes if quantised else _matrix
     blocks = max(1, -(-queries.count() // block))
-    asked = queries.select(F.pmod(F.xxhash64("key"), F.lit(blocks)).cast("int").alias("block"), F.col("key").alias("query"), F.col("vec").alias("qvec"))
-    parts = max(1, -(-corpus.count() // part_size)) if blocks > 1 else 1
-
-    def best(keys: pa.Array, x: np.ndarray, names: pa.Array, q: np.ndarray) -> pa.RecordBatch:
-        sims = q @ x.T
-        if quantised:
-            sims = sims / np.linalg.norm(q, axis=1)[:, None] / np.linalg.norm(x, axis=1)[None, :]
-        # A few more than k, so that ties at the edge are all there to be broken by key.
-        n = min(k, len(x))
-        edge = np.partition(-sims, n - 1, axis=1)[:, n - 1]
-        row, col = np.nonzero(-sims <= edge[:, None] + 1e-12)
-        distance = np.maximum(0.0, 1.0 - sims[row, col])
-        return pa.RecordBatch.from_arrays([names.take(pa.array(row)), keys.take(pa.array(col)), pa.array(distance)], names=["query", "key", "distance"])
-
     schema = f"query {query_kind}, key {kind}, distance double"
     if blocks == 1:
-        # One block of a bounded number of queries goes with each task.
         few = queries.limit(block).toArrow().combine_chunks()
         if not few.num_rows:
             return spark.createDataFrame([], f"query {query_kind}, key {kind}, distance double, place int")
         names, q = few["key"].combine_chunks(), prepare(few["vec"].combine_chunks(), dimension)
 
         def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            best = None
             for batch in batches:
+                best = best or _Best(names, q, k, batch.schema.field(0).type)
                 for at in range(0, batch.num_rows, 2048):
                     part = batch.slice(at, 2048)
-                    yield best(part.column(0), prepare(part.column(1), dimension), names, q)
+                    best.add(part.column(0), prepare(part.column(1), dimension))
+            if best:
+                yield best.hits()
 
         found = corpus.mapInArrow(scan, schema)
     else:
+        parts = max(1, -(-corpus.count() // part_size))
         spread = corpus.withColumn("part", F.pmod(F.xxhash64("key"), F.lit(parts)).cast("int")).select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), "part", "key", "vec")
+        asked = queries.select(F.pmod(F.xxhash64("key"), F.lit(blocks)).cast("int").alias("block"), F.col("key").alias("query"), F.col("vec").alias("qvec"))
         asked = asked.select("block", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), "query", "qvec")
 
         def meet(rows: pa.Table, asking: pa.Table) -> pa.Table:
             if not rows.num_rows or not asking.num_rows:
                 return pa.table({"query": pa.array([], asking.schema.field("query").type), "key": pa.array([], rows.schema.field("key").type), "distance": pa.array([], pa.float64())})
             asking = asking.combine_chunks()
-            names, q = asking["query"].combine_chunks(), prepare(asking["qvec"].combine_chunks(), dimension)
-            slices = [rows.slice(at, 2048).combine_chunks() for at in range(0, rows.num_rows, 2048)]
-            return pa.Table.from_batches([best(s["key"].combine_chunks(), prepare(s["vec"].combine_chunks(), dimension), names, q) for s in slices])
+            best = _Best(asking["query"].combine_chunks(), prepare(asking["qvec"].combine_chunks(), dimension), k, rows.schema.field("key").type)
+            for at in range(0, rows.num_rows, 2048):
+                part = rows.slice(at, 2048).combine_chunks()
+                best.add(part["key"].combine_chunks(), prepare(part["vec"].combine_chunks(), dimension))
+            return pa.Table.from_batches([best.hits()])
 
         found = spread.groupBy("block", "part").cogroup(asked.groupBy("block", "part")).applyInArrow(meet, schema)
-    rounded = found.withColumn("distance", F.round("distance", 6))
     order = Window.partitionBy("query").orderBy("distance", "key")
-    return rounded.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k)
+    return found.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k).withColumn("distance", F.round("distance", 6))
 
 
 def with_context(hits: DataFrame, chunks: DataFrame, videos: DataFrame, parents: DataFrame) -> DataFrame:
@@ -141,4 +180,3 @@ def hit_rates(hits: DataFrame, labels: DataFrame, query_labels: DataFrame) -> Da
         F.min("best").alias("min_best"),
         F.max("best").alias("max_best"),
     )
-

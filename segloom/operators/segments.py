@@ -26,7 +26,7 @@ def timed_segments(segments: DataFrame) -> DataFrame:
 
 
 def deliver_once(segments: DataFrame, key: str = "segment_id") -> DataFrame:
-    """One row a key: the first delivery. Rows with a null key are kept."""
+    """One row a key; deliveries of a segment are alike but for the time they came. Rows with a null key are kept."""
     # A row without a key gets a number of its own, so that one pass serves both.
     own = F.when(F.col(key).isNull(), F.monotonically_increasing_id())
     return segments.withColumn("__own", own).dropDuplicates([key, "__own"]).drop("__own")

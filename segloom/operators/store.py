@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from segloom.config import StoreConfig
 from segloom.operators import search
+from segloom.session import file_system, materialize
 
 TABLES = ("videos", "parent_chunks", "child_chunks")
 CHILD_COLUMNS = ("chunk_id", "chunk_index", "video_id", "parent_chunk_id", "text", "start_time", "end_time", "token_count", "youtube_link", "context_before", "context_after", "embedding")
@@ -37,10 +38,11 @@ def without_videos(rows: DataFrame, deleted: DataFrame) -> DataFrame:
 
 def store_stats(videos: DataFrame, parents: DataFrame, chunks: DataFrame) -> DataFrame:
     """One row: how many videos, parents, chunks, and chunks with an embedding."""
-    count = lambda df, name: df.agg(F.count(F.lit(1)).alias(name))
-    both = chunks.agg(F.count(F.lit(1)).alias("child_chunks"), F.count("embedding").alias("chunks_with_embeddings"))
-    # Three rows of one each are put side by side.
-    return count(videos, "videos").join(count(parents, "parent_chunks")).join(both)
+    one = lambda df, name: df.select(F.lit(name).alias("name"))
+    rows = one(videos, "videos").unionByName(one(parents, "parent_chunks"))
+    rows = rows.unionByName(chunks.select(F.when(F.col("embedding").isNull(), F.lit("chunk")).otherwise(F.lit("embedded")).alias("name")))
+    count = lambda *names: F.count_if(F.col("name").isin(*names))
+    return rows.agg(count("videos").alias("videos"), count("parent_chunks").alias("parent_chunks"), count("chunk", "embedded").alias("child_chunks"), count("embedded").alias("chunks_with_embeddings"))
 
 
 def list_videos(videos: DataFrame) -> DataFrame:
@@ -48,23 +50,35 @@ def list_videos(videos: DataFrame) -> DataFrame:
     return videos.select(*VIDEO_COLUMNS).orderBy(F.col("created_at").desc_nulls_last(), "video_id")
 
 
+#: Each table is parted into so many folders by a hash of the video.
+BUCKETS = 64
+
+
 class Store:
-    """A store in a folder. Each table is a Parquet folder; a batch is written beside it and read with it."""
+    """A store in a folder. Each table is a Parquet folder, parted by a hash of the video, so that a video's rows lie in one part."""
 
     def __init__(self, spark: SparkSession, config: StoreConfig) -> None:
         self.spark, self.config = spark, config
 
+    def _path(self, name: str) -> str:
+        return f"{self.config.path}/{name}"
+
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.config.path}/{name}")
+        self._finish_swaps(name)
+        columns = {"videos": VIDEO_COLUMNS, "parent_chunks": PARENT_COLUMNS, "child_chunks": CHILD_COLUMNS}[name]
+        return self.spark.read.parquet(self._path(name)).select(*columns)
 
     def exists(self, name: str) -> bool:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.config.path}/{name}/_SUCCESS")
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
+        fs, path = file_system(self.spark, f"{self._path(name)}/_SUCCESS")
+        return fs.exists(path)
 
-    def ingest(self, videos: DataFrame, parents: DataFrame, chunks: DataFrame) -> None:
-        """Append what belongs to new videos. The videos table comes last, so a batch that failed is taken again."""
-        new = new_videos(videos, self.table("videos")) if self.exists("videos") else videos.where("video_id is not null").dropDuplicates(["video_id"])
-        new = new.select(*VIDEO_COLUMNS).cache()
+    def ingest(self, videos: DataFrame, parents: DataFrame, chunks: DataFrame) -> dict[str, int]:
+        """Append what belongs to new videos; how many were added, and how many were there already (which counts as success).
+
+        The videos table comes last, so a batch that failed is taken again.
+        """
+        named = videos.where("video_id is not null").dropDuplicates(["video_id"]).select(*VIDEO_COLUMNS)
+        new = materialize(new_videos(named, self.table("videos")) if self.exists("videos") else named, "new").select(*VIDEO_COLUMNS)
         keep = lambda df: df.join(new.select("video_id"), "video_id", "left_semi")
         rows = {"parent_chunks": keep(parents).select(*PARENT_COLUMNS), "child_chunks": child_rows(keep(chunks)), "videos": new}
         for name, df in rows.items():
@@ -72,19 +86,46 @@ class Store:
                 # What an earlier, failed batch left of these videos is not doubled.
                 key = "chunk_id" if name == "child_chunks" else "parent_chunk_id"
                 df = df.join(self.table(name).select(key), key, "left_anti").select(*df.columns)
-            df.write.mode("append").parquet(f"{self.config.path}/{name}")
-        new.unpersist()
+            bucket = F.pmod(F.xxhash64("video_id"), F.lit(BUCKETS)).alias("bucket")
+            df.select("*", bucket).write.mode("append").partitionBy("bucket").parquet(self._path(name))
+        added = new.count()
+        return {"added": added, "present": named.count() - added}
+
+    def _finish_swaps(self, name: str) -> None:
+        """Finish what a delete that was cut off between its renames left."""
+        fs, path = file_system(self.spark, f"{self.config.path}/.old-{name}")
+        if not fs.exists(path):
+            return
+        for old in (s.getPath() for s in fs.listStatus(path)):
+            home = file_system(self.spark, f"{self._path(name)}/{old.getName()}")[1]
+            staged = file_system(self.spark, f"{self.config.path}/.staged-{name}/{old.getName()}")[1]
+            if not fs.exists(home):
+                fs.rename(staged if fs.exists(staged) else old, home)
+            fs.delete(old, True)
 
     def delete(self, video_id: str) -> bool:
-        """Remove a video and all that belongs to it; whether it was there."""
+        """Remove a video and all that belongs to it; whether it was there.
+
+        Of each table only the part that holds the video is written again, and
+        put in place by renaming. The videos table comes last, so a delete that
+        was cut off is found and done again.
+        """
         gone = self.spark.createDataFrame([(video_id,)], "video_id string")
         if not self.table("videos").where(F.col("video_id") == video_id).limit(1).count():
             return False
+        bucket = gone.select(F.pmod(F.xxhash64("video_id"), F.lit(BUCKETS))).first()[0]
         for name in ("child_chunks", "parent_chunks", "videos"):
-            kept = without_videos(self.table(name), gone)
-            staged = f"{self.config.path}/.staged-{name}"
-            kept.select(*self.table(name).columns).write.mode("overwrite").parquet(staged)
-            self.spark.read.parquet(staged).write.mode("overwrite").parquet(f"{self.config.path}/{name}")
+            self._finish_swaps(name)
+            part = f"{self._path(name)}/bucket={bucket}"
+            fs, home = file_system(self.spark, part)
+            if not fs.exists(home):
+                continue
+            staged, old = (file_system(self.spark, f"{self.config.path}/.{kind}-{name}/bucket={bucket}")[1] for kind in ("staged", "old"))
+            without_videos(self.spark.read.parquet(part), gone).write.mode("overwrite").parquet(staged.toString())
+            fs.mkdirs(old.getParent())
+            fs.rename(home, old)
+            fs.rename(staged, home)
+            fs.delete(old, True)
         return True
 
     def search(self, queries: DataFrame, k: int = 10, use_quantized: bool | None = None) -> DataFrame:

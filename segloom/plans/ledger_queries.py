@@ -31,6 +31,13 @@ def running_cost(spark: SparkSession, directory: str) -> DataFrame:
     return ledger.running_totals(_rows(spark, directory))
 
 
+def run_totals(spark: SparkSession, directory: str) -> DataFrame:
+    """The totals of the last day of processing."""
+    rows = _rows(spark, directory)
+    last = rows.agg(F.max(F.substring("processed_at", 1, 10))).first()[0]
+    return ledger.run_totals(rows, last or "")
+
+
 def playlist_entries(spark: SparkSession, directory: str) -> DataFrame:
     """The entries of a playlist: those with an id, with a default title and an address."""
     rows = table(spark, directory, "videos").where("video_id is not null and video_id <> ''")
@@ -49,7 +56,7 @@ def audio_seconds(spark: SparkSession, directory: str) -> DataFrame:
     return _rows(spark, directory).select("video_id", F.expr("input_tokens div 32").alias("seconds"))
 
 
-QUERIES = {f.__name__: f for f in (ledger_scan, ledger_merge, ledger_summary, running_cost, playlist_entries, transcript_exists, audio_seconds)}
+QUERIES = {f.__name__: f for f in (ledger_scan, ledger_merge, ledger_summary, running_cost, run_totals, playlist_entries, transcript_exists, audio_seconds)}
 
 _COLUMNS = ("url", "title", "status", "error", "input_tokens", "output_tokens", "cost_usd")
 _ORDER = ", ".join(f"{c} desc nulls last" for c in ("processed_at", *_COLUMNS))
@@ -66,7 +73,9 @@ select coalesce(l.video_id, f.video_id) as video_id, coalesce(l.url, 'https://ww
 from latest l full join fresh f on l.video_id = f.video_id""",
     "ledger_summary": f"with {_LATEST} select status, count(*) as n, sum(input_tokens)::bigint as input_tokens, sum(output_tokens)::bigint as output_tokens, round(sum(cost_usd), 4) as cost_usd from latest group by status",
     "running_cost": f"""with {_LATEST} select video_id, count(*) over w as n, (sum(input_tokens + output_tokens) over w)::bigint as tokens, round(sum(cost_usd) over w, 4) as cost_usd
-from latest where processed_at is not null window w as (order by substring(processed_at, 1, 10), processed_at, video_id rows unbounded preceding)""",
+from latest where processed_at is not null window w as (order by processed_at, video_id rows unbounded preceding)""",
+    "run_totals": f"""with {_LATEST} select count(*) as n, coalesce(sum(input_tokens), 0)::bigint as input_tokens, coalesce(sum(output_tokens), 0)::bigint as output_tokens, round(coalesce(sum(cost_usd), 0.0), 4) as cost_usd
+from latest where processed_at >= (select max(substring(processed_at, 1, 10)) from latest)""",
     "playlist_entries": "select video_id, 'https://www.youtube.com/watch?v=' || video_id as url, coalesce(nullif(video_title, ''), 'Unknown') as title from videos where video_id is not null and video_id <> ''",
     "transcript_exists": f"""with {_LATEST} select video_id, {_FILE.format('title')} as file_name from latest where {_FILE.format('title')} in (
   select {_FILE.format('video_title')} from videos where video_id in (select video_id from transcript_segments) and {_FILE.format('video_title')} <> '')""",

@@ -10,6 +10,7 @@ from segloom.functions import timecode as tc
 from segloom.operators import chunks as ch
 from segloom.operators.segments import deliver_once, scan_segments
 from segloom.session import materialize, table
+from segloom.sources.services import hash_embeddings
 
 
 def _segments(spark: SparkSession, directory: str) -> DataFrame:
@@ -73,6 +74,14 @@ def child_chunks(spark: SparkSession, directory: str) -> DataFrame:
     return built_children(spark, directory)
 
 
+def child_chunks_semantic(spark: SparkSession, directory: str) -> DataFrame:
+    """The child chunks where topics, by the hashed embeddings of the segments, bound them as pauses do."""
+    placed = ch.positioned_segments(scanned(spark, directory)).withColumn("at", F.struct("video_id", "pos"))
+    embedded = hash_embeddings(placed, "at", "text").select("at.*", "embedding")
+    rows = materialize(ch.detect_boundaries(placed.drop("at"), embedded), "bounded")
+    return ch.child_chunks(rows, ch.child_assignment(rows))
+
+
 def overlap_context(spark: SparkSession, directory: str) -> DataFrame:
     found = ch.overlap_context(materialize(built_children(spark, directory), "children"))
     return found.select("chunk_id", "context_before", "context_after")
@@ -114,6 +123,7 @@ QUERIES = {
     "boundary_pause": boundary_pause,
     "child_assign": child_assign,
     "child_chunks": child_chunks,
+    "child_chunks_semantic": child_chunks_semantic,
     "overlap_context": overlap_context,
     "parent_assign": parent_assign,
     "parent_chunks": parent_chunks,
@@ -168,16 +178,32 @@ bounded as (
   select *, coalesce(round(s - lag(e) over (partition by video_id order by pos), 3) > 3.0, false) as b from placed)"""
 
 
-def _children() -> str:
+def _topics() -> str:
+    """Adds to ``placed`` the similarity of a segment's words, hashed, to those of the one before."""
+    number = lambda at: f"('0x' || substr(md5(w), {at}, 8))::bigint"
     return f"""{_bounded()},
+terms as (
+  select video_id, pos, {number(1)} % 64 as bucket, sum(case when {number(9)} % 2 = 0 then 1 else -1 end) as v
+  from (select video_id, pos, unnest({words_sql('lower(text)')}) as w from placed) group by all),
+norms as (select video_id, pos, sqrt(sum(v * v)) as n from terms group by all),
+dots as (select a.video_id, a.pos, sum(a.v * b.v) as d from terms a join terms b on a.video_id = b.video_id and a.pos = b.pos + 1 and a.bucket = b.bucket group by all),
+topics as (
+  select p.video_id, p.pos, case when x.n > 0 and y.n > 0 then coalesce(d.d, 0) / (x.n * y.n) else 0 end as sim
+  from placed p left join norms x on x.video_id = p.video_id and x.pos = p.pos left join norms y on y.video_id = p.video_id and y.pos = p.pos - 1
+  left join dots d on d.video_id = p.video_id and d.pos = p.pos),
+joint as (select * replace (b or pos > 0 and round(sim, 6) < 0.5 as b) from bounded join topics using (video_id, pos))"""
+
+
+def _children(bounds: str = "bounded") -> str:
+    return f"""{_bounded() if bounds == "bounded" else _topics()},
 fold(video_id, pos, cur, idx) as (
-  select video_id, pos, t, 0 from bounded where pos = 0
+  select video_id, pos, t, 0 from {bounds} where pos = 0
   union all
   select n.video_id, n.pos, case when n.split then n.t else n.cur + n.t end, case when n.split then n.idx + 1 else n.idx end
   from (
     select b.video_id, b.pos, b.t, f.cur, f.idx,
            case when f.cur + b.t > 256 and f.cur >= 128 then not (b.c and f.cur + b.t <= 300) else f.cur >= 200 and b.b end as split
-    from fold f join bounded b on b.video_id = f.video_id and b.pos = f.pos + 1) n),
+    from fold f join {bounds} b on b.video_id = f.video_id and b.pos = f.pos + 1) n),
 tail as (select video_id, max(idx) as last, max_by(cur, pos) as cur from fold group by video_id),
 assigned as (
   select f.video_id, f.pos, case when f.idx = t.last and t.cur < 128 and t.last > 0 then f.idx - 1 else f.idx end as chunk_index
@@ -187,7 +213,7 @@ children as (
          'https://www.youtube.com/watch?v=' || video_id || '&t=' || cast(cast(trunc(s) as bigint) as varchar) || 's' as youtube_link
   from (
     select video_id, chunk_index, string_agg(text, ' ' order by pos) as text, min_by(s, pos) as s, max_by(e, pos) as e
-    from bounded join assigned using (video_id, pos) group by video_id, chunk_index))"""
+    from {bounds} join assigned using (video_id, pos) group by video_id, chunk_index))"""
 
 
 def _parents() -> str:
@@ -255,6 +281,7 @@ SQL = {
     "boundary_pause": f"with {_bounded()} select video_id, pos, b as boundary from bounded",
     "child_assign": f"with recursive {_children()} select video_id, pos, chunk_index from assigned",
     "child_chunks": f"with recursive {_children()} select * from children",
+    "child_chunks_semantic": f"with recursive {_children('joint')} select * from children",
     "overlap_context": f"""with recursive {_children()} select chunk_id,
   coalesce(lag({_first_last('last')}) over w, '') as context_before, coalesce(lead({_first_last('first')}) over w, '') as context_after
   from children window w as (partition by video_id order by chunk_index)""",

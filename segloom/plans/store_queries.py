@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,7 +12,8 @@ from segloom.functions import vectors as vx
 from segloom.operators import chunks as ch
 from segloom.operators import search, store
 from segloom.operators.ordered import dense_position
-from segloom.session import materialize, table
+from segloom.session import materialize, shared_dir, table
+from segloom.sources import transcripts
 from segloom.sources.transcripts import manifest as manifest_rows
 
 DIMENSION = 64
@@ -78,9 +81,27 @@ def list_videos(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def ingest_new_only(spark: SparkSession, directory: str) -> DataFrame:
-    """The videos of the chunks that the videos table lacks or that have no stored parents."""
-    incoming = _children(spark, directory).select("video_id")
-    return store.new_videos(incoming, table(spark, directory, "parent_chunks").select("video_id").distinct())
+    """What an ingest of all videos adds to a store that has those with chunks."""
+    stored = _children(spark, directory).where("video_id is not null").select("video_id").distinct()
+    return store.new_videos(table(spark, directory, "videos").select("video_id", "video_title"), stored)
+
+
+def scan_chunks(spark: SparkSession, directory: str) -> DataFrame:
+    """The chunks read from chunk files, which are written from the tables first."""
+    path = f"{shared_dir(spark)}/segloom/chunk-files-{uuid.uuid4().hex}"
+    parents = table(spark, directory, "parent_chunks")
+    transcripts.write_chunked(table(spark, directory, "videos").drop("created_at"), _children(spark, directory), parents, path, by_video=False)
+    return transcripts.read_chunked(spark, path)[1].select("chunk_id", "chunk_index", "video_id", "parent_chunk_id", "text", "start_time", "end_time", "token_count", "youtube_link", "context_before", "context_after")
+
+
+SUFFIXES = (".mp3", ".M4A", ".webm", ".opus", ".Ogg", ".wav", ".flac", "")
+
+
+def mime_lookup(spark: SparkSession, directory: str) -> DataFrame:
+    """The media type of an audio file of each video, whose suffix follows from its number of chunks."""
+    rows = table(spark, directory, "videos")
+    suffix = F.element_at(F.array(*map(F.lit, SUFFIXES)), F.pmod(F.coalesce("total_chunks", F.lit(0)), F.lit(len(SUFFIXES))) + 1)
+    return rows.select("video_id", F.concat("video_id", suffix).alias("file")).select("video_id", "file", tx.media_type(F.col("file")).alias("media_type"))
 
 
 def delete_cascade(spark: SparkSession, directory: str) -> DataFrame:
@@ -187,7 +208,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         *(boundary_semantic, boundaries, child_rows, deep_link, video_rollup, manifest, stored_chunk_stats, stored_parent_stats),
-        *(store_stats, list_videos, ingest_new_only, delete_cascade, stem_identity, sanitize_title),
+        *(store_stats, list_videos, ingest_new_only, scan_chunks, mime_lookup, delete_cascade, stem_identity, sanitize_title),
         *(vec_norm, vec_dot, cosine_pairs, vec_cast, quantize, embed_hash),
         *(knn_exact, knn_quantized, knn_threshold, knn_batch, eval_metrics, search_context, search_display),
     )
@@ -209,13 +230,13 @@ marked as (select *, case when prev_id is not null then coalesce({_cosine('emb',
 
 def _knn(corpus: str, key: str, k: int, distance: str, extra: str = "") -> str:
     return f"""q as (select vec_id as query, embedding as qe from embeddings where vec_id % 20 = 0 and {_OK}),
-ranked as (select query, {key} as key, {distance} as distance, cast(row_number() over (partition by query order by {distance}, {key}) as integer) as place
+ranked as (select query, {key} as key, round({distance}, 6) as distance, cast(row_number() over (partition by query order by round({distance}, 12), {key}) as integer) as place
            from q, (select * from {corpus} where {_OK} and {key} is not null {extra}))"""
 
 
-_EXACT = "round(greatest(0.0, 1.0 - list_cosine_similarity(qe::double[], embedding::double[])), 6)"
+_EXACT = "greatest(0.0, 1.0 - list_cosine_similarity(qe::double[], embedding::double[]))"
 _CODES = "list_transform({0}, lambda x: floor(x::double * 127.0 / list_max(list_transform({0}, lambda y: abs(y::double))) + 0.5))"
-_COARSE = f"round(greatest(0.0, 1.0 - list_cosine_similarity({_CODES.format('qe')}, {_CODES.format('embedding')})), 6)"
+_COARSE = f"greatest(0.0, 1.0 - list_cosine_similarity({_CODES.format('qe')}, {_CODES.format('embedding')}))"
 _CHUNK_HITS = f"{_ONCE}, {_knn('once', 'chunk_id', 5, _EXACT)}"
 _CONTEXT = f"""{_CHUNK_HITS},
 context as (
@@ -232,8 +253,8 @@ _STATS = "select video_id, count(*) as chunks, round(avg(token_count), 6) as avg
 _PAIRS = "select a.vec_id, {0} from embeddings a join embeddings b on b.vec_id = a.vec_id + 1"
 
 SQL = {
-    "boundary_semantic": f"with {_SEMANTIC} select chunk_id, round(sim, 6) as similarity, coalesce(sim < 0.5, false) as boundary from marked",
-    "boundaries": f"with {_SEMANTIC} select video_id, pos from marked where coalesce(sim < 0.5, false) or coalesce(round(start_time - prev_end, 3) > 3.0, false)",
+    "boundary_semantic": f"with {_SEMANTIC} select chunk_id, round(sim, 6) as similarity, coalesce(round(sim, 6) < 0.5, false) as boundary from marked",
+    "boundaries": f"with {_SEMANTIC} select video_id, pos from marked where coalesce(round(sim, 6) < 0.5, false) or coalesce(round(start_time - prev_end, 3) > 3.0, false)",
     "child_rows": f"with {_ONCE} select chunk_id, chunk_index, video_id, nullif(parent_chunk_id, '') as parent_chunk_id, start_time, end_time, token_count, youtube_link, coalesce(context_before, '') as context_before, coalesce(context_after, '') as context_after from once",
     "deep_link": f"with {_ONCE} select chunk_id, 'https://www.youtube.com/watch?v=' || coalesce(video_id, '') || '&t=' || cast(cast(trunc(start_time) as bigint) as varchar) || 's' as link from once",
     "video_rollup": f"with {_ROLLUP} select * from rollup",
@@ -242,7 +263,11 @@ SQL = {
     "stored_parent_stats": f"{_STATS} from parent_chunks group by video_id",
     "store_stats": f"with {_ONCE} select (select count(*) from videos) as videos, (select count(*) from parent_chunks) as parent_chunks, count(*) as child_chunks, count(embedding) as chunks_with_embeddings from once",
     "list_videos": "select video_id, video_title, total_chunks, total_parent_chunks, created_at from videos",
-    "ingest_new_only": "select distinct video_id from child_chunks where video_id is not null and video_id not in (select video_id from parent_chunks where video_id is not null)",
+    "ingest_new_only": "select video_id, video_title from videos where video_id is not null and video_id not in (select video_id from child_chunks where video_id is not null)",
+    "scan_chunks": f"with {_ONCE} select chunk_id, chunk_index, video_id, coalesce(parent_chunk_id, '') as parent_chunk_id, text, start_time, end_time, token_count, coalesce(youtube_link, '') as youtube_link, coalesce(context_before, '') as context_before, coalesce(context_after, '') as context_after from once",
+    "mime_lookup": """select video_id, file, case when ends_with(lower(file), '.mp3') then 'audio/mpeg' when ends_with(lower(file), '.m4a') then 'audio/mp4' when ends_with(lower(file), '.webm') then 'audio/webm'
+  when ends_with(lower(file), '.opus') then 'audio/opus' when ends_with(lower(file), '.ogg') then 'audio/ogg' when ends_with(lower(file), '.wav') then 'audio/wav' else 'audio/webm' end as media_type
+  from (select video_id, video_id || ['.mp3', '.M4A', '.webm', '.opus', '.Ogg', '.wav', '.flac', ''][coalesce(total_chunks, 0) % 8 + 1] as file from videos)""",
     "delete_cascade": f"""with {_ONCE}, gone as (select video_id from videos where created_at is null)
 select 'videos' as table_name, count(*) as n from videos where video_id is null or video_id not in (select video_id from gone)
 union all select 'parent_chunks', count(*) from parent_chunks where video_id is null or video_id not in (select video_id from gone)

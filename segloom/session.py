@@ -44,26 +44,42 @@ def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share, as the cluster names it.
+    """The folder that all executors share, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only where ``spark.checkpoint.dir`` is unset (a local test session) a
-    temporary folder takes its place.
+    Only a session in one machine (master ``local``) that doesn't name one gets
+    a temporary folder; on a cluster each executor would write to its own.
     """
-    folder = spark.conf.get(CHECKPOINT_KEY, None)
+    folder = spark.conf.get(CHECKPOINT_KEY, None) or getattr(spark.sparkContext, "_segloom_shared", None)
     if not folder:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError(f"set {CHECKPOINT_KEY} to a folder that all executors share; intermediate results are written there")
         folder = "file://" + tempfile.mkdtemp(prefix="segloom-")
-        spark.conf.set(CHECKPOINT_KEY, folder)
+        spark.sparkContext._segloom_shared = folder
     return folder.rstrip("/")
 
 
+def file_system(spark: SparkSession, path: str) -> tuple:
+    """(file system, path) of the JVM for a path."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
 def materialize(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Cuts the lineage so that a result used more than once is computed once,
-    and survives the loss of executors.
+    and survives the loss of executors. An application's results lie in a
+    folder of its own, which goes when the application ends.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/segloom/{tag}-{uuid.uuid4().hex}"
+    own = f"{shared_dir(spark)}/segloom/{spark.sparkContext.applicationId}"
+    if getattr(spark.sparkContext, "_segloom_written", None) != own:
+        fs, at = file_system(spark, own)
+        fs.mkdirs(at)
+        fs.deleteOnExit(at)
+        spark.sparkContext._segloom_written = own
+    path = f"{own}/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

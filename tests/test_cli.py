@@ -13,8 +13,14 @@ def test_end_to_end(spark, tmp_path, capsys):
     segments = [{"start_time": f"00:{i:02d}:00,000", "end_time": f"00:{i:02d}:50,000", "content": f"part {i} " + "of the long talk on kilns " * 20} for i in range(40)]
     (folder / "Kiln Talk.json").write_text(json.dumps({"segments": segments}))
     (folder / "Bell Talk.json").write_text(json.dumps({"segments": segments[:2]}))
+    (folder / "Torn.json").write_text("{no json")
+    main(["ingest", "--input", str(folder / "Kiln Talk.json"), "--store", store])
     main(["ingest", "--input-dir", str(folder), "--store", store])
-    main(["ingest", "--input-dir", str(folder), "--store", store])
+    assert "2 succeeded (1 already there), 1 failed" in capsys.readouterr().out
+    main(["search", "--store", store, "part 7 of the long talk on kilns", "-k", "2", "--exact"])
+    main(["search", "--store", store, "kilns", "--with-context"])
+    found = capsys.readouterr().out
+    assert "Kiln Talk (" in found and "part" in found
     main(["search", "--store", store, "--id", "Kiln_Talk_000", "-k", "3"])
     main(["list", "--store", store])
     main(["delete", "--store", store, "Bell_Talk"])

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import random
 
+import pytest
+
 from segloom.config import ChunkConfig
 from segloom.operators.chunks import child_rule, parent_rule, previous_in_blocks
 from segloom.operators.fold import greedy_groups
@@ -40,7 +42,7 @@ def run(spark, keys, rule, least, **sizes):
     rows = [(k, i, t, b, c, "x", 9) for k, items in keys.items() for i, (t, b, c) in enumerate(items)]
     df = spark.createDataFrame(rows, "k string, pos bigint, weight int, a boolean, b boolean, block string, own int")
     out = {k: [None] * len(items) for k, items in keys.items()}
-    for r in greedy_groups(df, "k", rule, least=least, **sizes).collect():
+    for r in greedy_groups(df, "k", rule, least=least, **{"heaviest": 1000, **sizes}).collect():
         out[r.k][r.pos] = r.group
     return out
 
@@ -72,13 +74,28 @@ def test_over_blocks(spark):
     rng = random.Random(8)
     keys = {k: [(rng.choice([1, 5, 20, 90, 300]), rng.random() < 0.2, rng.random() < 0.1) for _ in range(n)] for k, n in (("long", 3000), ("edge", 700), ("short", 3))}
     keys["ones"] = [(1, False, False)] * 1500
-    got = run(spark, keys, child_rule(ChunkConfig()), 128, block=350, margin=340)
+    keys["many"] = [(rng.choice([150, 200, 260]), False, False) for _ in range(650 * 40)]
+    got = run(spark, keys, child_rule(ChunkConfig()), 128, block=350, heaviest=300)
     assert got == {k: child_loop(v) for k, v in keys.items()}
 
 
+def test_one_large_key(spark):
+    """Two million rows of one key: blocks are joined in two rounds, and none of them is a whole key."""
+    df = spark.range(2_000_000).selectExpr("'k' as k", "id as pos", "cast(pmod(xxhash64(id), 120) + 1 as int) as weight", "pmod(xxhash64(id), 7) = 0 as a", "false as b")
+    got = greedy_groups(df, "k", child_rule(ChunkConfig()), least=128, heaviest=300, block=1000).toPandas().sort_values("pos").group.to_numpy()
+    rows = df.toPandas()
+    assert (got == child_loop(list(zip(rows.weight.tolist(), rows.a.tolist(), rows.b.tolist())))).all()
+
+
+def test_too_long(spark):
+    """Rows without weight could make a group of any length, which is an error and not a wrong result."""
+    with pytest.raises(Exception, match="a group of more than 300 rows"):
+        run(spark, {"k": [(0, False, False)] * 2000}, child_rule(ChunkConfig()), 128, block=350, heaviest=300)
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], "k string, pos bigint, weight int, a boolean, b boolean")
-    assert greedy_groups(df, "k", child_rule(ChunkConfig()), least=128).count() == 0
+    assert greedy_groups(df, "k", child_rule(ChunkConfig()), least=128, heaviest=300).count() == 0
 
 
 def test_ordered(spark):

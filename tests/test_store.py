@@ -23,11 +23,11 @@ def test_store(spark, data, tmp_path):
     videos, parents, children = (table(spark, data, n) for n in ("videos", "parent_chunks", "child_chunks"))
     first = [r.video_id for r in videos.orderBy("video_id").limit(3).collect()]
     part = lambda df: df.where(F.col("video_id").isin(first))
-    store.ingest(part(videos), part(parents), part(children))
+    assert store.ingest(part(videos), part(parents), part(children)) == {"added": 3, "present": 0}
     before = store.stats().collect()[0]
     assert before.videos == 3
-    store.ingest(videos, parents, children)
-    store.ingest(videos, parents, children)
+    assert store.ingest(videos, parents, children)["present"] == 3
+    assert store.ingest(videos, parents, children)["added"] == 0
     full = store.stats().collect()[0]
     assert full.videos == videos.count() and full.child_chunks == children.select("chunk_id").distinct().count()
     assert store.list_videos().count() == full.videos
@@ -39,6 +39,11 @@ def test_store(spark, data, tmp_path):
     left = store.stats().collect()[0]
     assert left.videos == full.videos - 1
     assert store.table("child_chunks").where(F.col("video_id") == gone).count() == 0
+    # A delete that was cut off after its first rename: the part that was set aside comes back.
+    part = next((tmp_path / "store" / "videos").glob("bucket=*"))
+    (tmp_path / "store" / ".old-videos").mkdir(exist_ok=True)
+    part.rename(tmp_path / "store" / ".old-videos" / part.name)
+    assert store.table("videos").count() == left.videos
 
 
 def test_child_rows_and_new_videos(spark):
@@ -101,12 +106,11 @@ def test_files(spark, tmp_path):
     assert [r.text for r in scan_segments(ready).collect()] == ["Hé"]
     cues = transcripts.subtitle_cues(ready).orderBy("cue_no").collect()
     assert [c.cue_no for c in cues] == [1, 2] and cues[0].cue.startswith("1\n00:00:01,000 --> 00:00:02,000\n")
-    transcripts.write_transcripts(ready, str(tmp_path / "out"))
-    assert spark.read.text(str(tmp_path / "out")).count() == 2
-    transcripts.write_chunked(videos, children, parents.select("video_id", "parent_chunk_id"), str(tmp_path / "chunked"))
-    kept = spark.read.text(str(tmp_path / "chunked"))
-    assert {(r.video_id, r.kind) for r in kept.collect()} == {("v", "video"), ("v", "chunk")}
-    assert json.loads(kept.where("kind = 'chunk'").collect()[0].value)["chunk_id"] == "v_000"
+    transcripts.write_chunked(videos, children, parents, str(tmp_path / "chunked"))
+    back = transcripts.read_chunked(spark, str(tmp_path / "chunked"))
+    assert [sorted(map(str, x.collect())) for x in back] == [sorted(map(str, x.collect())) for x in (videos, children, parents)]
+    transcripts.write_manifest(transcripts.manifest(videos.selectExpr("video_id", "video_title", "total_chunks as chunks", "total_parent_chunks as parent_chunks")), str(tmp_path / "manifest"))
+    assert {(r.video_id, r.title, r.chunks) for r in transcripts.read_manifest(spark, str(tmp_path / "manifest")).collect()} == {("v", "V", 1), (None, "total", 1)}
     (tmp_path / "ledger.csv").write_text("video_id,url,title,status,error,processed_at,input_tokens,output_tokens,cost_usd\na,u,t,done,,2024,,x,1.5\n")
     rows = transcripts.read_ledger(spark, str(tmp_path / "ledger.csv"))
     assert [(r.input_tokens, r.output_tokens, r.cost_usd) for r in rows.collect()] == [(0, 0, 1.5)]
@@ -114,6 +118,75 @@ def test_files(spark, tmp_path):
     assert transcripts.read_ledger(spark, str(tmp_path / "again")).collect() == rows.collect()
 
 
+def test_written_files_are_read_back(spark, data, tmp_path):
+    """All segments of the table, in order, in few files a video."""
+    rows = deliver_once(table(spark, data, "transcript_segments")).where("video_id is not null and seg_index is not null")
+    columns = ["video_id", "seg_index", "start_time", "end_time", "speaker", "language", "content"]
+    for run in range(2):
+        transcripts.write_transcripts(rows, str(tmp_path / "out"))
+    segments, broken = transcripts.read_transcripts(spark, str(tmp_path / "out"))
+    expected = sorted(tuple(r) for r in rows.select("video_id", "seg_index").collect())
+    assert sorted(tuple(r) for r in segments.select("video_id", "seg_index").collect()) == expected
+    assert segments.select(columns).exceptAll(rows.select(columns)).count() == 0 and broken.count() == 0
+    for folder in (tmp_path / "out").glob("video_id=*"):
+        parts = sorted(folder.glob("part-*"))
+        places = [json.loads(line)["seg_index"] for f in parts for line in f.read_text().splitlines()]
+        assert places == sorted(places) and len(parts) <= 5
+    transcripts.write_subtitles(rows, str(tmp_path / "srt"))
+    cues = {(r.video_id, r.cue_no): r for r in transcripts.read_subtitles(spark, str(tmp_path / "srt")).collect()}
+    written = transcripts.subtitle_cues(rows).collect()
+    assert set(cues) == {(r.video_id, r.cue_no) for r in written}
+    first = next(r for r in written if r.cue_no == 1)
+    assert f"{cues[first.video_id, 1].start_time} --> {cues[first.video_id, 1].end_time}" in first.cue
+    one = tmp_path / "One Talk.json"
+    one.write_text(json.dumps({"segments": [{"start_time": "0:0:1", "end_time": "0:0:2", "content": "x"}]}))
+    assert [r.video_id for r in transcripts.read_transcripts(spark, str(one))[0].collect()] == ["One_Talk"]
+
+
+def test_nearest_does_not_depend_on_partitions(spark):
+    """Distances that differ beyond the sixth decimal rank as they are, however the rows are parted."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(400, 8))
+    rows = [(f"k{i % 300:03d}", [float(v) for v in x[i % 300] * (1 + i)]) for i in range(400)]
+    rows += [("z", [1.0, 1e-4] + [0.0] * 6), ("a", [1.0, 1.0001e-4] + [0.0] * 6)]
+    df = spark.createDataFrame(rows, "id string, e array<double>")
+    queries = search.usable_vectors(spark.createDataFrame([("q", [1.0] + [0.0] * 7), ("p", rows[5][1])], df.schema), "id", "e", 8)
+    for quantised in (False, True):
+        found = []
+        for parts in (1, 4, 16):
+            corpus = search.usable_vectors(df.repartition(parts), "id", "e", 8)
+            found.append(sorted((r.query, r.place, r.key, r.distance) for r in search.nearest(corpus, queries, 6, 8, quantised=quantised).collect()))
+        assert found[0] == found[1] == found[2]
+        if not quantised:
+            assert [h[2] for h in found[0] if h[0] == "q"][:2] == ["z", "a"]
+
+
+def test_running_totals_in_parts(spark):
+    rows = [(f"v{i:03d}", "u", "t", "done", None, f"2024-01-01T00:00:{i % 7:02d}", i, 1, 0.5) for i in range(200)]
+    df = spark.createDataFrame(rows, "video_id string, url string, title string, status string, error string, processed_at string, input_tokens bigint, output_tokens bigint, cost_usd double")
+    got = sorted((r.n, r.video_id, r.tokens, r.cost_usd) for r in ledger.running_totals(df, parts=5).collect())
+    total, expected = 0, []
+    for n, r in enumerate(sorted(rows, key=lambda r: (r[5], r[0])), 1):
+        total += r[6] + 1
+        expected.append((n, r[0], total, round(0.5 * n, 4)))
+    assert got == expected and ledger.running_totals(df.limit(0)).count() == 0
+    assert tuple(ledger.run_totals(df, "2024-01-01T00:00:06").first()) == (28, sum(r[6] for r in rows if r[5].endswith("06")), 28, 14.0)
+    assert tuple(ledger.run_totals(df, "2025").first()) == (0, 0, 0, 0.0)
+
+
+def test_shared_folder():
+    """Without a named folder only a session in one machine gets a temporary one."""
+    from types import SimpleNamespace
+
+    from segloom.session import shared_dir
+
+    far = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: None), sparkContext=SimpleNamespace(master="yarn"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(far)
+    far.sparkContext.master = "local[2]"
+    assert shared_dir(far).startswith("file://")
+
+
 def test_services(spark):
     waits = []
 
