@@ -151,9 +151,16 @@ def _phrase_counts(batches: Iterator[pa.RecordBatch], most: int = 200_000) -> It
     between, trailing, edge = Counter(), Counter(), Counter()
 
     def rows() -> pa.RecordBatch:
-        keys = [(c, k) for c, counts in total.items() for k in counts]
-        numbers = [total[c][k] for c, k in keys]
-        keys = [(c, k if isinstance(k, str) else " ".join(k)) for c, k in keys]
+        keys, numbers = [], []
+        for code, counts in total.items():
+            single: Counter = Counter()
+            for (first, second), n in counts.items():
+                single[first] += n
+                if second:
+                    keys.append((code, f"{first} {second}"))
+                    numbers.append(n)
+            keys += [(code, w) for w in single]
+            numbers += single.values()
         columns = [pa.array([k[j] for k in keys], pa.string()) for j in range(2)]
         columns += [pa.array(numbers, pa.int64()), *(pa.array([c[k] for k in keys], pa.int64()) for c in (between, trailing, edge))]
         return pa.RecordBatch.from_arrays(columns, names=["language", "phrase", "total", "between", "trailing", "edge"])
@@ -164,8 +171,8 @@ def _phrase_counts(batches: Iterator[pa.RecordBatch], most: int = 200_000) -> It
             counts = total.get(label)
             if counts is None:
                 counts = total[label] = Counter()
-            counts.update(tokens)
-            counts.update(zip(tokens, tokens[1:]))
+            # Each word with the next one, the last with none.
+            counts.update(zip(tokens, (*tokens[1:], "")))
             if "," in t:
                 if found := _BETWEEN.findall(t):
                     between.update((label, re.sub(r"\s+", " ", m)) for m in found)

@@ -76,13 +76,14 @@ def plan_batches(edges: np.ndarray, counts: np.ndarray, capacity: int) -> list[t
     return rows
 
 
-def pack_items(items: DataFrame, key: str, size: str, capacity: int = CAPACITY, buckets: int = 128, salts: int = 256) -> DataFrame:
+def pack_items(items: DataFrame, key: str, size: str, capacity: int = CAPACITY, buckets: int = 128, part: int = 200_000) -> DataFrame:
     """Rows (container_id, key, piece_no, first_token, n_tokens): where each item, or piece of an item, lies.
 
     An item longer than ``capacity`` is divided into pieces of the capacity and
     a rest; no other item is divided. The sizes in a container add up to no
     more than the capacity. An item of size null or 0 has one row without a
-    container. Repeated rows are items of their own; an empty table gives no
+    container. A bucket is counted in as many parts as hold ``part`` items each.
+    Repeated rows are items of their own; an empty table gives no
     rows; further columns are ignored. ``items`` is read once and written.
     """
     spark = items.sparkSession
@@ -101,9 +102,11 @@ def pack_items(items: DataFrame, key: str, size: str, capacity: int = CAPACITY,
     in_bucket = np.bincount(np.searchsorted(edges, lengths), weights=counts, minlength=len(edges)).astype(np.int64)
     plan = plan_batches(edges, in_bucket, capacity)
     # Edges and plan are bounded by the number of buckets, whatever the items.
-    edge_of = spark.createDataFrame([(int(n), int(edges[np.searchsorted(edges, n)])) for n in lengths], "n int, edge int")
+    salts = dict(zip(edges.tolist(), (-(-in_bucket // part)).tolist()))
+    edge_of = [(int(n), int(edges[np.searchsorted(edges, n)])) for n in lengths]
+    edge_of = spark.createDataFrame([(n, e, salts[e]) for n, e in edge_of], "n int, edge int, salts bigint")
     plan_rows = spark.createDataFrame(plan, "edge int, first bigint, places bigint, per bigint, container bigint")
-    placed = pieces.join(F.broadcast(edge_of), "n").withColumn("salt", F.pmod(F.xxhash64("key", "piece_no"), F.lit(salts)))
+    placed = pieces.join(F.broadcast(edge_of), "n").withColumn("salt", F.pmod(F.xxhash64("key", "piece_no"), F.col("salts")))
     # The place within a bucket: a bucket may hold a third of all items, so it is counted in salted parts.
     along = Window.partitionBy("edge").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     starts = placed.groupBy("edge", "salt").agg(F.count(F.lit(1)).alias("c")).select("edge", "salt", F.coalesce(F.sum("c").over(along), F.lit(0)).alias("start"))

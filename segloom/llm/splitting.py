@@ -2,7 +2,7 @@
 
 The boundaries of a text are the ends of its words. Each is joined to its
 farthest legal successor: the last boundary of the best kind that a piece which
-begins there, with the words it repeats, can reach. All cuts of all texts of a
+begins there, with the words it repeats, can reach near its end. All cuts of all texts of a
 batch then come from squaring that table: after k rounds the first 2**k cuts
 of every text are known. A text is one row, so nothing is shuffled.
 """
@@ -51,20 +51,23 @@ def successors(kinds: np.ndarray, reach: int, repeat: int) -> np.ndarray:
     """The farthest legal successor of each boundary 0..n of one text; n is its own.
 
     A piece has at most ``reach`` words, of which all but the first text's
-    piece repeat ``repeat`` words. Among the boundaries in reach the last end
-    of a sentence or paragraph counts, else the last end of a clause, else the
-    last word.
+    piece repeat ``repeat`` words. The last end of a paragraph in the last third
+    of the reach counts, else the last end of a sentence there, else of a
+    clause; where that third has none, the same in the last two thirds, then in
+    all of the reach; else the last word.
     """
     n = len(kinds)
     at = np.arange(n + 1)
     limit = np.minimum(at + np.where(at == 0, reach, reach - repeat), n)
-
-    def last(least: int) -> np.ndarray:
+    third, two = limit - (limit - at) // 3, limit - 2 * (limit - at) // 3
+    best = limit.copy()
+    lasts = []
+    for least in (1, 2, 3):
         mark = np.zeros(n + 1, np.int64)
         mark[1:][kinds >= least] = at[1:][kinds >= least]
-        return np.maximum.accumulate(mark)[limit]
-
-    best = np.where(last(2) > at, last(2), np.where(last(1) > at, last(1), limit))
+        lasts.append(np.maximum.accumulate(mark)[limit])
+    for floor, least in ((f, k) for f in (at, two, third) for k in range(3)):
+        best = np.where(lasts[least] > floor, lasts[least], best)
     return np.where(limit == n, n, best)
 
 

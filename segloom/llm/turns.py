@@ -169,7 +169,7 @@ def training_pairs(spoken: DataFrame, forms: DataFrame, total: int, bound: int =
     return damaged.select(*columns).unionByName(intact.select(*columns))
 
 
-def fit_boundary(pairs: DataFrame, rounds: int = 10, depth: int = 4) -> Model | None:
+def fit_boundary(pairs: DataFrame, rounds: int = 6, depth: int = 3) -> Model | None:
     """A gradient-boosted classifier of ``training_pairs``: does a turn end before this segment? None where there is nothing to fit."""
     if pairs.select("label").distinct().count() < 2:
         return None

@@ -5,10 +5,10 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from segloom.llm.fillers import HESITATIONS, clean_text, holds_speech, learn_fillers
+from segloom.llm.fillers import CONTEXT, HESITATIONS, Fillers, clean_texts, holds_speech, learn_fillers
 from segloom.llm.speakers import aliases, content_label, label_key, resolve_names
-from segloom.llm.turns import clean_turns, spoken_segments, turn_starts
-from segloom.session import table
+from segloom.llm.turns import FEATURES, boundary_chance, clean_turns, fit_boundary, spoken_segments, training_pairs, turn_starts
+from segloom.session import materialize, table
 
 SEGMENT = "segment_id bigint, video_id string, seg_index int, start_time string, end_time string, speaker string, language string, content string, seg_start double, received_at timestamp, bucket string, key int"
 SPEAKER = "video_id string, speaker_no int, speaker_name string, speaker_role string"
@@ -61,13 +61,42 @@ def test_content_label(spark, content, label):
     ],
 )
 def test_holds_speech(spark, content, speech):
-    assert one(spark, content, lambda x: holds_speech(x, HESITATIONS)) is speech
+    assert one(spark, content, lambda x: holds_speech(x, Fillers())) is speech
+
+
+def cleaned(spark, fillers, *texts):
+    rows = spark.createDataFrame([(i, t, code, "x") for i, (t, code) in enumerate(texts)], "i int, content string, language string, phrase string")
+    return [r.text for r in clean_texts(rows, "i", "content", "language", fillers).orderBy("i").collect()]
 
 
 def test_clean_text(spark):
-    content = "Speaker 1: [00:03:26] The, um, glass blower (laughter) counts the— the 72 seeds uh... "
-    assert one(spark, content, lambda x: clean_text(x, HESITATIONS)) == "The, glass blower counts the 72 seeds"
-    assert one(spark, None, lambda x: clean_text(x, HESITATIONS)) == ""
+    content = "Speaker 1: [00:03:26] The, um, glass blower (laughter) counts the— the 72 seeds, uh... "
+    assert cleaned(spark, Fillers(), (content, "en"), (None, "en"), ("", None), ("[Music] um...", "en")) == ["The, glass blower counts the 72 seeds", "", "", ""]
+
+
+def test_words_that_are_fillers_elsewhere(spark, data):
+    """An article, a pronoun and an adjective stay; the same words, set off or between words that follow each other without them, go."""
+    rows = [(i, t, code) for i, (t, code) in enumerate(
+        [("the old kiln is warm in the morning", "en"), ("the, um, kiln is er, warm", "en"), ("in um the morning, er, it is warm", "en"), ("quem decide quando um jardineiro vem", "pt"), ("um jardineiro bom decide", "pt"),
+         ("wann kommt er aus dem haus", "de"), ("er kommt heute", "de"), ("cerca de la puerta este hay una fuente", "es"), ("la puerta este, este, es vieja", "es"), ("uh, the kiln is hmm, warm", "en")] * 40)]
+    fillers = learn_fillers(spark.createDataFrame(rows, "segment_id bigint, content string, language string"))
+    texts = [("Quem decide quando um jardineiro vem?", "pt"), ("Wann kommt er aus dem Haus?", "de"), ("Cerca de la puerta este hay una fuente.", "es"), ("Er kommt heute.", "de"), ("In um the morning, er, it is warm.", "en"), ("The, um, old kiln", "en")]
+    assert cleaned(spark, fillers, *texts) == [*(t for t, _ in texts[:4]), "In the morning, it is warm.", "The old kiln"]
+    assert len(fillers.weights) == len(CONTEXT) + 1
+
+
+def test_boundary_model(spark, data):
+    """On pairs held out, the classifier is no worse than nearest labels alone, and uses gap and context."""
+    folder = data.replace("sf0.001", "sf0.01")
+    segments, speakers = table(spark, folder, "transcript_segments"), table(spark, folder, "video_speakers")
+    spoken = materialize(spoken_segments(segments, speakers), "spoken")
+    pairs = materialize(training_pairs(spoken, aliases(speakers), segments.count()), "pairs")
+    own = F.pmod(F.xxhash64("segment_id", F.lit(3)), F.lit(4)) == 0
+    model = fit_boundary(pairs.where(~own))
+    seen = boundary_chance(pairs.where(own), model).select("label", "by_rule", (F.col("p_boundary") >= 0.5).cast("double").alias("p")).toPandas()
+    assert len(seen) > 1000 and (seen.p == seen.label).mean() >= (seen.by_rule == seen.label).mean() - 0.002 > 0.9
+    weight = dict(zip(FEATURES, model.featureImportances.toArray()))
+    assert weight["edits_prior"] + weight["edits_other"] < 0.99 and weight["gap_s"] + weight["words"] + weight["previous_words"] > 0.01
 
 
 def test_names(spark):
@@ -103,7 +132,7 @@ def fixture(spark):
 
 def test_turn_starts(spark):
     segments, speakers = fixture(spark)
-    got = {tuple(r) for r in turn_starts(segments, speakers, HESITATIONS).select("video_id", "first_segment_id", "speaker_no").collect()}
+    got = {tuple(r) for r in turn_starts(segments, speakers, Fillers()).select("video_id", "first_segment_id", "speaker_no").collect()}
     assert got == {("v", 1, 1), ("v", 5, 2), ("v", 6, 1)}
     texts = {r.segment_id: (r.turn_id, r.text) for r in clean_turns(segments, speakers).collect()}
     assert texts[4] == (1, "I am still the first.") and texts[5] == (5, "My turn.") and texts[8][0] == 6 and 3 not in texts
@@ -113,7 +142,7 @@ def test_empty(spark):
     segments, speakers = fixture(spark)
     assert turn_starts(segments.limit(0), speakers).count() == 0
     assert turn_starts(segments, speakers.limit(0)).where("speaker_no is null").count() == 0
-    assert learn_fillers(segments.limit(0)) == HESITATIONS
+    assert learn_fillers(segments.limit(0)).phrases == HESITATIONS
 
 
 def test_whole_table(spark, data):
@@ -134,4 +163,4 @@ def test_rare_filler(spark):
     """A filler that is rare among the segments is counted in all of them, whatever the sample for the fit."""
     texts = ["the old kiln is warm today"] * 2000 + ["the kiln, um, is warm"] * 40 + ["the kiln, you know, is warm"] * 12
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "segment_id bigint, content string")
-    assert "you know" in learn_fillers(df, bound=200)
+    assert "you know" in learn_fillers(df, bound=200).phrases
