@@ -4,7 +4,8 @@ Vectors are normalised and parted into shards by the centres of a bounded
 sample; a large shard is salted into several. Within a shard a directed graph
 is grown: greedy searches on the graph so far propose neighbours of the next
 vectors, relaxed pruning keeps diverse edges. Each vector then asks the shards
-of its nearest centres by beam search, and the best answers of all are kept.
+whose centres are nearly as near as its nearest one by beam search, and the best
+answers of all are kept.
 """
 
 from __future__ import annotations
@@ -51,12 +52,21 @@ def unit_vectors(df: DataFrame, key: str, vector: str, dimension: int) -> DataFr
     return found.groupBy("key").agg(F.min("vec").alias("vec"))
 
 
+def _slices(n: int, size: int = 1000) -> list[slice]:
+    return [slice(at, min(n, at + size)) for at in range(0, n, size)]
+
+
+def nearest_centre(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """The number of each vector's nearest centre, in slices, so that no table of all vectors by all centres is made."""
+    return np.concatenate([np.argmax(x[part] @ centres.T, axis=1) for part in _slices(len(x))] or [np.zeros(0, int)])
+
+
 def fit_centres(sample: np.ndarray, count: int, rounds: int = 8, seed: int = 5) -> np.ndarray:
     """``count`` centres of the sample by spherical k-means."""
     rng = np.random.default_rng(seed)
     centres = sample[rng.choice(len(sample), count, replace=False)].copy()
     for _ in range(rounds):
-        own = np.argmax(sample @ centres.T, axis=1)
+        own = nearest_centre(sample, centres)
         sums = np.zeros_like(centres)
         np.add.at(sums, own, sample)
         size = np.linalg.norm(sums, axis=1, keepdims=True)
@@ -64,23 +74,22 @@ def fit_centres(sample: np.ndarray, count: int, rounds: int = 8, seed: int = 5)
     return centres.astype(np.float32)
 
 
-def fit_ask(sample: np.ndarray, centres: np.ndarray, k: int, least: int, share: float, queries: int = 1000) -> int:
-    """How many nearest centres a vector asks so that these hold ``share`` of its k nearest, at least ``least``.
+def fit_margin(sample: np.ndarray, centres: np.ndarray, k: int, share: float, queries: int = 1000) -> float:
+    """By how much less similar than the nearest a centre may be, for the centres within to hold ``share`` of the k nearest.
 
     Measured by brute force for ``queries`` vectors of the sample. Neighbours in
-    a sample lie farther apart than in the whole, so it doesn't ask too few.
+    a sample lie farther apart than in the whole, so the margin isn't too small.
     """
-    home = np.argmax(sample @ centres.T, axis=1)
-    places = []
-    for at in range(0, min(len(sample), queries), 100):
-        block = sample[at : min(at + 100, queries)]
+    home = nearest_centre(sample, centres)
+    needed = []
+    for part in _slices(min(len(sample), queries), 100):
+        block = sample[part]
         sims = block @ sample.T
-        sims[np.arange(len(block)), np.arange(at, at + len(block))] = -9
+        sims[np.arange(len(block)), np.arange(part.start, part.stop)] = -9
         near = np.argpartition(-sims, min(k, sims.shape[1]) - 1, axis=1)[:, :k]
-        order = np.argsort(-(block @ centres.T), axis=1, kind="stable")
-        rank = np.argsort(order, axis=1)
-        places.append(np.take_along_axis(rank, home[near], axis=1).ravel())
-    return max(least, int(np.quantile(np.concatenate(places), share, method="higher")) + 1)
+        to_centres = block @ centres.T
+        needed.append((to_centres.max(axis=1, keepdims=True) - np.take_along_axis(to_centres, home[near], axis=1)).ravel())
+    return float(np.quantile(np.concatenate(needed), share, method="higher"))
 
 
 class Graph:
@@ -261,29 +270,35 @@ def _lists(x: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, x.shape[1], dtype=np.int32)), pa.array(x.reshape(-1)))
 
 
-def assign_shards(vectors: DataFrame, centres: np.ndarray, ask: int) -> DataFrame:
-    """Add ``near``: the numbers of the ``ask`` nearest centres, nearest first."""
+def assign_shards(vectors: DataFrame, centres: np.ndarray, margin: float, ask: int = 1) -> DataFrame:
+    """Add ``near``: the numbers of the centres within ``margin`` of the nearest one's similarity, at least ``ask``, nearest first."""
     ask = min(ask, len(centres))
 
     def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                x = _matrix(batch.column(1), centres.shape[1], np.float32)
-                near = np.argsort(-(x @ centres.T), axis=1, kind="stable")[:, :ask].astype(np.int32)
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), _lists(near)], names=["key", "vec", "near"])
+        for whole in batches:
+            for part in _slices(whole.num_rows):
+                batch = whole.slice(part.start, part.stop - part.start)
+                sims = _matrix(batch.column(1), centres.shape[1], np.float32) @ centres.T
+                least = np.minimum(sims.max(axis=1) - margin, np.partition(sims, len(centres) - ask, axis=1)[:, len(centres) - ask])
+                row, centre = np.nonzero(sims >= least[:, None])
+                order = np.lexsort((centre, -sims[row, centre], row))
+                offsets = np.searchsorted(row[order], np.arange(batch.num_rows + 1)).astype(np.int32)
+                near = pa.ListArray.from_arrays(pa.array(offsets), pa.array(centre[order].astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), near], names=["key", "vec", "near"])
 
     kind = vectors.schema["key"].dataType.simpleString()
     return vectors.mapInArrow(nearest, f"key {kind}, vec array<float>, near array<int>")
 
 
 def nearest_candidates(
-    df: DataFrame, key: str, vector: str, *, k: int = 10, dimension: int = 64, shard_size: int = 8000, ask: int = 3, share: float = 0.97, beam: int = 48, sample_bound: int = 40_000
+    df: DataFrame, key: str, vector: str, *, k: int = 10, dimension: int = 64, shard_size: int = 8000, ask: int = 1, share: float = 0.98, beam: int = 48, sample_bound: int = 40_000
 ) -> DataFrame:
     """Rows (key, neighbour, similarity): the k best of each shard that a vector asks, other keys only.
 
     Every usable vector (see ``unit_vectors``) is in the index of one shard and
-    asks the shards of its nearest centres: as many as hold ``share`` of the
-    nearest in the sample (``fit_ask``), at least ``ask``; similarity is the cosine. The
+    asks the shards of the centres within a margin of its nearest one, at least
+    ``ask``; the margin is fitted so that they hold ``share`` of the nearest in
+    the sample (``fit_margin``). Similarity is the cosine. The
     centres are fitted on at most ``sample_bound`` vectors, one for about
     ``shard_size`` vectors and at most one for eight of the sample (so their
     number is bounded; a corpus of more than ``sample_bound / 8 * shard_size``
@@ -299,8 +314,8 @@ def nearest_candidates(
     count = min(max(1, round(total / shard_size)), max(1, rows.num_rows // 8))
     points = _matrix(rows["vec"], dimension, np.float32) if rows.num_rows else np.zeros((1, dimension), np.float32)
     centres = fit_centres(points, count)
-    ask = fit_ask(points, centres, k, ask, share)
-    placed = materialize(assign_shards(unit_vectors(df, key, vector, dimension), centres, ask), "placed")
+    margin = fit_margin(points, centres, k, share)
+    placed = materialize(assign_shards(unit_vectors(df, key, vector, dimension), centres, margin, ask), "placed")
     homes = placed.groupBy(F.col("near")[0].alias("shard")).agg(F.count(F.lit(1)).alias("n"))
     # One row a shard: how many parts it has, and in how many blocks its askers come.
     askers = placed.select(F.explode("near").alias("shard")).groupBy("shard").agg(F.count(F.lit(1)).alias("asked"))
