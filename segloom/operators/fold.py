@@ -162,7 +162,7 @@ def _entered_some(t: pa.Table, parents: pa.Table) -> pa.Table:
     return parents.slice(0, 0).select(["key", "block", "entry", "first"])
 
 
-def greedy_groups(df: DataFrame, key: str, rule: Rule, *, least: int, heaviest: int, block: int = 8192, part_size: int = 50_000) -> DataFrame:
+def greedy_groups(df: DataFrame, key: str, rule: Rule, *, least: int, heaviest: int, block: int = 8192, part_size: int = 16_384) -> DataFrame:
     """Rows (key, pos, group) for rows (key, pos, weight, a, b), pos dense from 0 in each key.
 
     Groups are formed greedily by ``rule``. A last group whose weights sum to
