@@ -105,7 +105,8 @@ def holds_speech(content: Column, fillers: Fillers, language: Column | None = No
     A text that consists of possible fillers alone holds none, unless one of
     them isn't a filler in its language even so.
     """
-    words = sorted({w for p in fillers.phrases for w in p.split()})
+    single, double = [p for p in fillers.phrases if " " not in p], tuple(p for p in fillers.phrases if " " in p)
+    openings = sorted({p.split()[0] for p in double})
     lists: dict[tuple[str, ...], list[str]] = {}
     for code in sorted({code for _, code in fillers.prior} - {""}):
         lists.setdefault(fillers.in_silence(code), []).append(code)
@@ -120,8 +121,9 @@ def holds_speech(content: Column, fillers: Fillers, language: Column | None = No
     # A text that begins with a word, which is no part of a filler, and has no colon (so no label, no time) holds
     # speech; the patterns are for the others.
     first = F.rtrim(F.substring_index(F.ltrim(content), " ", 1), F.lit(",.!?"))
-    plain = lambda w: w.rlike(r"^[\p{L}'’]+$") & ~F.lower(w).isin(words) & ~content.contains(":")
-    return F.coalesce(let(first, plain), F.lit(False)) | let(without_marks(content), kept)
+    two = content.rlike(rf"(?iuU)^\s*(?:{_alternation(double)})(?![\p{{L}}\p{{N}}'’-])") if double else F.lit(False)
+    plain = lambda w: w.rlike(r"^[\p{L}'’]+$") & ~w.isin(single) & ~content.contains(":") & ~(w.isin(openings) & two)
+    return F.coalesce(let(F.lower(first), plain), F.lit(False)) | let(without_marks(content), kept)
 
 
 def _fit(features: np.ndarray, target: np.ndarray, steps: int = 400, rate: float = 0.5) -> np.ndarray:

@@ -2,7 +2,8 @@
 
 Most pre-tokens of a text are whole entries of the vocabulary. A minimal
 perfect hash finds those; the others are merged byte by byte with a heap over a
-linked list. The vocabulary is public data, read by each task from its path.
+linked list. The vocabulary is public data; the driver sends its file along with
+the job.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import regex
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,7 +26,7 @@ PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|
 
 
 def vocabulary_path(name: str = "byte_bpe_50k.tiktoken") -> str:
-    """The place of a public vocabulary file, which is installed on every machine."""
+    """The place of a public vocabulary file on this machine."""
     import public_tokenizers
 
     return str(public_tokenizers.path(name))
@@ -173,8 +175,24 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+def _sent(df: DataFrame, path: str | None) -> str:
+    """The vocabulary's path, its file having been sent to the executors once a Spark context."""
+    where, context = path or vocabulary_path(), df.sparkSession.sparkContext
+    sent = getattr(context, "_segloom_sent", set())
+    if where not in sent:
+        context.addFile(where)
+        context._segloom_sent = sent | {where}
+    return where
+
+
+def _here(path: str) -> str:
+    """The file that came with the job, else that at ``path`` itself."""
+    came = Path(SparkFiles.get(Path(path).name))
+    return str(came) if came.exists() else path
+
+
 def _batches(batches: Iterator[pa.RecordBatch], path: str, lengths: bool) -> Iterator[pa.RecordBatch]:
-    coder = encoder(path)
+    coder = encoder(_here(path))
     for batch in batches:
         texts = batch.column(1).to_pylist()
         for at in range(0, max(1, len(texts)), 256):
@@ -197,7 +215,7 @@ def encode_texts(df: DataFrame, key: str, text: str, path: str | None = None) ->
     repeated keys too; further columns are ignored. A text is encoded whole,
     whatever its length; no row leaves its partition.
     """
-    where = path or vocabulary_path()
+    where = _sent(df, path)
     kind = df.schema[key].dataType.simpleString()
     out = df.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(lambda b: _batches(b, where, False), f"key {kind}, value array<int>")
     return out.select(F.col("key").alias(key), F.col("value").alias("ids"))
@@ -205,7 +223,7 @@ def encode_texts(df: DataFrame, key: str, text: str, path: str | None = None) ->
 
 def count_tokens(df: DataFrame, key: str, text: str, path: str | None = None) -> DataFrame:
     """Rows (key, n_tokens): how many ids each text has; 0 for a null or empty one."""
-    where = path or vocabulary_path()
+    where = _sent(df, path)
     kind = df.schema[key].dataType.simpleString()
     out = df.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(lambda b: _batches(b, where, True), f"key {kind}, value int")
     return out.select(F.col("key").alias(key), F.col("value").alias("n_tokens"))
