@@ -67,7 +67,7 @@ class Fillers:
 
     phrases: tuple[str, ...] = HESITATIONS
     prior: dict[tuple[str, str], float] = field(default_factory=dict)
-    weights: tuple[float, ...] = (-4.0, 2.0, 1.0, 2.0, 2.0, 1.0, 1.5, 4.0, -2.0)
+    weights: tuple[float, ...] = (-4.0, 2.5, 1.5, 2.5, 2.5, 1.5, 4.0, 1.5, -2.0)
     pairs: DataFrame | None = None
 
     def score(self, phrase: str, language: str, context: tuple[float, ...]) -> float:
@@ -187,6 +187,11 @@ def _phrase_counts(batches: Iterator[pa.RecordBatch], most: int = 200_000) -> It
     yield rows()
 
 
+#: The largest share of a phrase's occurrences that are taken for fillers beforehand, and its logit.
+_MOST_SHARE = 0.98
+_MOST_PRIOR = math.log(_MOST_SHARE / (1 - _MOST_SHARE))
+
+
 def _context(text: str, spans: list[tuple[int, int]], words: list[str], i: int, n: int, skipped: frozenset[str]) -> tuple[tuple[float, ...], str | None]:
     """The values of ``CONTEXT`` (bridged still 0) of the ``n`` words from word ``i``, and the pair of words around them."""
     before = text[spans[i - 1][1] : spans[i][0]] if i else "."
@@ -243,7 +248,9 @@ def _fit_context(segments: DataFrame, pairs: DataFrame, phrases: tuple[str, ...]
         return None
     x = np.array(rows.context.tolist(), float)
     x[:, CONTEXT.index("bridged")] = rows.bridged
-    return tuple(float(v) for v in _fit(x, rows.filler.to_numpy(), steps=800))
+    constant, *weights = (float(v) for v in _fit(x, rows.filler.to_numpy(), steps=800))
+    # Without any sign around it a word is no filler, however often it is one elsewhere.
+    return (min(constant, -_MOST_PRIOR), *weights)
 
 
 def learn_fillers(segments: DataFrame, bound: int = 20_000, least: int = 8) -> Fillers:
@@ -290,7 +297,7 @@ def learn_fillers(segments: DataFrame, bound: int = 20_000, least: int = 8) -> F
     for phrase, by in held.items():
         total, marked = (sum(v[j] for v in by.values()) for j in (0, 1))
         for code, (n, m) in [("", (total, marked)), *by.items()]:
-            share = min(0.98, max(0.02, (m + 4 * marked / total) / (n + 4) / usual_share))
+            share = min(_MOST_SHARE, max(1 - _MOST_SHARE, (m + 4 * marked / total) / (n + 4) / usual_share))
             prior[phrase, code] = math.log(share / (1 - share))
     pairs = counted.where("phrase like '% %'").select("phrase", F.col("total").alias("n"))
     weights = _fit_context(segments, pairs, phrases, sure, bound)

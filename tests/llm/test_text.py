@@ -26,11 +26,24 @@ def test_cuts(kinds, reach, repeat):
     while at < len(kinds):
         limit = min(at + (reach if at == 0 else reach - repeat), len(kinds))
         options = range(at + 1, limit + 1)
-        at = limit if limit == len(kinds) else next((max(c) for k in (2, 1) if (c := [p for p in options if kinds[p - 1] >= k])), limit)
+        floors = (limit - (limit - at) // 3, limit - 2 * (limit - at) // 3, at)  # the last third, two thirds, all of the reach
+        best = (max(c) for f in floors for k in (3, 2, 1) if (c := [p for p in options if p > f and kinds[p - 1] >= k]))
+        at = limit if limit == len(kinds) else next(best, limit)
         cuts.append(at)
     assert reached == cuts
 
 
+def test_an_early_sentence_makes_no_small_piece():
+    """A sentence that ends near the beginning is no cut where clauses end near the end of the reach; paragraphs win over sentences."""
+    kinds = np.zeros(1000, np.int8)
+    kinds[10], kinds[220] = 2, 1
+    assert successors(kinds, 231, 38)[0] == 221
+    kinds[200], kinds[225] = 3, 2
+    assert successors(kinds, 231, 38)[0] == 201
+    kinds[150:] = 0
+    assert successors(kinds, 231, 38)[0] == 11
+
+
 def test_split(spark):
     rng = random.Random(1)
     words = [rng.choice(["word", "end.", "pause,", "line\n"]) for _ in range(2000)]
