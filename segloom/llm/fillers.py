@@ -126,10 +126,11 @@ def holds_speech(content: Column, fillers: Fillers, language: Column | None = No
     return F.coalesce(let(F.lower(first), plain), F.lit(False)) | let(without_marks(content), kept)
 
 
-def _fit(features: np.ndarray, target: np.ndarray, steps: int = 400, rate: float = 0.5) -> np.ndarray:
-    """Weights of a logistic regression, both classes weighing the same."""
+def _fit(features: np.ndarray, target: np.ndarray, steps: int = 400, rate: float = 0.5, times: np.ndarray | None = None) -> np.ndarray:
+    """Weights of a logistic regression, both classes weighing the same; ``times`` is how often each row was seen."""
+    times = np.ones(len(features)) if times is None else times
     x = np.column_stack([np.ones(len(features)), features])
-    share = np.where(target == 1, 0.5 / max(1, target.sum()), 0.5 / max(1, (1 - target).sum()))
+    share = times * np.where(target == 1, 0.5 / max(1, times @ target), 0.5 / max(1, times @ (1 - target)))
     w = np.zeros(x.shape[1])
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
@@ -242,13 +243,16 @@ def _fit_context(segments: DataFrame, pairs: DataFrame, phrases: tuple[str, ...]
 
     texts = segments.where("content is not null and segment_id is not null")
     sample = hash_sample(texts, ["segment_id"], bound, segments.count()).select(without_marks(F.col("content")).alias("t"))
-    found = sample.mapInArrow(seen, "filler double, context array<double>, phrase string").limit(8 * bound)
-    rows = found.join(pairs.select("phrase", F.lit(1.0).alias("bridged")), "phrase", "left").select("filler", "context", F.coalesce("bridged", F.lit(0.0)).alias("bridged")).toPandas()
-    if rows.filler.nunique() < 2:
+    found = sample.mapInArrow(seen, "filler double, context array<double>, phrase string")
+    # All values are 0 or 1: what reaches the driver is one row a combination of them, with its count.
+    seen_with = found.join(pairs.select("phrase", F.lit(1.0).alias("bridged")), "phrase", "left").select("filler", "context", F.coalesce("bridged", F.lit(0.0)).alias("bridged"))
+    rows = sorted(seen_with.groupBy("filler", "context", "bridged").count().collect())
+    target, times = (np.array([r[c] for r in rows], float) for c in ("filler", "count"))
+    if len(set(target)) < 2:
         return None
-    x = np.array(rows.context.tolist(), float)
-    x[:, CONTEXT.index("bridged")] = rows.bridged
-    constant, *weights = (float(v) for v in _fit(x, rows.filler.to_numpy(), steps=800))
+    x = np.array([r.context for r in rows], float)
+    x[:, CONTEXT.index("bridged")] = [r.bridged for r in rows]
+    constant, *weights = (float(v) for v in _fit(x, target, steps=800, times=times))
     # Without any sign around it a word is no filler, however often it is one elsewhere.
     return (min(constant, -_MOST_PRIOR), *weights)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from segloom.functions.binding import let
@@ -93,30 +93,37 @@ def near_forms(names: DataFrame, forms: DataFrame) -> DataFrame:
 
     A form and a key within two edits share one of the form's three parts, at
     a place that differs by two at most; so they are joined on the parts, and
-    no key meets all forms of its video. Forms of fewer than 4 letters match
+    no key meets all forms of its video. That join is never a broadcast: a key
+    makes up to 19 rows, of which the session's threshold knows nothing. Forms of fewer than 4 letters match
     exactly, those of fewer than 8 within one edit.
     """
-    exact = names.join(forms, ["video_id", "key"]).select("video_id", "key", "speaker_no", F.lit(0).alias("edits"))
+    exact = names.join(forms.hint("merge"), ["video_id", "key"]).select("video_id", "key", "speaker_no", F.lit(0).alias("edits"))
     part = lambda n, i: F.floor(n * i / 3).cast("int")
     size, i, d = F.col("size"), F.col("i"), F.col("d")
     held = forms.where("key not like '#%' and length(key) >= 4").select("video_id", F.col("key").alias("form"), "speaker_no", F.length("key").alias("size"))
     held = held.withColumn("i", F.explode(F.array(*map(F.lit, range(3)))))
     held = held.withColumn("piece", F.substring("form", part(size, i) + 1, part(size, i + 1) - part(size, i)))
     asked = names.where("key not like '#%' and length(key) >= 4").withColumn("size", F.explode(F.sequence(F.greatest(F.lit(4), F.length("key") - MOST_EDITS), F.length("key") + MOST_EDITS)))
-    asked = asked.withColumns({"i": F.explode(F.array(*map(F.lit, range(3))))}).withColumn("d", F.explode(F.sequence(F.lit(-MOST_EDITS), F.lit(MOST_EDITS))))
+    asked = asked.withColumn("i", F.explode(F.array(*map(F.lit, range(3)))))
+    # Some shared part has at most i edits before it and 2 - i behind it, which bounds its shift from either end.
+    longer = F.length("key") - size
+    least = F.greatest(-i, longer - (MOST_EDITS - i))
+    most = F.least(i, longer + (MOST_EDITS - i))
+    asked = asked.withColumn("d", F.explode(F.sequence(least, most)))
     asked = asked.where((part(size, i) + d >= 0) & (part(size, i + 1) + d <= F.length("key")))
-    asked = asked.withColumn("piece", F.substring("key", part(size, i) + d + 1, part(size, i + 1) - part(size, i))).drop("d").distinct()
-    met = asked.join(held, ["video_id", "size", "i", "piece"]).select("video_id", "key", "form", "speaker_no").distinct()
+    asked = asked.withColumn("piece", F.substring("key", part(size, i) + d + 1, part(size, i + 1) - part(size, i))).drop("d")
+    # Adaptive execution would broadcast either side by its size before the rows are multiplied.
+    met = asked.join(held.hint("merge"), ["video_id", "size", "i", "piece"]).select("video_id", "key", "form", "speaker_no").distinct()
     edits = met.withColumn("edits", F.levenshtein("key", "form")).where(F.col("edits") <= F.least(F.lit(MOST_EDITS), F.floor(F.length("form") / 4)))
     return exact.unionByName(edits.drop("form")).groupBy("video_id", "key", "speaker_no").agg(F.min("edits").cast("int").alias("edits"))
 
 
 def nearest_two(near: DataFrame) -> DataFrame:
     """Rows (video_id, key, first_no, first_edits, second_no, second_edits): the two speakers nearest to a key; null where there is one alone."""
-    entry = F.struct("edits", "speaker_no")
-    first = near.groupBy("video_id", "key").agg(F.min(entry).alias("first"))
-    second = near.join(first, ["video_id", "key"]).groupBy("video_id", "key").agg(F.min(F.when(F.col("speaker_no") != F.col("first.speaker_no"), entry)).alias("second"), F.first("first").alias("first"))
-    return second.select("video_id", "key", F.col("first.speaker_no").alias("first_no"), F.col("first.edits").alias("first_edits"), F.col("second.speaker_no").alias("second_no"), F.col("second.edits").alias("second_edits"))
+    order = Window.partitionBy("video_id", "key").orderBy("edits", "speaker_no")
+    ranked = near.withColumn("place", F.row_number().over(order)).where("place <= 2")
+    at = lambda c, n, name: F.max(F.when(F.col("place") == n, F.col(c))).alias(name)
+    return ranked.groupBy("video_id", "key").agg(at("speaker_no", 1, "first_no"), at("edits", 1, "first_edits"), at("speaker_no", 2, "second_no"), at("edits", 2, "second_edits"))
 
 
 def resolve_names(names: DataFrame, forms: DataFrame) -> DataFrame:

@@ -62,7 +62,7 @@ def spoken_segments(segments: DataFrame, speakers: DataFrame, fillers: Fillers =
     read = read.withColumn("bucket", F.shiftright("start_ms", BUCKET_BITS))
     numbered = F.col("key").startswith("#")
     names = materialize(read.where(F.col("key").isNotNull() & ~numbered).select("video_id", "key").distinct(), "names")
-    labelled = read.where(F.col("key").isNotNull() & ~numbered).join(label_table(names, aliases(speakers)), ["video_id", "key"], "left")
+    labelled = read.where(F.col("key").isNotNull() & ~numbered).join(label_table(names, aliases(speakers)).hint("merge"), ["video_id", "key"], "left")
     plain = read.where(F.col("key").isNull() | numbered).withColumns({"first_no": F.substring("key", 2, 12).try_cast("int"), **{c: F.lit(None).cast("int") for c in _FIRST[2:]}})
     plain = plain.withColumns({"first_edits": F.when(F.col("first_no").isNotNull(), F.lit(0)), "certain": F.col("first_no").isNotNull()})
     every = plain.unionByName(labelled.withColumn("certain", F.coalesce("certain", F.lit(False))))
@@ -72,11 +72,13 @@ def spoken_segments(segments: DataFrame, speakers: DataFrame, fillers: Fillers =
 def label_table(names: DataFrame, forms: DataFrame) -> DataFrame:
     """The distinct (video_id, key) of ``names`` with the two speakers nearest to each, and whether it is a form of one alone.
 
-    Only keys that are no speaker's own form are compared letter by letter.
+    Only keys that are no speaker's own form are compared letter by letter. The
+    joins are no broadcasts: the files of such tables are a small part of their
+    size in the driver's memory.
     """
-    known = names.join(forms, ["video_id", "key"]).groupBy("video_id", "key").agg(F.min("speaker_no").alias("first_no"), F.max("speaker_no").alias("other"))
+    known = names.join(forms.hint("merge"), ["video_id", "key"]).groupBy("video_id", "key").agg(F.min("speaker_no").alias("first_no"), F.max("speaker_no").alias("other"))
     known = materialize(known.where("first_no = other").drop("other"), "known")
-    rest = names.join(known, ["video_id", "key"], "left_anti")
+    rest = names.join(known.hint("merge"), ["video_id", "key"], "left_anti")
     open_labels = nearest_two(near_forms(rest, forms)).withColumn("certain", F.lit(False))
     null = F.lit(None).cast("int")
     certain = known.withColumns({"first_edits": F.lit(0), "second_no": null, "second_edits": null, "certain": F.lit(True)})
