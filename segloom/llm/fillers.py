@@ -16,6 +16,8 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pyarrow as pa
@@ -51,7 +53,8 @@ def without_marks(content: Column) -> Column:
     """``content`` without label, times and annotations; null gives an empty text."""
     # The long patterns are only tried where a sign of them is there.
     labelled = lambda t: F.when(t.contains(":") | t.rlike(r"^\s*[-(\[<]"), F.regexp_replace(t, _FRONT, " ")).otherwise(t)
-    marked = lambda t: F.when(t.rlike(r"[\[({<*♪♫♩♬0-9]"), F.regexp_replace(t, rf"(?U)(?=[\[({{<*♪♫♩♬\d])(?:{ANNOTATION}|{TIME})", " ")).otherwise(t)
+    signs = lambda t: reduce(or_, (t.contains(c) for c in "[({<*:♪♫♩♬"))  # no time is without a colon
+    marked = lambda t: F.when(signs(t), F.regexp_replace(t, rf"(?U)(?=[\[({{<*♪♫♩♬\d])(?:{ANNOTATION}|{TIME})", " ")).otherwise(t)
     return let(let(F.coalesce(content, F.lit("")), labelled), marked)
 
 
@@ -152,6 +155,7 @@ def _phrase_counts(batches: Iterator[pa.RecordBatch], most: int = 200_000) -> It
     """
     total: dict[str, Counter] = {}
     between, trailing, edge = Counter(), Counter(), Counter()
+    known: dict[str, tuple[str, ...]] = {}
 
     def rows() -> pa.RecordBatch:
         keys, numbers = [], []
@@ -170,18 +174,32 @@ def _phrase_counts(batches: Iterator[pa.RecordBatch], most: int = 200_000) -> It
 
     for batch in batches:
         for t, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            tokens = _TOKENS.findall(t)
             counts = total.get(label)
             if counts is None:
                 counts = total[label] = Counter()
+            # No word holds white space, so the words of a stretch are the same wherever it comes.
+            tokens = []
+            for stretch in t.split():
+                own = known.get(stretch)
+                if own is None:
+                    own = known[stretch] = tuple(_TOKENS.findall(stretch))
+                tokens += own
             # Each word with the next one, the last with none.
-            counts.update(zip(tokens, (*tokens[1:], "")))
-            if "," in t:
-                if found := _BETWEEN.findall(t):
-                    between.update((label, re.sub(r"\s+", " ", m)) for m in found)
-                edge.update((label, part) for part in (t[: t.find(",")].strip(), t[t.rfind(",") + 1 :].strip(" .!?…")) if len(part) < 20)
+            following = tokens[1:]
+            following.append("")
+            counts.update(zip(tokens, following))
+            first = t.find(",")
+            if first >= 0:
+                last = t.rfind(",")
+                if last > first and (found := _BETWEEN.findall(t)):
+                    between.update([(label, re.sub(r"\s+", " ", m)) for m in found])
+                for part in (t[:first].strip(), t[last + 1 :].strip(" .!?…")):
+                    if len(part) < 20:
+                        edge[label, part] += 1
             if "..." in t:
                 trailing.update((label, re.sub(r"\s+", " ", m)) for m in _BEFORE_END.findall(t))
+        if len(known) > most:
+            known.clear()
         if sum(map(len, total.values())) > most:
             yield rows()
             total.clear(), between.clear(), trailing.clear(), edge.clear()

@@ -57,8 +57,10 @@ def label_key(label: Column) -> Column:
 
 def content_label(content: Column) -> Column:
     """What stands where a label stands in front of the text; null where nothing does."""
-    found = F.concat(*(F.regexp_extract(content, _FRONT, i) for i in range(1, 6)))  # one of them at most isn't empty
-    return F.nullif(found, F.lit(""))
+    # Without a colon a label begins with a mark, or follows one; most texts have neither and are spared the pattern.
+    possible = content.contains(":") | content.rlike(r"^\W")
+    found = F.regexp_replace(content, _FRONT + r"[\s\S]*", "$1$2$3$4$5")  # just one of them isn't empty
+    return F.when(possible & content.rlike(_FRONT), found)
 
 
 def aliases(speakers: DataFrame) -> DataFrame:

@@ -5,9 +5,12 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
+from pyspark.sql.functions import col
 
+from segloom.llm import fillers
 from segloom.llm.fillers import _fit
-from segloom.llm.speakers import near_forms
+from segloom.llm.speakers import content_label, near_forms
 
 
 def _edits(a: str, b: str) -> int:
@@ -62,3 +65,26 @@ def test_fit_of_counted_rows(spark):
     y, times = (rng.random(40) < 0.4).astype(float), rng.integers(1, 9, 40)
     again = np.repeat(np.arange(40), times)
     assert np.allclose(_fit(x, y, times=times.astype(float)), _fit(x[again], y[again]), atol=1e-9)
+
+
+def test_a_text_is_searched_for_a_label_at_most_twice(spark):
+    df = spark.createDataFrame([("Hello",)], "x string").select(content_label(col("x")).alias("y"))
+    text = df._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert text.count("regexp_extract") + text.count("regexp_replace") + text.count("rlike") <= 3
+
+
+def test_words_are_read_once(monkeypatch):
+    """A stretch of text that comes again isn't parted into words again; counts are those of the whole texts."""
+    calls = []
+
+    class Tokens:
+        def findall(self, text, real=fillers._TOKENS):
+            calls.append(text)
+            return real.findall(text)
+
+    monkeypatch.setattr(fillers, "_TOKENS", Tokens())
+    batch = pa.RecordBatch.from_arrays([pa.array(["the old-kiln, um, is warm."] * 50), pa.array(["en"] * 50)], names=["t", "language"])
+    (rows,) = fillers._phrase_counts(iter([batch]))
+    assert len(calls) == 5
+    got = {r["phrase"]: r for r in rows.to_pylist()}
+    assert got["the old-kiln"]["total"] == got["um"]["total"] == got["um"]["between"] == 50 and "old" not in got
