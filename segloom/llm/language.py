@@ -9,11 +9,16 @@ that a text of two languages shows both.
 
 from __future__ import annotations
 
+import gc
 import html
 import re
 import unicodedata
+import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -44,13 +49,15 @@ _GLANCE = 3
 REJECT, SECOND = 0.12, 0.2
 #: Bytes by which a clause in a second language must be smaller than in the text's.
 _GAIN = 6
+#: Records that are classified at once.
+_BATCH = 2048
 
 _MARKS = re.compile(r"\[[^\]]*\]|\([^)]*\)|\{[^}]*\}|<[^>]*>|\*[^*\n]*\*|[♪♫♩♬]+|https?://\S+|\d+:\d\d(?::\d\d)?(?:[.,:]\d+)?(?:\s*-+>?(?=\s|$))?|[#@]\w+")
 _LABEL = re.compile(r"^\s*(?:>>[^:\n]{1,60}:|-\s+[^\n]{1,50}?\s+-(?=\s)|(?:[^\W\d_][\w#.'-]*(?:[ ,]+[\w#.'()-]+){0,3}\s*:(?=\s)))", re.M)
 _SIGNS = re.compile(r"[\[({<*♪♫♩♬:#@>]")
 _SENTENCE = re.compile(r"(?<=[.!?…;])\s+|\n+|\s+[—–|/•]+\s+")
 #: Where none of the rarer marks is, sentences are parted at these ends alone, which are found much faster.
-_RARE, _END = re.compile(r"[—–|/•]"), re.compile(r"[.!?…;\n](?:(?<=\n)\n*|(?<!\n)\s+)")
+_RARE, _ANY_END, _END = re.compile(r"[—–|/•]"), re.compile(r"[.!?…;]\s|[\n—–|/•]"), re.compile(r"[.!?…;\n](?:(?<=\n)\n*|(?<!\n)\s+)")
 _NO_SPACE = re.compile(r"\S+")
 _INVISIBLE = re.compile("[\u00ad\u200b\u200c\u200d\u2060\ufeff]")
 
@@ -85,15 +92,17 @@ def window_starts(n: int) -> list[int]:
     return [*range(0, last, _GLANCE), last]
 
 
-def _window_texts(words: list[str], starts: list[int]) -> list[str]:
-    return [" ".join(words[i : i + _WINDOW]) for i in starts]
+@lru_cache(4096)
+def _windows(n: int) -> tuple[tuple[int, ...], tuple[slice, ...]]:
+    """The first words of the windows over ``n`` words, and the windows."""
+    starts = window_starts(n)
+    return tuple(starts), tuple(slice(i, i + _WINDOW) for i in starts)
 
 
-def passages(text: str) -> list[tuple[int, int, str, int]]:
-    """(first char, end char, text, words) of the passages of a readable text.
-
-    Passages are sentences, or runs of words without the end of one.
-    """
+def _parted(text: str) -> list[tuple[int, int, str, list[str]]]:
+    if not _ANY_END.search(text):
+        words = text.split()
+        return [(0, len(text), text, words)] if words else []
     out, at = [], 0
     if _RARE.search(text):
         cuts = [m.span() for m in _SENTENCE.finditer(text)]
@@ -101,13 +110,56 @@ def passages(text: str) -> list[tuple[int, int, str, int]]:
         cuts = [(a if text[a] == "\n" else a + 1, z) for a, z in (m.span() for m in _END.finditer(text))]
     for end, after in [*cuts, (len(text), len(text))]:
         part = text[at:end]
-        n = len(part.split())
-        if n:
-            out.append((at, end, part, n))
+        words = part.split()
+        if words:
+            out.append((at, end, part, words))
         at = after
     return out
 
 
+def passages(text: str) -> list[tuple[int, int, str, int]]:
+    """(first char, end char, text, words) of the passages of a readable text.
+
+    Passages are sentences, or runs of words without the end of one.
+    """
+    return [(at, end, part, len(words)) for at, end, part, words in _parted(text)]
+
+
+class _Numbers(dict):
+    """Numbers of texts, in the order in which they were first asked for; ``fresh`` has the new ones."""
+
+    def __init__(self) -> None:
+        self.fresh: list[str] = []
+
+    def __missing__(self, text: str) -> int:
+        self.fresh.append(text)
+        self[text] = n = len(self)
+        return n
+
+
+class _Met:
+    """Sizes of the texts met, up to a bound and a batch."""
+
+    def __init__(self, width: int) -> None:
+        self.known, self.table = _Numbers(), np.zeros((0, width), np.int32)
+
+    def sizes(self, texts: list[str], languages: Languages, bound: int) -> np.ndarray:
+        known = self.known
+        if len(known) > bound or known.fresh:  # fresh: a batch before broke off
+            known.clear()
+            known.fresh = []
+        begin = len(known)
+        number = np.fromiter(map(known.__getitem__, texts), np.int64, len(texts))
+        if known.fresh:
+            end = len(known)
+            if end > len(self.table):
+                # Room for as many again, so that the table isn't copied with each batch.
+                self.table = np.concatenate([self.table[:begin], np.zeros((2 * end - begin, self.table.shape[1]), np.int32)])
+            self.table[begin:end] = languages.sizes([t.encode("utf-8", "replace") for t in known.fresh])
+            known.fresh = []
+        return self.table[number]
+
+
 @dataclass
 class Languages:
     """A compressor for each language, with the language's samples as raw content before the text."""
@@ -115,9 +167,11 @@ class Languages:
     codes: list[str]
     samples: list[bytes]
     level: int = 1
+    run: str = ""  #: which run they were made for; no other one's sizes are used
 
     def __post_init__(self) -> None:
-        self.compressors, self.known, self.table = [], {}, np.zeros((0, len(self.codes)), np.int32)
+        self.run = self.run or uuid.uuid4().hex
+        self.compressors, self.windows, self.wholes = [], _Met(len(self.codes)), _Met(len(self.codes))
         for content in self.samples:
             known = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             known.precompute_compress(level=self.level)
@@ -125,7 +179,15 @@ class Languages:
             self.compressors.append(zstandard.ZstdCompressor(dict_data=known, compression_params=settings))
 
     def __reduce__(self) -> tuple:
-        return Languages, (self.codes, self.samples, self.level)  # each worker makes its own compressors
+        return _of_worker, (tuple(self.codes), tuple(self.samples), self.level, self.run)  # each worker makes its own compressors
+
+    @property
+    def known(self) -> dict[str, int]:
+        return self.windows.known
+
+    @property
+    def table(self) -> np.ndarray:
+        return self.windows.table
 
     def sizes(self, texts: list[bytes]) -> np.ndarray:
         """Compressed sizes, one row a text, one column a language."""
@@ -134,23 +196,22 @@ class Languages:
             part = texts[at : at + 4096]
             for j, c in enumerate(self.compressors):
                 made = c.multi_compress_to_buffer(part, threads=0)
-                out[at : at + len(part), j] = list(map(len, made))
+                out[at : at + len(part), j] = np.fromiter(map(len, made), np.int32, len(part))
         return out
 
-    def known_sizes(self, texts: list[str], bound: int = 200_000) -> np.ndarray:
+    def known_sizes(self, texts: list[str], bound: int = 500_000) -> np.ndarray:
         """``sizes`` of short texts that come often: those met are kept, up to ``bound`` and a batch."""
-        if len(self.known) > bound:
-            self.known.clear()
-        known = self.known
-        fresh = [t for t in dict.fromkeys(texts) if t not in known]
-        if fresh:
-            begin, end = len(known), len(known) + len(fresh)
-            if end > len(self.table):
-                # Room for as many again, so that the table isn't copied with each batch.
-                self.table = np.concatenate([self.table[:begin], np.zeros((2 * end - begin, len(self.codes)), np.int32)])
-            known.update(zip(fresh, range(begin, end)))
-            self.table[begin:end] = self.sizes([t.encode("utf-8", "replace") for t in fresh])
-        return self.table[list(map(known.__getitem__, texts))]
+        return self.windows.sizes(texts, self, bound)
+
+    def whole_sizes(self, texts: list[str], bound: int = 100_000) -> np.ndarray:
+        """``sizes`` of passages; they are kept apart, as most come once."""
+        return self.wholes.sizes(texts, self, bound)
+
+
+@lru_cache(1)
+def _of_worker(codes: tuple[str, ...], samples: tuple[bytes, ...], level: int, run: str) -> Languages:
+    """The compressors of a worker: its tasks of one run share them, and the sizes met."""
+    return Languages(list(codes), list(samples), level, run)
 
 
 def sample_languages(samples: DataFrame, labelled: DataFrame | None = None, *, bound: int = 15_000, size: int = 16_000, most: int = 4000) -> Languages:
@@ -197,8 +258,34 @@ def decide(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return sizes.argmin(axis=1), (ordered[:, 1] - ordered[:, 0]) / np.maximum(1, ordered[:, 1])
 
 
+@dataclass
+class _Rows:
+    """What ``classify`` finds: an entry a passage or window, in order."""
+
+    passage: np.ndarray  #: number in ``flat``
+    owner: np.ndarray  #: number of the text
+    begin: np.ndarray  #: first word in the passage
+    end: np.ndarray  #: end word in the passage
+    best: np.ndarray  #: language
+    margin: np.ndarray
+    gain: np.ndarray  #: over the text's language
+    fresh: np.ndarray  #: words that aren't in the row before
+    window: np.ndarray
+    weight: np.ndarray  #: words of each text in clear passages, by language
+    clear: list[str]  #: the readable texts
+    flat: list[tuple[int, int, str, list[str]]]  #: the passages of all texts
+    own: np.ndarray  #: the text of each passage
+
+
 def classify(texts: list[str | None], languages: Languages) -> tuple[list[str], list[tuple]]:
-    """The readable texts, and rows (text, first and end char of a passage, first and end word in it, words, language, margin, gain over the text's language, words not in the row before, window).
+    """The readable texts, and rows (text, first and end char of a passage, first and end word in it, words, language, margin, gain over the text's language, words not in the row before, window)."""
+    r = _classified(texts, languages)
+    spans = [r.flat[j] for j in r.passage.tolist()]
+    return r.clear, list(zip(r.owner.tolist(), (p[0] for p in spans), (p[1] for p in spans), *(c.tolist() for c in (r.begin, r.end, r.end - r.begin, r.best, r.margin, r.gain, r.fresh, r.window))))
+
+
+def _classified(texts: list[str | None], languages: Languages) -> _Rows:
+    """The languages of the passages of texts.
 
     A passage of as many words as two clauses is glanced at in windows, and
     looked at in every window around those that aren't in its language (or are
@@ -208,19 +295,20 @@ def classify(texts: list[str | None], languages: Languages) -> tuple[list[str],
     itself. The language of a text is the one with most words in clear passages.
     """
     clear = [readable(t) if t else "" for t in texts]
-    parts = [passages(t) for t in clear]
-    flat = [p for ps in parts for p in ps]
-    own = [i for i, ps in enumerate(parts) for _ in ps]
-    n_words = np.array([p[3] for p in flat], int)
+    parts = list(map(_parted, clear))
+    flat = list(chain.from_iterable(parts))
+    own = np.repeat(np.arange(len(parts)), np.fromiter(map(len, parts), int, len(parts)))
+    n_words = np.array([len(p[3]) for p in flat], int)
     sizes = np.zeros((len(flat), len(languages.codes)), np.int32)
     short = np.flatnonzero(n_words <= _RUN)
-    sizes[short] = languages.sizes([flat[j][2].encode("utf-8", "replace") for j in short])
+    sizes[short] = languages.whole_sizes([flat[j][2] for j in short.tolist()])
     again = np.flatnonzero(n_words >= 2 * _WINDOW)
-    words = [flat[j][2].split() for j in again]
-    starts = [window_starts(n) for n in n_words[again].tolist()]
-    count = np.array([len(s) for s in starts], int)
-    seen = languages.known_sizes([t for w, s in zip(words, starts) for t in _window_texts(w, s)])
-    of, first = np.repeat(np.arange(len(again)), count), np.array([i for s in starts for i in s], int)
+    words = [flat[j][3] for j in again.tolist()]
+    cuts = list(map(_windows, n_words[again].tolist()))
+    count = np.array([len(c[0]) for c in cuts], int)
+    join = " ".join
+    seen = languages.known_sizes([join(w[part]) for w, (_, windows) in zip(words, cuts) for part in windows])
+    of, first = np.repeat(np.arange(len(again)), count), np.fromiter(chain.from_iterable(c[0] for c in cuts), int, int(count.sum()))
     long = n_words[again] > _RUN
     if len(again):
         means = np.add.reduceat(seen, np.cumsum(count) - count) / count[:, None]
@@ -235,7 +323,7 @@ def classify(texts: list[str | None], languages: Languages) -> tuple[list[str],
     real = near_first <= np.maximum(0, n_words[again][near_of] - _WINDOW)
     real &= ~np.isin(closer, of * (1 << 32) + first)
     near_of, near_first = near_of[real], near_first[real]
-    near = languages.known_sizes([t for g, i in zip(near_of.tolist(), near_first.tolist()) for t in _window_texts(words[g], [i])])
+    near = languages.known_sizes([join(words[g][i : i + _WINDOW]) for g, i in zip(near_of.tolist(), near_first.tolist())])
     of, first, inner = np.concatenate([of, near_of]), np.concatenate([first, near_first]), np.concatenate([seen, near])
     inner_best, inner_margin = decide(inner)
     whole, place = best[again][of], np.arange(len(inner))
@@ -254,7 +342,7 @@ def classify(texts: list[str | None], languages: Languages) -> tuple[list[str],
     order = np.lexsort((begin, passage))
     passage, begin, end, window, sizes = passage[order], begin[order], end[order], window[order], sizes[order]
     best, margin = decide(sizes)
-    owner = np.array(own, int)[passage]
+    owner = own[passage]
     inside = np.zeros(len(passage), bool)
     inside[1:] = (passage[1:] == passage[:-1]) & (begin[1:] < end[:-1])
     fresh = end - begin
@@ -268,8 +356,7 @@ def classify(texts: list[str | None], languages: Languages) -> tuple[list[str],
     same = inside.copy()
     same[1:] &= best[1:] == best[:-1]
     gain = np.where(window & ~(same | np.append(same[1:], False)[: len(same)]), 0, gain)
-    spans = [flat[j] for j in passage.tolist()]
-    return clear, list(zip(owner.tolist(), (p[0] for p in spans), (p[1] for p in spans), *(c.tolist() for c in (begin, end, end - begin, best, margin, gain, fresh, window))))
+    return _Rows(passage, owner, begin, end, best, margin, gain, fresh, window, weight, clear, flat, own)
 
 
 # Hesitations that are also ordinary words of one of the languages.
@@ -278,48 +365,66 @@ _SILENT = frozenset(h + mark for h in HESITATIONS for mark in (",", "...", "…"
 _CONTENT = re.compile(r"\w\S*")
 
 
-def _count_words(text: str) -> int:
-    """The words of a readable text that are no hesitations; one that is also a word is a hesitation before a comma or an ellipsis."""
-    words = _CONTENT.findall(text)
-    return len(words) - sum(map(_SILENT.__contains__, words))
+class _Content(dict):
+    """1 for a word that is no hesitation, else 0; one that is also a word is a hesitation before a comma or an ellipsis."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) > 200_000:
+            self.clear()
+        found = _CONTENT.search(word)
+        self[word] = n = int(found is not None and found.group() not in _SILENT)
+        return n
+
+
+_is_content = _Content().__getitem__
+
+
+@contextmanager
+def _uncollected() -> Iterator[None]:
+    """Without the search for cycles: the many lists of a batch hold none, and go by their counts."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
 
 
 def _record_rows(batches: Iterator[pa.RecordBatch], languages: Languages) -> Iterator[pa.RecordBatch]:
     """Rows (id, label, language, confidence, words, mixed), one a language that a record holds, one without where none is clear."""
+    codes = pa.array(languages.codes, pa.string())
     for whole in batches:
-        for at in range(0, whole.num_rows, 512):
-            batch = whole.slice(at, 512)
-            texts = batch.column(2).to_pylist()
-            clear, rows = classify(texts, languages)
-            by: dict[int, dict[int, list]] = {}
-            widest = [0.0] * len(texts)
-            for i, _, _, _, _, n, lang, margin, gain, fresh, _ in rows:
-                if margin > widest[i]:
-                    widest[i] = margin
-                if margin >= REJECT:
-                    own = by.get(i)
-                    if own is None:
-                        own = by[i] = {}
-                    held = own.get(lang)
-                    if held is None:
-                        held = own[lang] = [0, 0.0, False]
-                    held[0] += fresh
-                    held[1] += fresh * margin
-                    # A further language needs a clause of its own, clearly apart from the text's language.
-                    held[2] |= n >= LEAST_WORDS and margin >= SECOND and gain >= _GAIN
-            out = []
-            for i, text in enumerate(clear):
-                words, held = _count_words(text), by.get(i)
-                if not held:
-                    out.append((i, None, widest[i], words, False))
-                    continue
-                ranked = sorted(held, key=lambda k: (-held[k][0], k))
-                further = [k for k in ranked[1:] if held[k][2]]
-                for k in [ranked[0], *further]:
-                    out.append((i, languages.codes[k], held[k][1] / held[k][0], words, bool(further)))
-            place = pa.array([o[0] for o in out], pa.int64())
+        for at in range(0, whole.num_rows, _BATCH):
+            batch = whole.slice(at, _BATCH)
+            with _uncollected():
+                r = _classified(batch.column(2).to_pylist(), languages)
+            n, every = batch.num_rows, np.arange(batch.num_rows)
+            words = np.bincount(r.own, [sum(map(_is_content, p[3])) for p in r.flat], n).astype(np.int32)
+            widest = np.zeros(n)
+            np.maximum.at(widest, r.owner, r.margin)
+            good = r.margin >= REJECT
+            cell = r.owner[good], r.best[good]
+            total = np.zeros_like(r.weight)
+            np.add.at(total, cell, r.fresh[good] * r.margin[good])
+            confidence = total / np.maximum(1, r.weight)
+            # A further language needs a clause of its own, clearly apart from the text's language.
+            clause = (r.end - r.begin >= LEAST_WORDS) & (r.margin >= SECOND) & (r.gain >= _GAIN)
+            further = np.zeros(r.weight.shape, bool)
+            further[r.owner[clause], r.best[clause]] = True
+            main, held = r.weight.argmax(axis=1) if n else every, r.weight.any(axis=1)
+            further[every, main] = False
+            others, language = np.nonzero(further)
+            rank = np.lexsort((language, -r.weight[others, language], others))
+            others, language = others[rank], language[rank]
+            place = np.concatenate([every, others])
+            best = np.concatenate([main, language])
+            sure = np.concatenate([np.where(held, confidence[every, main], widest), confidence[others, language]])
+            order = np.argsort(place, kind="stable")
+            place, best, sure = place[order], best[order], sure[order]
+            at_row = pa.array(place)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(place), batch.column(1).take(place), pa.array([o[1] for o in out], pa.string()), pa.array([o[2] for o in out], pa.float64()), pa.array([o[3] for o in out], pa.int32()), pa.array([o[4] for o in out], pa.bool_())],
+                [batch.column(0).take(at_row), batch.column(1).take(at_row), codes.take(pa.array(best, mask=~held[place])), pa.array(sure), pa.array(words[place]), pa.array(further.any(axis=1)[place])],
                 names=["id", "label", "language", "confidence", "words", "mixed"],
             )
 
@@ -327,9 +432,10 @@ def _record_rows(batches: Iterator[pa.RecordBatch], languages: Languages) -> Ite
 def _passage_rows(batches: Iterator[pa.RecordBatch], languages: Languages) -> Iterator[pa.RecordBatch]:
     """Rows (id, label, passage_no, language, confidence, text): neighbouring passages of a language make one."""
     for whole in batches:
-        for at in range(0, whole.num_rows, 512):
-            batch = whole.slice(at, 512)
-            clear, rows = classify(batch.column(2).to_pylist(), languages)
+        for at in range(0, whole.num_rows, _BATCH):
+            batch = whole.slice(at, _BATCH)
+            with _uncollected():
+                clear, rows = classify(batch.column(2).to_pylist(), languages)
             merged: list[list] = []
             spans: tuple[tuple, list[tuple[int, int]]] = ((), [])
             for i, a, z, first, end, _, lang, margin, gain, n, window in rows:

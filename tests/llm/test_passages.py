@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import pickle
 import random
 
 import numpy as np
+import pyarrow as pa
 
 from segloom.llm import language
 from segloom.llm.language import Languages, passages
@@ -45,3 +47,54 @@ def test_known_sizes():
     before = languages.table
     languages.known_sizes(["another text"])
     assert languages.table is before
+
+
+def _slow_rows(texts, languages):
+    """(text, language, confidence, words, mixed) by a loop over the passages."""
+    clear, rows = language.classify(texts, languages)
+    by, widest, out = {}, [0.0] * len(texts), []
+    for i, _, _, _, _, n, lang, margin, gain, fresh, _ in rows:
+        widest[i] = max(widest[i], margin)
+        if margin >= language.REJECT:
+            held = by.setdefault(i, {}).setdefault(lang, [0, 0.0, False])
+            held[0] += fresh
+            held[1] += fresh * margin
+            held[2] |= n >= language.LEAST_WORDS and margin >= language.SECOND and gain >= language._GAIN
+    for i, text in enumerate(clear):
+        found = language._CONTENT.findall(text)
+        words, held = len(found) - sum(w in language._SILENT for w in found), by.get(i)
+        if not held:
+            out.append((i, None, widest[i], words, False))
+            continue
+        ranked = sorted(held, key=lambda k: (-held[k][0], k))
+        further = [k for k in ranked[1:] if held[k][2]]
+        out += [(i, languages.codes[k], held[k][1] / held[k][0], words, bool(further)) for k in [ranked[0], *further]]
+    return out
+
+
+EN, FR, DE = "the cat sat on the old mat and went home with the other cat", "le chat est sur la vieille table et dort avec un autre chat", "die katze liegt auf dem alten tisch und schläft mit der anderen katze"
+
+
+def test_records_as_by_a_loop_and_passages_once(monkeypatch):
+    """The records' rows are those of a loop; a passage that was met isn't compressed again, in another batch or task of the run."""
+    languages = Languages(["de", "en", "fr"], [DE.encode(), EN.encode(), FR.encode()])
+    random.seed(4)
+    words = f"{EN} {FR} {DE} um, uh “um, ... — - er... hum (x) _y".split()
+    parts = [EN, FR, DE, "zz qq", "um, well", "“Um, no” — oui", "\n", "Speaker 1: " + FR]
+    texts = [None, "", "  ", *(random.choice([". ", " ", "; ", " — "]).join(random.choices(parts, k=random.randint(1, 5))) for _ in range(400)), *(" ".join(random.choices(words, k=random.randint(1, 45))) for _ in range(400))]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(["en"] * len(texts)), pa.array(texts, pa.string())], names=["id", "label", "text"])
+    monkeypatch.setattr(language, "_BATCH", 300)
+    rows = [tuple(r.values()) for b in language._record_rows(iter([batch]), languages) for r in b.drop_columns("label").to_pylist()]
+    assert len({r[1] for r in rows}) == 4 and any(r[4] for r in rows)
+    assert rows == _slow_rows(texts, languages)
+
+    task = pickle.dumps(languages)
+    first = pickle.loads(task)
+    list(language._record_rows(iter([batch]), first))
+    second = pickle.loads(task)
+    sent = []
+    monkeypatch.setattr(Languages, "sizes", lambda self, found: sent.append(found) or np.zeros((len(found), 3), np.int32))
+    list(language._record_rows(iter([batch]), second))
+    assert not any(sent)
+    other = pickle.loads(pickle.dumps(Languages(["de", "en", "fr"], [DE.encode(), EN.encode(), FR.encode()])))
+    assert not other.known and not other.wholes.known  # sizes of another run aren't used
