@@ -92,6 +92,10 @@ def fit_margin(sample: np.ndarray, centres: np.ndarray, k: int, share: float, qu
     return float(np.quantile(np.concatenate(needed), share, method="higher"))
 
 
+#: Queries that are searched, and nodes that are pruned, at once: as many as a core's cache holds.
+_AT_ONCE, _PRUNED = 256, 128
+
+
 class Graph:
     """A robust-pruned directed graph over the unit vectors of a shard."""
 
@@ -109,9 +113,15 @@ class Graph:
 
         It begins at the entries and, for a query that is a node itself, at ``own`` (-1 where it is none).
         """
-        q, n = len(queries), len(self.x)
-        seen = np.zeros((q, n + 1), bool)
-        seen[:, n] = True
+        parts = [self._search(queries[part], beam, width, None if own is None else own[part]) for part in _slices(len(queries), _AT_ONCE)]
+        if not parts:
+            return np.zeros((0, beam), np.int32), np.zeros((0, beam), np.float32)
+        return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+
+    def _search(self, queries: np.ndarray, beam: int, width: int, own: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+        q, columns = len(queries), len(self.x) + 1
+        seen = np.zeros((q, columns), bool)
+        seen[:, -1] = True
         start = self.entries
         sims = queries @ self.x[start].T
         m = max(0, beam - len(start))
@@ -127,39 +137,44 @@ class Graph:
         best = np.argpartition(-sims, beam - 1, axis=1)[:, :beam] if sims.shape[1] > beam else np.broadcast_to(np.arange(beam), (q, beam))
         ids, sims = np.take_along_axis(ids, best, 1), np.take_along_axis(sims, best, 1)
         seen[:, start] = True
+        seen = seen.reshape(-1)
         done = ids < 0
         active = np.arange(q)
         while len(active):
-            a_ids, a_sims, a_done = ids[active], sims[active], done[active]
-            open_sims = np.where(a_done, -9.0, a_sims)
-            pick = np.argpartition(-open_sims, width - 1, axis=1)[:, :width]
-            live = np.take_along_axis(open_sims, pick, 1) > -9
-            nodes = np.where(live, np.take_along_axis(a_ids, pick, 1), 0)
-            np.put_along_axis(a_done, pick, True, 1)
-            near = self.edges[nodes].reshape(len(active), -1)
-            near[np.repeat(~live, self.degree, axis=1)] = -1
-            near.sort(axis=1)
-            near[:, 1:][near[:, 1:] == near[:, :-1]] = -1
-            fresh = ~seen[active[:, None], near]  # -1 is the last column, which counts as seen
-            r, c = np.nonzero(fresh)
-            found = near[r, c]
-            seen[active[r], found] = True
-            value = np.einsum("ij,ij->i", self.x[found], queries[active[r]])
-            # The fresh ones to the left, so that few columns are joined to the pool.
-            count = fresh.sum(axis=1)
-            wide = int(count.max()) if len(count) else 0
-            if wide:
-                slot = np.arange(len(r)) - np.repeat(np.cumsum(count) - count, count)
-                new_ids = np.full((len(active), wide), -1, np.int32)
-                new_sims = np.full((len(active), wide), -9, np.float32)
-                new_ids[r, slot], new_sims[r, slot] = found, value
-                all_sims = np.concatenate([a_sims, new_sims], axis=1)
-                best = np.argpartition(-all_sims, beam - 1, axis=1)[:, :beam]
-                a_ids = np.take_along_axis(np.concatenate([a_ids, new_ids], axis=1), best, 1)
-                a_done = np.take_along_axis(np.concatenate([a_done, new_ids < 0], axis=1), best, 1)
-                a_sims = np.take_along_axis(all_sims, best, 1)
+            a, a_ids, a_sims, a_done = len(active), ids[active], sims[active], done[active]
+            row = np.arange(a)[:, None]
+            open_sims = np.where(a_done, np.float32(9), -a_sims)
+            pick = np.argpartition(open_sims, width - 1, axis=1)[:, :width]
+            live = open_sims[row, pick] < 9
+            a_done[row, pick] = True
+            # The places in ``seen`` of the neighbours of the picked ones; -1 is the last column of the row before, which counts as seen.
+            at, which = np.nonzero(live)
+            near = self.edges.take(a_ids[at, pick[at, which]], axis=0) + (active[at] * columns)[:, None]
+            near = near[~seen.take(near)]
+            near.sort()
+            if len(near):
+                near = near[np.concatenate([[True], near[1:] != near[:-1]])]
+                seen[near] = True
+                asker = near // columns
+                found = near - asker * columns
+                value = np.einsum("ij,ij->i", self.x.take(found, axis=0), queries.take(asker, axis=0))
+                # Those better than the worst of the pool, to the left, so that few columns are joined to it.
+                asker = np.searchsorted(active, asker)
+                better = value > a_sims.min(axis=1)[asker]
+                asker, found, value = asker[better], found[better], value[better]
+                count = np.bincount(asker, minlength=a)
+                if wide := int(count.max()):
+                    slot = np.arange(len(asker)) - np.repeat(np.cumsum(count) - count, count)
+                    new_ids = np.full((a, wide), -1, np.int32)
+                    new_sims = np.full((a, wide), -9, np.float32)
+                    new_ids[asker, slot], new_sims[asker, slot] = found, value
+                    all_sims = np.concatenate([a_sims, new_sims], axis=1)
+                    best = np.argpartition(-all_sims, beam - 1, axis=1)[:, :beam]
+                    a_ids = np.concatenate([a_ids, new_ids], axis=1)[row, best]
+                    a_done = np.concatenate([a_done, new_ids < 0], axis=1)[row, best]
+                    a_sims = all_sims[row, best]
             ids[active], sims[active], done[active] = a_ids, a_sims, a_done
-            active = active[(~a_done).any(axis=1)]
+            active = active[~a_done.all(axis=1)]
         return ids, sims
 
     def prune(self, nodes: np.ndarray, candidates: np.ndarray) -> np.ndarray:
@@ -168,28 +183,39 @@ class Graph:
         The nearest candidate is taken, and those that are closer to it, by the
         relaxed measure, than to the node are dropped; and so on.
         """
-        b, c = candidates.shape
-        candidates = np.where(candidates == nodes[:, None], -1, candidates)
-        ordered = np.sort(candidates, axis=1)
+        ordered = np.where(candidates == nodes[:, None], -1, candidates)
+        ordered.sort(axis=1)
         ordered[:, 1:][ordered[:, 1:] == ordered[:, :-1]] = -1
+        ordered.sort(axis=1)
+        # Those with few candidates together, so that few empty places are weighed; as many at once as a core's cache holds.
+        count = (ordered >= 0).sum(axis=1)
+        rank = np.argsort(count, kind="stable")
+        out = np.full((len(nodes), self.degree), -1, np.int32)
+        for part in _slices(len(nodes), _PRUNED):
+            own = rank[part]
+            if most := int(count[own[-1]]):
+                out[own] = self._diverse(nodes[own], ordered[own, ordered.shape[1] - most :])
+        return out
+
+    def _diverse(self, nodes: np.ndarray, candidates: np.ndarray) -> np.ndarray:
+        b = len(nodes)
+        own = np.matmul(self.x[candidates], self.x[nodes][:, :, None])[:, :, 0]
+        distance = np.where(candidates >= 0, 2 - 2 * own, np.inf)
+        rank = np.argsort(distance, axis=1, kind="stable")
+        ordered, distance = np.take_along_axis(candidates, rank, 1), np.take_along_axis(distance, rank, 1)
         x = self.x[ordered]
-        own = np.matmul(x, self.x[nodes][:, :, None])[:, :, 0]
-        distance = np.where(ordered >= 0, 2 - 2 * own, np.inf)
-        rank = np.argsort(distance, axis=1)
-        ordered, distance = np.take_along_axis(ordered, rank, 1), np.take_along_axis(distance, rank, 1)
-        x = np.take_along_axis(x, rank[:, :, None], 1)
-        mutual = (2 - 2 * np.matmul(x, x.transpose(0, 2, 1))) * self.relax
+        mutual = np.matmul(x, x.transpose(0, 2, 1))
         alive = np.isfinite(distance)
         out = np.full((b, self.degree), -1, np.int32)
         row = np.arange(b)
         for k in range(self.degree):
-            some = alive.any(axis=1)
+            first = np.argmax(alive, axis=1)
+            some = alive[row, first]
             if not some.any():
                 break
-            first = np.argmax(alive, axis=1)
-            out[some, k] = ordered[row[some], first[some]]
+            out[:, k] = np.where(some, ordered[row, first], -1)
             alive[row, first] = False
-            alive &= ~((mutual[row, first] <= distance) & some[:, None])
+            alive &= (2 - 2 * mutual[row, first]) * self.relax > distance
         return out
 
     def _link_back(self, nodes: np.ndarray, edges: np.ndarray) -> None:
@@ -219,9 +245,7 @@ class Graph:
         full = (joined >= 0).sum(axis=1) > self.degree
         loose = np.sort(joined[~full], axis=1)[:, ::-1][:, : self.degree]
         self.edges[owners[~full]] = loose
-        for part in np.array_split(np.flatnonzero(full), max(1, int(full.sum()) // 1024)):
-            if len(part):
-                self.edges[owners[part]] = self.prune(owners[part], joined[part])
+        self.edges[owners[full]] = self.prune(owners[full], joined[full])
 
     def _among(self, nodes: np.ndarray) -> np.ndarray:
         """The nearest of each of ``nodes`` among themselves, which a search doesn't propose to each other."""

@@ -114,3 +114,39 @@ def test_recall_at_many_shards(spark, data, shard_size):
     found = nearest_neighbours(chunks, "chunk_id", "embedding", 10, shard_size=shard_size).toPandas().groupby("chunk_id").neighbour.agg(set)
     assert len(found) == len(keys)
     assert np.mean([len(exact[k] & found[k]) / 10 for k in keys]) >= 0.9
+
+
+def test_prune_weighs_few_empty_places(monkeypatch):
+    """Edges are those of a loop; nodes with few candidates aren't weighed over the places that others fill."""
+    x = clustered(400, clusters=1)
+    graph = Graph(x)
+    rng = np.random.default_rng(2)
+    nodes = np.arange(300, dtype=np.int32)
+    candidates = np.full((300, 72), -1, np.int32)
+    for i in range(300):
+        n = 72 if i % 50 == 0 else rng.integers(0, 8)
+        candidates[i, rng.choice(72, n, replace=False)] = rng.integers(0, 400, n)
+    weighed, diverse = [], Graph._diverse
+    monkeypatch.setattr(Graph, "_diverse", lambda self, own, held: weighed.append(held.size) or diverse(self, own, held))
+    got = graph.prune(nodes, candidates)
+    assert sum(weighed) < candidates.size / 3
+    for node, row in zip(nodes, candidates):
+        left = sorted({int(c) for c in row} - {-1, int(node)}, key=lambda c: 2 - 2 * float(x[c] @ x[node]))
+        edges = []
+        while left and len(edges) < graph.degree:
+            edges.append(left.pop(0))
+            left = [c for c in left if (2 - 2 * float(x[c] @ x[edges[-1]])) * graph.relax > 2 - 2 * float(x[c] @ x[node])]
+        assert [e for e in got[node].tolist() if e >= 0] == edges
+
+
+def test_search_in_parts(monkeypatch):
+    """A search holds a bounded number of queries at once, with the answers of one alone."""
+    x = clustered(2000)
+    graph, own, sizes, search = Graph(x), np.where(np.arange(700) % 3, np.arange(700), -1), [], Graph._search
+    monkeypatch.setattr(Graph, "_search", lambda self, queries, *rest: sizes.append(len(queries)) or search(self, queries, *rest))
+    together = top_k(graph, x[:700], 10, 48, own)
+    assert max(sizes) <= 256
+    for i in range(0, 700, 70):
+        alone = top_k(graph, x[i : i + 1], 10, 48, own[i : i + 1])
+        assert set(alone[0][0]) == set(together[0][i]) and np.allclose(alone[1][0], together[1][i], atol=1e-6)
+    assert graph.search(x[:0], 48)[0].shape == (0, 48)
