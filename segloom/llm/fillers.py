@@ -17,6 +17,7 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import reduce
+from itertools import chain, islice
 from operator import or_
 
 import numpy as np
@@ -55,7 +56,8 @@ def without_marks(content: Column) -> Column:
     labelled = lambda t: F.when(t.contains(":") | t.rlike(r"^\s*[-(\[<]"), F.regexp_replace(t, _FRONT, " ")).otherwise(t)
     signs = lambda t: reduce(or_, (t.contains(c) for c in "[({<*:♪♫♩♬"))  # no time is without a colon
     marked = lambda t: F.when(signs(t), F.regexp_replace(t, rf"(?U)(?=[\[({{<*♪♫♩♬\d])(?:{ANNOTATION}|{TIME})", " ")).otherwise(t)
-    return let(let(F.coalesce(content, F.lit("")), labelled), marked)
+    # A label, too, has one of the signs or a hyphen; most texts have none and stay as they are.
+    return let(F.coalesce(content, F.lit("")), lambda t: F.when(signs(t) | t.contains("-"), let(labelled(t), marked)).otherwise(t))
 
 
 @dataclass(frozen=True)
@@ -121,12 +123,16 @@ def holds_speech(content: Column, fillers: Fillers, language: Column | None = No
                 left = F.when(language.isin(*codes), without_phrases(text, phrases)).otherwise(left)
         return left.rlike(r"[\p{L}\p{N}]")
 
-    # A text that begins with a word, which is no part of a filler, and has no colon (so no label, no time) holds
-    # speech; the patterns are for the others.
+    # A text that ends with a word, which is no part of a filler, holds speech: a label, a time or an annotation would
+    # end after it. So does one that begins with such a word and has no colon (so no label, no time). The patterns are
+    # for the others.
+    last = F.rtrim(F.substring_index(F.rtrim(content), " ", -1), F.lit(",.!?"))
+    parts = tuple(w for p in fillers.phrases for w in p.split())
+    ordinary = F.lower(last).rlike(rf"^(?!(?:{_alternation(parts)})\z)['’]*[a-zà-öø-ÿœ][a-zà-öø-ÿœ'’]*\z")
     first = F.rtrim(F.substring_index(F.ltrim(content), " ", 1), F.lit(",.!?"))
     two = content.rlike(rf"(?iuU)^\s*(?:{_alternation(double)})(?![\p{{L}}\p{{N}}'’-])") if double else F.lit(False)
-    plain = lambda w: w.rlike(r"^[\p{L}'’]+$") & ~w.isin(single) & ~content.contains(":") & ~(w.isin(openings) & two)
-    return F.coalesce(let(F.lower(first), plain), F.lit(False)) | let(without_marks(content), kept)
+    plain = lambda w: w.rlike(r"^['’]*\p{L}[\p{L}'’]*\z") & ~w.isin(single) & ~content.contains(":") & ~(w.isin(openings) & two)
+    return F.coalesce(ordinary, F.lit(False)) | F.coalesce(let(F.lower(first), plain), F.lit(False)) | let(without_marks(content), kept)
 
 
 def _fit(features: np.ndarray, target: np.ndarray, steps: int = 400, rate: float = 0.5, times: np.ndarray | None = None) -> np.ndarray:
@@ -147,6 +153,14 @@ _BETWEEN = re.compile(rf"(?<=,)\s({_WORD}(?:\s{_WORD})?)(?=,\s)")
 _BEFORE_END = re.compile(rf"(?<=[.!?])\s({_WORD}(?:\s{_WORD})?)(?=\.\.\.\s*$)")
 
 
+class _Stretches(dict):
+    """The words of stretches of text."""
+
+    def __missing__(self, stretch: str) -> tuple[str, ...]:
+        self[stretch] = found = tuple(_TOKENS.findall(stretch))
+        return found
+
+
 def _phrase_counts(batches: Iterator[pa.RecordBatch], most: int = 200_000) -> Iterator[pa.RecordBatch]:
     """Rows (language, phrase, total, between, trailing, edge): partial counts of the phrases of one or two words.
 
@@ -155,13 +169,16 @@ def _phrase_counts(batches: Iterator[pa.RecordBatch], most: int = 200_000) -> It
     """
     total: dict[str, Counter] = {}
     between, trailing, edge = Counter(), Counter(), Counter()
-    known: dict[str, tuple[str, ...]] = {}
+    # No word holds white space, so the words of a stretch are the same wherever it comes.
+    known = _Stretches()
 
     def rows() -> pa.RecordBatch:
         keys, numbers = [], []
         for code, counts in total.items():
             single: Counter = Counter()
             for (first, second), n in counts.items():
+                if not first:
+                    continue  # from text to text
                 single[first] += n
                 if second:
                     keys.append((code, f"{first} {second}"))
@@ -173,21 +190,14 @@ def _phrase_counts(batches: Iterator[pa.RecordBatch], most: int = 200_000) -> It
         return pa.RecordBatch.from_arrays(columns, names=["language", "phrase", "total", "between", "trailing", "edge"])
 
     for batch in batches:
+        # The words of a batch's texts by language, an empty one after each text.
+        tokens: dict[str, list[str]] = {}
         for t, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            counts = total.get(label)
-            if counts is None:
-                counts = total[label] = Counter()
-            # No word holds white space, so the words of a stretch are the same wherever it comes.
-            tokens = []
-            for stretch in t.split():
-                own = known.get(stretch)
-                if own is None:
-                    own = known[stretch] = tuple(_TOKENS.findall(stretch))
-                tokens += own
-            # Each word with the next one, the last with none.
-            following = tokens[1:]
-            following.append("")
-            counts.update(zip(tokens, following))
+            own = tokens.get(label)
+            if own is None:
+                own = tokens[label] = []
+            own.extend(chain.from_iterable(map(known.__getitem__, t.split())))
+            own.append("")
             first = t.find(",")
             if first >= 0:
                 last = t.rfind(",")
@@ -198,6 +208,12 @@ def _phrase_counts(batches: Iterator[pa.RecordBatch], most: int = 200_000) -> It
                         edge[label, part] += 1
             if "..." in t:
                 trailing.update((label, re.sub(r"\s+", " ", m)) for m in _BEFORE_END.findall(t))
+        for label, own in tokens.items():
+            counts = total.get(label)
+            if counts is None:
+                counts = total[label] = Counter()
+            # Each word with the next one, the last with none.
+            counts.update(zip(own, islice(own, 1, None)))
         if len(known) > most:
             known.clear()
         if sum(map(len, total.values())) > most:

@@ -52,7 +52,10 @@ def label_key(label: Column) -> Column:
         return F.when(~text.isin(*NOBODY), let(word, worded))
 
     numbered = lambda n: F.when(n != "", F.concat(F.lit("#"), n.cast("int").cast("string"))).otherwise(let(bare(label), named))
-    return let(F.regexp_extract(label, _NUMBERED, 1), numbered)
+    # The most usual label is spared the pattern.
+    digit = F.substring(label, 9, 1)
+    usual = label.startswith("Speaker ") & (F.length(label) == 9) & digit.between("1", "9")
+    return F.when(usual, F.concat(F.lit("#"), digit)).otherwise(let(F.regexp_extract(label, _NUMBERED, 1), numbered))
 
 
 def content_label(content: Column) -> Column:

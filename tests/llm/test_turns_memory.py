@@ -6,9 +6,9 @@ import random
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql.functions import col
+from pyspark.sql.functions import col, concat, lit
 
-from segloom.llm import fillers
+from segloom.llm import fillers, speakers
 from segloom.llm.fillers import _fit
 from segloom.llm.speakers import content_label, near_forms
 
@@ -88,3 +88,29 @@ def test_words_are_read_once(monkeypatch):
     assert len(calls) == 5
     got = {r["phrase"]: r for r in rows.to_pylist()}
     assert got["the old-kiln"]["total"] == got["um"]["total"] == got["um"]["between"] == 50 and "old" not in got
+
+
+def test_usual_labels_and_texts_are_spared_the_patterns(spark, monkeypatch):
+    """A usual label needs no pattern, nor does a text that ends with an ordinary word."""
+    monkeypatch.setattr(speakers, "_NUMBERED", "^(never)$")
+    monkeypatch.setattr(fillers, "without_marks", lambda content: lit(""))
+    df = spark.createDataFrame([("Speaker 3", "Um: so we begin, uh, with the door.")], "label string, content string")
+    assert tuple(df.select(speakers.label_key(col("label")), fillers.holds_speech(col("content"), fillers.Fillers(("um", "uh", "you know")))).first()) == ("#3", True)
+
+
+def test_speech_as_by_the_patterns_alone(spark):
+    found = fillers.Fillers(("um", "uh-huh", "you know", "hã", "er"), {})
+    random.seed(8)
+    parts = ["um", "Um,", "uh-huh", "you", "know", "You know.", "hã...", "ER!", "door", "l’été", "'um'", "[door", "door]", "(x", "y)", "*door", "door*", "<i>", "A:", ">> door:", "- door -", "01:02", "12", "♪", "?", "-", "'", "\n", "\t", "ſ", "K"]
+    texts = [None, "", "um\n", "door\n", *(random.choice([" ", "  ", ", "]).join(random.choices(parts, k=random.randint(1, 5))) for _ in range(3000))]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    slow = fillers.without_phrases(fillers.without_marks(col("t")), found.in_silence("")).rlike(r"[\p{L}\p{N}]")
+    rows = df.select("t", fillers.holds_speech(col("t"), found).alias("got"), slow.alias("slow")).collect()
+    assert {r.got for r in rows} == {True, False}
+    assert [(r.t, r.got) for r in rows if r.got != r.slow] == []
+
+
+def test_usual_labels_as_by_the_pattern(spark):
+    labels = [None, "", *(f"{a}{b}{c}" for a in ("Speaker ", "speaker ", "Speaker  ", "Speaker") for b in ("0", "1", "9", "a", "²", "٣", ":") for c in ("", "0", " ", ":"))]
+    df = spark.createDataFrame([(x,) for x in labels], "x string").withColumn("y", concat(lit(" "), col("x")))
+    assert [r for r in df.select("x", speakers.label_key(col("x")).alias("a"), speakers.label_key(col("y")).alias("b")).collect() if r.a != r.b] == []
